@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .lm_trie import lm_score
+from .near_dup import near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +18,16 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score(_table(spark, sf_dir, "documents"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+ORACLE: dict[str, str] = {}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
