@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import contaminated
 from .lm_trie import lm_score
 from .near_dup import near_duplicates
 
@@ -22,11 +23,28 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
-ORACLE: dict[str, str] = {}
+_SHINGLES = """
+select {id}, unnest(case when n >= 4 then list_transform(range(1, n - 2), lambda i: array_to_string(w[i:i + 3], ' ')) when n > 0 then [array_to_string(w, ' ')] else [] end) s
+from (select {id}, w, len(w) n from (select {id}, regexp_extract_all(lower(text), '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+') w from {table}))
+"""
+
+ORACLE: dict[str, str] = {
+    "op7_decontamination": f"""
+with q as (select distinct item_id, s from ({_SHINGLES.format(id="item_id", table="benchmark")})),
+     n as (select item_id, count(*) n from q group by item_id),
+     d as (select distinct doc_id, s from ({_SHINGLES.format(id="doc_id", table="documents")}))
+select doc_id, item_id, count(*) / any_value(n)::double containment
+from q join d using (s) join n using (item_id) group by doc_id, item_id having count(*) >= 0.5 * any_value(n)
+""",
+}
 
 
 def oracle_sql() -> dict[str, str]:
