@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontaminate import contaminated
 from .lm_trie import lm_score
 from .near_dup import near_duplicates
+from .token_counts import token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,10 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score(_table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
