@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe_sql import encode
 from .decontaminate import contaminated
 from .lm_trie import lm_score
 from .near_dup import near_duplicates
@@ -28,6 +29,10 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(_table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 

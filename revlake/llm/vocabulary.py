@@ -37,5 +37,25 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def merges(ranks: dict[bytes, int]) -> list[tuple[int, int, int]]:
-    """(left, right, merged) of every pair of tokens whose bytes together are a token."""
-    return [(a, b, new) for token, new in ranks.items() for k in range(1, len(token)) if (a := ranks.get(token[:k])) is not None and (b := ranks.get(token[k:])) is not None]
+    """(left, right, merged): the last merge of each token's own encoding.
+
+    Merges inside a token don't depend on what surrounds it, so no other pair of its parts ever becomes neighbours.
+    """
+    out = []
+    for token, new in ranks.items():
+        if len(token) > 1:
+            parts = _parts(token, ranks, new)
+            if len(parts) == 2:
+                out.append((ranks[parts[0]], ranks[parts[1]], new))
+    return out
+
+
+def _parts(token: bytes, ranks: dict[bytes, int], below: int) -> list[bytes]:
+    """The token's encoding with merges of lower rank alone."""
+    parts = [token[i : i + 1] for i in range(len(token))]
+    while len(parts) > 1:
+        rank, i = min((ranks.get(parts[i] + parts[i + 1], below), i) for i in range(len(parts) - 1))
+        if rank >= below:
+            break
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return parts

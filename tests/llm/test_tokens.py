@@ -6,10 +6,11 @@ import pytest
 import regex
 import tiktoken
 
+from revlake.llm.bpe_sql import Engine, decode, encode
 from revlake.llm.common import text_chunks
 from revlake.llm.pretokens import pretokens
 from revlake.llm.token_counts import TokenTransducer, token_counts
-from revlake.llm.vocabulary import encode_word, load
+from revlake.llm.vocabulary import encode_word, load, merges
 
 RANKS = load()
 ENCODING = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
@@ -52,3 +53,24 @@ def test_counts_match_the_library(spark, seed):
     want = sorted((i, len((t or "").encode()), len(regex.findall(public_tokenizers.PATTERN, t or "")), len(ENCODING.encode_ordinary(t or ""))) for i, t in rows)
     assert [tuple(r) for r in got] == want
     assert token_counts(df.limit(0)).count() == 0
+
+
+def test_recursive_encoding_matches_the_library_and_decodes(spark):
+    rows = list(enumerate(texts(800, 6))) + [(7, "again"), (None, "again"), (-1, None)]
+    df = spark.createDataFrame([(t, "x", i) for i, t in rows], "text string, tokens string, doc_id int")
+    encoded = encode(df)
+    got = encoded.collect()
+    assert all(r.round_trip for r in got if r.tokens is not None)
+    want = sorted((str(i), None if t is None else ENCODING.encode_ordinary(t)) for i, t in rows if i != 7)
+    assert sorted((str(r.doc_id), r.tokens) for r in got if r.doc_id != 7) == want
+    assert [r.n_tokens for r in got if r.doc_id == -1] == [None]
+    back = sorted((str(r.doc_id), r.text or "") for r in decode(encoded).collect())
+    assert back == sorted((str(i), t or "") for i, t in rows)
+    assert encode(df.limit(0)).count() == 0 and decode(encode(df.limit(0))).count() == 0
+
+
+def test_merge_table_reaches_every_token():
+    assert len(merges(RANKS)) == len(RANKS) - 256
+    engine = Engine(RANKS)
+    sample = [t for t, r in RANKS.items() if r % 17 == 0]
+    assert engine.encode_words(sample) == [RANKS[t].to_bytes(4, "little") for t in sample]
