@@ -10,6 +10,7 @@ from .bpe_sql import encode
 from .decontaminate import contaminated
 from .lm_trie import lm_score
 from .near_dup import near_duplicates
+from .quality import classify
 from .token_counts import token_counts
 
 
@@ -33,6 +34,10 @@ def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
