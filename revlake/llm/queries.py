@@ -10,6 +10,7 @@ from .bpe_sql import encode
 from .decontaminate import contaminated
 from .lm_trie import lm_score
 from .near_dup import near_duplicates
+from .pii import pseudonymous
 from .quality import classify
 from .token_counts import token_counts
 
@@ -42,6 +43,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymous(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
