@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_sql import encode
+from .chat import render
 from .decontaminate import contaminated
 from .lm_trie import lm_score
 from .near_dup import near_duplicates
@@ -43,6 +44,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return render(_table(spark, sf_dir, "conversations"))
+
+
 def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymous(_table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,14 @@ from (select {id}, w, len(w) n from (select {id}, regexp_extract_all(lower(text)
 """
 
 ORACLE: dict[str, str] = {
+    "op9_chat": """
+with t as (select distinct conv_id, turn, role, text from conversations where conv_id is not null),
+     c as (select conv_id, list({'role': role, 'text': text} order by turn nulls first, role nulls first, text nulls first) l, count(*) n from t group by conv_id),
+     u as (select min(conv_id) conv_id, l, any_value(n) n_turns, count(*) n_copies from c group by l)
+select conv_id, n_turns, n_copies,
+       array_to_string(list_transform(l, lambda x: '<|im_start|>' || replace(coalesce(x.role, ''), '<|im_', '<| im_') || chr(10) || replace(coalesce(x.text, ''), '<|im_', '<| im_') || '<|im_end|>' || chr(10)), '') as text
+from u where not exists (select 1 from c where c.n > u.n_turns and c.l[1] = u.l[1] and c.l[:u.n_turns] = u.l)
+""",
     "op7_decontamination": f"""
 with q as (select distinct item_id, s from ({_SHINGLES.format(id="item_id", table="benchmark")})),
      n as (select item_id, count(*) n from q group by item_id),
