@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .arc import arc_to_warc, pages_to_arc
 from .bpe_sql import encode
 from .chat import render
 from .decontaminate import contaminated
@@ -32,6 +34,12 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, archived in legacy files and converted; file names and offsets depend on the partitioning and are left out."""
+    records = arc_to_warc(pages_to_arc(_table(spark, sf_dir, "pages"))).where("warc_type = 'response'")
+    return records.drop("path", "offset").withColumn("block", F.decode("block", "UTF-8"))
+
+
 def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(_table(spark, sf_dir, "documents"))
 
@@ -61,7 +69,25 @@ select {id}, unnest(case when n >= 4 then list_transform(range(1, n - 2), lambda
 from (select {id}, w, len(w) n from (select {id}, regexp_extract_all(lower(text), '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+') w from {table}))
 """
 
+def _base32(digest: str) -> str:
+    return f"""'sha1:' || array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((('0x' || substr({digest}, (1 + 5 * (i // 4))::int, 5))::int >> (15 - 5 * (i % 4))::int) & 31) + 1, 1)), '')"""
+
+
 ORACLE: dict[str, str] = {
+    "op4_arc_to_warc": f"""
+with p as (
+    select page_id, regexp_replace(url, '\\s', '%20', 'g') target_uri, 'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || chr(13) || chr(10) || html block, html,
+           strftime(make_timestamp((820454400 + page_id) * 1000000), '%Y-%m-%dT%H:%M:%SZ') warc_date
+    from pages),
+d as (select *, {_base32("sha1(block)")} block_digest, {_base32("sha1(html)")} payload_digest from p),
+u as (select *, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(target_uri || ' ' || warc_date || ' ' || block_digest)) h from d)
+select (1 + page_id % 2)::int arc_version, 0::bigint skipped, false truncated, 'response' warc_type,
+       '<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || substr('89ab', (('0x' || h[17:17])::int & 3) + 1, 1) || h[18:20] || '-' || h[21:32] || '>' record_id,
+       target_uri, '10.' || (page_id >> 16) % 256 || '.' || (page_id >> 8) % 256 || '.' || page_id % 256 ip_address, warc_date,
+       'application/http; msgtype=response' content_type, strlen(block) content_length, block_digest, payload_digest, 200 http_status, block
+from u
+""",
     "op9_chat": """
 with t as (select distinct conv_id, turn, role, text from conversations where conv_id is not null),
      c as (select conv_id, list({'role': role, 'text': text} order by turn nulls first, role nulls first, text nulls first) l, count(*) n from t group by conv_id),
