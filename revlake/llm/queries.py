@@ -12,6 +12,7 @@ from .bpe_sql import encode
 from .chat import render
 from .decontaminate import contaminated
 from .lm_trie import lm_score
+from .mpeg import pages_to_audio, parse_audio
 from .near_dup import near_duplicates
 from .pii import pseudonymous
 from .quality import classify
@@ -52,6 +53,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as the payload of a synthetic stream: the tables hold no audio."""
+    return parse_audio(pages_to_audio(_table(spark, sf_dir, "pages")), "page_id")
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render(_table(spark, sf_dir, "conversations"))
 
