@@ -7,10 +7,10 @@ from revlake.llm.kneser_ney import GramCache, discounts
 from revlake.llm.lm_trie import STEP, EliasFano, lm_score, pack, unpack
 
 
-def brute_force(texts, order):
-    """bits per byte by the textbook recursion over dictionaries."""
+def brute_force(texts, order, train=None):
+    """bits per byte by the textbook recursion over dictionaries; of a model of the same texts or of others."""
     counts = {order: Counter()}
-    padded = [b"\0" * (order - 1) + t.encode() for t in texts if t]
+    padded = [b"\0" * (order - 1) + t.encode() for t in (texts if train is None else train) if t]
     for t in padded:
         for i in range(order - 1, len(t)):
             counts[order][t[i - order + 1 : i + 1]] += 1
