@@ -1,42 +1,316 @@
-"""The engine's operators bound to the driver's tables, with the SQL that gives the same rows."""
+"""The engine's operators bound to the driver's tables; ``oracle.sql`` has the SQL that gives the same rows.
+
+``lineitem`` stands in for a multi-vintage log keyed by order and line, ``events`` for a capture log per user, ``orders``
+for report and release rows, ``supplier``, ``nation`` and ``region`` for the registry.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from revlake.functions import scalar as S
 from revlake.operators import bitemporal as B
+from revlake.operators import capture as C
+from revlake.operators import manifest as M
+from revlake.operators import quality as Q
+from revlake.operators import release as R
+from revlake.operators import stitch as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {m[1]: m[2].strip() for m in re.finditer(r"^-- (\w+)\n(.*?);$", Path(__file__).with_name("oracle.sql").read_text(), re.S | re.M)}
+
+#: Dates leave as timestamps, which both engines hand over in one form.
+DATES = {
+    "stitch": "d", "derive_release": "release_date", "report_date_for_release": "report_date", "interval_gaps": "d", "flow_state": "d",
+    "tumbling": "d", "first_sighting": "report_date", "dedup_values": "d",
+}
+ORACLE |= {name: f"select * replace (cast({c} as timestamp) as {c}) from (\n{ORACLE[name]}\n)" for name, c in DATES.items()}
 
+KEY = ["l_orderkey", "l_linenumber"]
+VINTAGE = ["l_shipdate", "l_partkey", "l_suppkey"]
 
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
 
-    return register
+def query(f: Callable[[Callable[..., DataFrame]], DataFrame]):
+    """Register a query that is given a reader of the tables."""
 
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = f(lambda name, *columns: spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns or "*"))
+        return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c, kind in out.dtypes if kind == "date"})
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    QUERIES[f.__name__] = run
+    return f
 
 
-KEY = ["l_orderkey", "l_linenumber"]
-VINTAGE = ["l_shipdate", "l_partkey", "l_suppkey"]
+@query
+def pit_asof(t):
+    return B.asof(t("lineitem", *KEY, *VINTAGE, "l_quantity"), F.expr("timestamp_ntz '1998-06-30 00:00:00'"), KEY, VINTAGE)
+
+
+@query
+def change_only(t):
+    return B.change_only(t("lineitem", *KEY, *VINTAGE, "l_returnflag", "l_linestatus"), KEY, VINTAGE, F.concat("l_returnflag", "l_linestatus"))
+
+
+@query
+def field_revisions(t):
+    fields = {"quantity": "l_quantity", "discount": "l_discount", "tax": "l_tax"}
+    return B.field_revisions(t("lineitem", *KEY, *VINTAGE, *fields.values()), KEY, VINTAGE, fields, 6)
+
+
+@query
+def row_hash(t):
+    fields = {"quantity": S.canonical_value(F.col("l_quantity"), "double"), "flag": S.canonical_value(F.col("l_returnflag"), "string")}
+    return t("lineitem").select(*KEY, "l_partkey", "l_suppkey", S.row_hash(fields).alias("row_sha256"))
+
+
+@query
+def melt(t):
+    values = {"quantity": F.col("l_quantity"), "discount": F.nullif("l_discount", F.lit(0.0)), "tax": F.col("l_tax")}
+    return B.melt(t("lineitem"), [*KEY, "l_partkey", "l_suppkey"], {n: {"val": c} for n, c in values.items()})
+
+
+@query
+def coerce_suppressed(t):
+    raw = F.when(F.col("event_type") == "error", S.SUPPRESSED).otherwise(F.round("value", 2).cast("string"))
+    return t("events").select("event_id", S.to_number(raw).alias("v"))
+
+
+@query
+def standardize_code(t):
+    return t("part").select("p_partkey", S.standard_code(F.col("p_partkey")).alias("code"))
+
+
+@query
+def zero_sum(t):
+    n = lambda flag: F.when(F.col("l_returnflag") == flag, F.col("l_quantity").cast("long"))
+    sides = t("lineitem").select("l_suppkey", n("A").alias("a"), n("R").alias("r"), n("N").alias("n"))
+    return Q.zero_sum(sides, ["l_suppkey"], "a", "r", "n", None).drop("oi_gap")
+
+
+@query
+def null_rate(t):
+    return Q.null_rate(t("lineitem").withColumnRenamed("l_returnflag", "category"), ["category"], {"null_rate": F.nullif("l_tax", F.lit(0.0))}).withColumn("null_rate", F.round("null_rate", 6))
+
+
+@query
+def dup_keys(t):
+    return Q.duplicate_keys(t("lineitem"), KEY)
+
+
+@query
+def vocab_violations(t):
+    events = t("events")
+    words = events.sparkSession.createDataFrame([("click",), ("view",), ("purchase",)], "event_type string")
+    return Q.outside_vocabulary(events, words, ["event_type"]).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query
+def oi_breach(t):
+    parts = t("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice")
+    return Q.side_breach(parts, t("orders"), "o_orderkey", "l_extendedprice", "o_totalprice").select("o_orderkey", "o_totalprice", F.round("side_total", 2).alias("side_total"))
+
+
+@query
+def coverage(t):
+    return Q.coverage(t("lineitem"), "l_partkey", "l_shipdate", None)
+
+
+@query
+def coverage_changes(t):
+    return Q.coverage_changes(t("lineitem").select(F.year("l_shipdate").alias("report_year"), F.col("l_partkey").alias("market_code")))
+
+
+@query
+def latest_name(t):
+    return t("supplier").groupBy("s_nationkey").agg(Q.latest_name("s_name", "s_suppkey").alias("latest_name")).where("latest_name is not null")
+
+
+@query
+def stitch(t):
+    rows = t("lineitem").where("l_suppkey < 10").groupBy(F.col("l_suppkey").alias("code"), F.col("l_shipdate").cast("date").alias("d")).agg(F.sum(F.col("l_quantity").cast("long")).cast("double").alias("q"))
+    registry = rows.sparkSession.range(5).select(F.col("id").alias("code"), F.col("id").alias("symbol"), F.array(F.struct((F.col("id") + 5).alias("code"), F.lit(4.0).alias("scale"))).alias("predecessors"))
+    return T.stitch(rows, T.code_names(registry), "code", "d", ["q"]).select(F.col("symbol").alias("sym"), "d", "q", F.col("priority").alias("pri"))
+
+
+@query
+def derive_release(t):
+    return t("orders").select("o_orderkey", S.derive_release(F.col("o_orderdate")).alias("release_date"))
+
+
+@query
+def report_date_for_release(t):
+    return t("orders").select("o_orderkey", S.report_date_for_release(F.col("o_orderdate")).alias("report_date"))
+
+
+@query
+def release_precedence(t):
+    seen = t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min(F.col("l_shipdate").cast("date")).alias("first_seen"))
+    rows = t("orders").join(seen, "o_orderkey", "left").withColumn("rd", F.col("o_orderdate").cast("date"))
+    given = lambda cond: F.when(cond, F.col("rd"))
+    _, source = S.resolve_release(F.col("rd"), given(F.col("o_orderpriority") == "1-URGENT"), S.observed_within(F.col("first_seen"), F.col("rd")), given(F.col("o_orderstatus") == "F"), given(F.col("o_orderstatus") == "O"))
+    return rows.select("o_orderkey", source.alias("src"))
+
+
+@query
+def schedule_map(t):
+    rank = F.when(F.col("o_orderstatus") == "P", 3).when(F.col("o_orderstatus") == "F", 2).otherwise(1)
+    return B.first_by_key(t("orders", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderkey"), ["o_custkey", "o_orderdate"], [rank.desc(), F.col("o_orderkey").asc()])
+
+
+@query
+def newest_plan(t):
+    return R.newest_plan(t("orders", "o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"], "o_orderdate")
+
+
+@query
+def source_counts(t):
+    return t("orders").groupBy(F.col("o_orderstatus").alias("src")).agg(F.count("*").alias("n"))
+
+
+@query
+def latest_with_content(t):
+    kind = F.col("event_type")
+    return C.latest_matching(t("events"), "user_id", "event_id", ["ts"], {"last_any": F.lit(True), "last_content": kind != "error", "last_delivery": kind.isin("click", "purchase")})
+
+
+@query
+def blind_alert(t):
+    kind = F.col("event_type")
+    return C.blind_alerts(t("events"), "user_id", "ts", kind.isin("click", "purchase"), kind == "view", F.expr("interval 2 day")).select("user_id", "event_id", "ts")
+
+
+@query
+def manifest_summary(t):
+    entries = t("events").select(F.col("event_type").alias("domain"), F.col("user_id").alias("n_rows"), F.col("ts").alias("last_date"), F.col("ts").alias("updated_at"))
+    return M.summarise(entries).select("domain", "entries", "n_rows", "newest", "oldest")
+
+
+@query
+def lagging(t):
+    last = t("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderdate").alias("m"))
+    entries = last.join(t("customer", "c_custkey", "c_mktsegment"), "c_custkey")
+    return M.lagging(entries, ["c_mktsegment"], "m", F.expr("interval 300 day")).select("c_custkey", "m")
+
+
+@query
+def ghosts(t):
+    return M.ghosts(t("orders", "o_orderkey"), t("lineitem").select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"])
+
+
+@query
+def overlay(t):
+    half = t("lineitem").where("l_suppkey % 2 = 0").groupBy(F.col("l_suppkey").alias("k")).agg(F.count("*").alias("n")).select("k", F.lit("half").alias("src"), "n")
+    return M.overlay(half, t("supplier").select(F.col("s_suppkey").alias("k"), F.lit("legacy").alias("src"), F.lit(0).cast("long").alias("n")), ["k"])
+
+
+@query
+def replica_diff(t):
+    of = lambda status: t("lineitem").where(F.col("l_linestatus") == status).groupBy(F.col("l_partkey").alias("k")).agg(F.min("l_returnflag").alias("f"))
+    return M.replica_diff(of("O"), of("F"), ["k"], "f")
+
+
+@query
+def interval_gaps(t):
+    return Q.interval_gaps(t("lineitem"), "l_suppkey", "l_shipdate")
+
+
+@query
+def heading_span(t):
+    turns = t("conversations", "conv_id", "turn").distinct()
+    return turns.withColumn("span", F.lead("turn").over(Window.partitionBy("conv_id").orderBy("turn")) - F.col("turn")).where("span is not null")
+
+
+@query
+def strip_tags(t):
+    return t("pages").select("page_id", S.strip_tags(F.col("html")).alias("txt"))
+
+
+@query
+def json_props(t):
+    return t("events").select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k"))
+
+
+@query
+def registry_resolve(t):
+    nations = t("nation").join(F.broadcast(t("region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    return t("supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name", "r_name")
+
+
+@query
+def registry_passthrough(t):
+    names = t("supplier").select(F.col("s_suppkey").alias("p_partkey"), "s_name")
+    return t("part", "p_partkey").join(names, "p_partkey", "left").select("p_partkey", F.coalesce("s_name", F.col("p_partkey").cast("string")).alias("symbol"))
+
+
+@query
+def key_intersect(t):
+    lines = t("lineitem")
+    return M.common_keys(lines.where("l_returnflag = 'A'"), lines.where("l_returnflag = 'R' and l_linestatus = 'F'"), ["l_partkey"])
+
+
+@query
+def only_in_source(t):
+    lines = t("lineitem")
+    return M.only_in(lines.where("l_returnflag = 'A' and l_quantity > 40").select("l_partkey").distinct(), lines.where("l_returnflag = 'N' and l_quantity > 40").select("l_partkey"), ["l_partkey"])
+
+
+@query
+def topk_recent(t):
+    order = ["l_shipdate", *KEY, "l_partkey", "l_suppkey"]
+    return t("lineitem", *KEY, *VINTAGE).orderBy(*[F.col(c).desc() for c in order]).limit(20)
+
+
+@query
+def asof_join(t):
+    due = F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(cast(o_orderkey % 30 as int))")
+    points = t("orders").where("o_orderkey < 500").select("o_orderkey", (F.col("o_custkey") % 15).alias("user_id"), due.alias("due"))
+    return B.asof_join(points, t("events", "user_id", "ts", "event_type"), ["user_id"], "due", "ts", ["event_type"]).where("event_type is not null").select("o_orderkey", F.col("event_type").alias("et"))
+
+
+@query
+def flow_state(t):
+    daily = t("events").groupBy("user_id", F.col("ts").cast("date").alias("d")).agg(F.count_if(F.col("event_type") == "purchase").alias("lo"), F.count_if(F.col("event_type") == "error").alias("sh"))
+    return C.flow_state(daily, ["user_id"], "d", "lo", "sh").drop("days_elapsed")
+
+
+@query
+def tumbling(t):
+    return t("events").groupBy(F.col("ts").cast("date").alias("d"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("v"))
+
+
+@query
+def first_sighting(t):
+    rows = t("lineitem").join(t("orders", "o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return R.first_sightings(rows.select(F.col("l_shipdate").cast("date").alias("report_date"), F.col("o_orderdate").alias("observed_at")))
+
+
+@query
+def union_missing(t):
+    lines = t("lineitem")
+    return lines.where("l_returnflag = 'A'").select(*KEY, "l_quantity").unionByName(lines.where("l_returnflag = 'R'").select(*KEY, "l_tax"), allowMissingColumns=True)
+
+
+@query
+def dedup_values(t):
+    return t("lineitem").select("l_returnflag", "l_linestatus", F.col("l_shipdate").cast("date").alias("d")).dropDuplicates()
+
+
+@query
+def age_depth(t):
+    rows = t("lineitem").join(t("orders", "o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return rows.select(*KEY, "l_partkey", "l_suppkey", S.age_days(F.col("l_shipdate"), F.col("o_orderdate")).alias("age_days")).where("age_days > 30")
+
+
+@query
+def content_hash(t):
+    return t("pages").select("page_id", F.sha2("html", 256).alias("content_sha256"), F.length("html").cast("long").alias("n_chars"))
 
 
-@query("""
-select l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity
-from (select *, row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate desc, l_partkey desc, l_suppkey desc) rn
-      from lineitem where l_shipdate <= timestamp '1998-06-30') t
-where rn = 1
-""")
-def pit_asof(spark, sf_dir):
-    t = F.expr("timestamp_ntz '1998-06-30 00:00:00'")
-    return B.asof(table(spark, sf_dir, "lineitem").select(*KEY, *VINTAGE, "l_quantity"), t, KEY, VINTAGE)
+@query
+def year_counts(t):
+    return t("orders").groupBy(F.year("o_orderdate").alias("y")).agg(F.countDistinct("o_custkey").alias("markets"), F.min("o_orderdate").alias("first_date"), F.max("o_orderdate").alias("last_date"))
