@@ -27,7 +27,7 @@ from .pretokens import distinct, pretokens
 from .vocabulary import VOCABULARY, encode_word, load
 
 #: Most states, remembered pre-tokens and remembered pairs that a task holds: bounds of memory, not of the result.
-STATES, WORDS, PAIRS = 120_000, 300_000, 800_000
+STATES, WORDS, PAIRS = 400_000, 500_000, 600_000
 
 
 class TokenTransducer:
@@ -46,19 +46,20 @@ class TokenTransducer:
             self.token_at[node] = rank
         self.compatible: dict[int, bool] = {}
         self.known: dict[bytes, int] = {}
+        self.before: dict[bytes, int] = {}
         self.clear()
 
     def clear(self) -> None:
-        self.states: list[tuple] = []
-        self.ids: dict[tuple, int] = {}
-        self.goes: list[dict[int, tuple[int, int]]] = []
-        self._state(((0, -1, 0),))
+        """Begin with the start state alone. A state's parts are packed as node, last token + 1 and tokens since."""
+        self.states: list[tuple[int, ...]] = []
+        self.ids: dict[tuple[int, ...], int] = {}
+        self.goes: dict[int, int] = {}
+        self._state((0,))
 
-    def _state(self, key: tuple) -> int:
+    def _state(self, key: tuple[int, ...]) -> int:
         s = self.ids.setdefault(key, len(self.states))
         if s == len(self.states):
             self.states.append(key)
-            self.goes.append({})
         return s
 
     def _pair(self, a: int, b: int) -> bool:
@@ -69,44 +70,50 @@ class TokenTransducer:
             ok = self.compatible[a << 32 | b] = encode_word(self.tokens[a] + self.tokens[b], self.ranks) == [a, b]
         return ok
 
-    def _compile(self, state: int, byte: int) -> tuple[int, int]:
-        """Add the transition (next state, emitted tokens)."""
-        still, last, emit = [], -1, 0
-        for node, before, since in self.states[state]:
-            node = self.children[node].get(byte)
+    def _compile(self, state: int, byte: int) -> int:
+        """Add the transition: next state and emitted tokens, packed."""
+        still, last, emit, children, token_at = [], -1, 0, self.children, self.token_at
+        for part in self.states[state]:
+            node = children[part & 0xFFFFFF].get(byte)
             if node is None:
                 continue
-            token = self.token_at[node]
-            if last < 0 and token >= 0 and (before < 0 or self._pair(before, token)):
-                last, emit = token, 1 - since
-            if self.children[node]:
-                still.append((node, before, since))
-        key = (*((node, before, since + emit) for node, before, since in still), (0, last, 0))
-        go = self.goes[state][byte] = self._state(key), emit
+            token = token_at[node]
+            if last < 0 and token >= 0:
+                before = (part >> 24 & 0xFFFFFF) - 1
+                if before < 0 or self._pair(before, token):
+                    last, emit = token, 1 - (part >> 48)
+            if children[node]:
+                still.append(part >> 24 << 24 | node)
+        key = (*(part + (emit << 48) for part in still), last + 1 << 24)
+        go = self.goes[state << 8 | byte] = self._state(key) << 12 | emit + 2048
         return go
 
     def count(self, word: bytes) -> int:
         state, n, goes = 0, 0, self.goes
         for byte in word:
-            go = goes[state].get(byte)
+            go = goes.get(state << 8 | byte)
             if go is None:
                 go = self._compile(state, byte)
-            state = go[0]
-            n += go[1]
-        return n
+            state = go >> 12
+            n += go & 4095
+        return n - 2048 * len(word)
 
     def counts(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        out = list(map(known.get, words))
+        """Number of tokens of each word. What was met in this or the last ``WORDS`` distinct words is remembered."""
+        out = list(map(self.known.get, words))
         for i, n in enumerate(out):
             if n is None:
-                if len(self.states) > self.most_states:
-                    self.clear()
-                if len(known) >= self.most_words:
-                    known.clear()
-                out[i] = n = self.count(words[i])
-                if len(words[i]) < 64:
-                    known[words[i]] = n
+                word = words[i]
+                n = self.before.get(word)
+                if n is None:
+                    if len(self.states) > self.most_states:
+                        self.clear()
+                    n = self.count(word)
+                out[i] = n
+                if len(word) < 64:
+                    if len(self.known) >= self.most_words:
+                        self.before, self.known = self.known, {}
+                    self.known[word] = n
         return np.array(out, np.int64)
 
 
