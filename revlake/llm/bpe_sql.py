@@ -20,13 +20,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_chunks, text_chunks
+from .common import resident, row_chunks, text_chunks
 from .pretokens import distinct, pretokens
 from .vocabulary import VOCABULARY, encode_word, load, merges
 
 LONG = 64
-#: Most pre-tokens whose encoding a task remembers.
-WORDS = 600_000
+#: A task remembers the encodings of what it met among this or the last so many distinct pre-tokens.
+WORDS = 250_000
+#: Most pre-tokens and most tokens in one query, so that its memory doesn't grow with a text's length.
+SLICE_WORDS, SLICE_TOKENS = 100_000, 1_000_000
 
 ENCODE = """
 with recursive steps(word, tokens, live) as (
@@ -45,7 +47,7 @@ select tokens from steps where not live order by word
 """
 
 DECODE = """
-select t.row, decode(unhex(string_agg(v.hex, '' order by t.pos))) as text
+select t.row, unhex(string_agg(v.hex, '' order by t.pos)) as bytes
 from tokens t join vocabulary v on v.token = t.token
 group by t.row order by t.row
 """
@@ -58,12 +60,13 @@ class Engine:
         import duckdb
 
         self.ranks = ranks
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "500MB", "temp_directory": "", "autoinstall_known_extensions": "false"})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "600MB", "temp_directory": "", "autoinstall_known_extensions": "false"})
         a, b, merged = (pa.array(c, pa.int32()) for c in zip(*merges(ranks), strict=True))
         self._load("merges", pa.table({"a": a, "b": b, "merged": merged}))
         self._load("vocabulary", pa.table({"token": pa.array(ranks.values(), pa.int32()), "hex": pa.array([t.hex() for t in ranks])}))
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
 
     def _load(self, name: str, table: pa.Table) -> None:
         self.db.register("incoming", table)
@@ -81,13 +84,19 @@ class Engine:
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """Each word's tokens as the bytes of int32."""
         out = list(map(self.known.get, words))
-        new = [i for i, x in enumerate(out) if x is None]
-        if not new:
-            return out
+        new = []
+        for i, x in enumerate(out):
+            if x is None:
+                out[i] = x = self.before.get(words[i])
+                if x is None:
+                    new.append(i)
+                else:
+                    self.known[words[i]] = x
         for i in [i for i in new if len(words[i]) > LONG]:
             out[i] = np.array(encode_word(words[i], self.ranks), np.int32).tobytes()
-        new = [i for i in new if len(words[i]) <= LONG]
-        if new:
+        short = [i for i in new if len(words[i]) <= LONG]
+        for first in range(0, len(short), SLICE_WORDS):
+            new = short[first : first + SLICE_WORDS]
             lengths = np.array([len(words[i]) for i in new])
             tokens = self.byte[np.frombuffer(b"".join(words[i] for i in new), np.uint8)]
             ends = np.cumsum(lengths)
@@ -98,7 +107,7 @@ class Engine:
             done = np.asarray(lists.flatten(), np.int32).tobytes()
             each = np.r_[0, 4 * np.cumsum(pc.list_value_length(lists).to_numpy())].tolist()
             if len(self.known) + len(new) > WORDS:
-                self.known.clear()
+                self.before, self.known = self.known, {}
             for k, i in enumerate(new):
                 out[i] = self.known[words[i]] = done[each[k] : each[k + 1]]
         return out
@@ -119,21 +128,14 @@ class Engine:
 
     def decode(self, tokens: np.ndarray, at: np.ndarray) -> list[str]:
         """Text of each row of tokens."""
-        out = [""] * (len(at) - 1)
+        out = [b""] * (len(at) - 1)
         row = np.repeat(np.arange(len(out), dtype=np.int32), np.diff(at))
-        got = self._table(DECODE, tokens=pa.table({"row": row, "pos": np.arange(len(tokens), dtype=np.int32), "token": tokens}))
-        for r, text in zip(got["row"].to_pylist(), got["text"].to_pylist(), strict=True):
-            out[r] = text
-        return out
-
-
-_OPEN: dict[str, Engine] = {}
-
-
-def _engine(path: str, ranks) -> Engine:
-    if path not in _OPEN:
-        _OPEN[path] = Engine(ranks.value)
-    return _OPEN[path]
+        for a in range(0, len(tokens), SLICE_TOKENS):
+            part = tokens[a : a + SLICE_TOKENS]
+            got = self._table(DECODE, tokens=pa.table({"row": row[a : a + SLICE_TOKENS], "pos": np.arange(len(part), dtype=np.int32), "token": part}))
+            for r, piece in zip(got["row"].to_pylist(), got["bytes"].to_pylist(), strict=True):
+                out[r] += piece
+        return [b.decode() for b in out]
 
 
 def _lists(tokens: list[np.ndarray], ends: list[np.ndarray], null: np.ndarray) -> pa.Array:
@@ -148,7 +150,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     names = ["doc_id", "n_tokens", "tokens"] + ["round_trip"] * verify
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        engine = _engine(vocabulary, ranks)
+        engine = resident("bpe", vocabulary, lambda: Engine(ranks.value))
         for batch in batches:
             text = batch.column("text")
             null = np.asarray(text.is_null())
@@ -170,7 +172,7 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens
     ranks = encoded.sparkSession.sparkContext.broadcast(load(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        engine = _engine(vocabulary, ranks)
+        engine = resident("bpe", vocabulary, lambda: Engine(ranks.value))
         for batch in batches:
             lists = batch.column("tokens")
             null = np.asarray(lists.is_null())

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -66,6 +69,21 @@ def map_file(uri: str) -> np.ndarray:
         return np.frombuffer(f.read(), np.uint8)
 
 
+_resident: dict[tuple[str, str], object] = {}
+
+
+def resident(operator: str, key: str, make, most: int = 1):
+    """What a worker process keeps between tasks: at most ``most`` objects of the operator that runs now, and of no other."""
+    if (operator, key) not in _resident:
+        if len(_resident) >= most or any(o != operator for o, _ in _resident):
+            _resident.clear()
+            gc.collect()
+            with contextlib.suppress(OSError, AttributeError):  # give free pages back, where the C library can
+                ctypes.CDLL(None).malloc_trim(0)
+        _resident[operator, key] = make()
+    return _resident[operator, key]
+
+
 def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(UTF-8 bytes, offsets) of a string column; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

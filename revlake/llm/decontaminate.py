@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_file, put_file, shared_dir
+from .common import map_file, put_file, resident, shared_dir
 from .lm_trie import pack, unpack
 from .words import shingle_hashes, word_chunks
 
@@ -113,17 +113,6 @@ class Index:
         return out
 
 
-_OPEN: dict[str, Index] = {}
-
-
-def _open(uri: str) -> Index:
-    if uri not in _OPEN:
-        if len(_OPEN) >= 8:
-            _OPEN.clear()
-        _OPEN[uri] = Index(uri)
-    return _OPEN[uri]
-
-
 def benchmark_index(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", shingle: int = SHINGLE) -> list[str]:
     """Files of the items' index. Items with equal ids and texts stay apart; a null id is kept as the least long."""
     items = benchmark.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63))).alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text != ''")
@@ -170,7 +159,7 @@ def _matches(column: pa.Array, files: list[str], threshold: float, shingle: int)
         h, row = shingle_hashes(words, at, shingle)
         cut = np.searchsorted(row, np.arange(len(at)))
         for uri in files:
-            index = _open(uri)
+            index = resident("decontamination", uri, lambda uri=uri: Index(uri), 8)
             out += [(a + r, int(index.ids[item]), share) for r, item, share in index.search(h, row, cut, threshold)]
     return out
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_file, put_file, shared_dir, text_chunks
+from .common import map_file, put_file, resident, shared_dir, text_chunks
 from .kneser_ney import ORDER, GramCache, gram_counts, levels, mask, text_log2
 
 #: log2 of a probability is kept as a code of this step, up to 16 bits.
@@ -218,7 +218,8 @@ class Trie:
         return np.searchsorted(self._root, symbols) + 1
 
 
-_OPEN: dict[str, tuple[Trie, GramCache]] = {}
+def _open(model: dict) -> GramCache:
+    return GramCache(Trie(**model).log2)
 
 
 def build_trie(docs: DataFrame, text_col: str = "text", order: int = ORDER, shards: int = 16) -> dict | None:
@@ -279,16 +280,13 @@ def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if model and model["folder"] not in _OPEN:
-            _OPEN.clear()
-            trie = Trie(**model)
-            _OPEN[model["folder"]] = trie, GramCache(trie.log2)
+        cache = resident("lm", model["folder"], lambda: _open(model)) if model else None
         for batch in batches:
             n, bits = np.zeros(len(batch), np.int64), np.zeros(len(batch))
             for a, b, data, offsets in text_chunks(batch.column("text")):
                 n[a:b] = np.diff(offsets)
                 if model:
-                    bits[a:b] = -text_log2(_OPEN[model["folder"]][1], data, offsets, model["order"])
+                    bits[a:b] = -text_log2(cache, data, offsets, model["order"])
             empty = n == 0
             bits = bits / np.maximum(n, 1)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(bits, mask=empty), pa.array(np.exp2(bits), mask=empty)], ["doc_id", "n_bytes", "bits_per_byte", "perplexity"])

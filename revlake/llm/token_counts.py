@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks
+from .common import resident, text_chunks
 from .pretokens import distinct, pretokens
 from .vocabulary import VOCABULARY, encode_word, load
 
@@ -117,18 +117,13 @@ class TokenTransducer:
         return np.array(out, np.int64)
 
 
-_OPEN: dict[str, TokenTransducer] = {}
-
-
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, n_bytes, n_pretokens, n_tokens) of every row."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(load(vocabulary))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if vocabulary not in _OPEN:
-            _OPEN[vocabulary] = TokenTransducer(shared.value)
-        transducer = _OPEN[vocabulary]
+        transducer = resident("token counts", vocabulary, lambda: TokenTransducer(shared.value))
         for batch in batches:
             out = np.zeros((3, len(batch)), np.int64)
             for a, b, data, offsets in text_chunks(batch.column("text")):
