@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bitmap import bitmap, may_hold
 from .common import written
 from .words import distinct_by_row, mix, shingle_hashes, word_chunks
 
@@ -155,8 +156,9 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, threshold: float, bands
     buckets = nodes.select("node", F.explode("bands").alias("band")).select("band", "node", F.min("node").over(bucket).alias("least"), F.count("*").over(bucket).alias("size"))
     buckets = written(buckets.where("size > 1").select("band", "node", "least"), "buckets")
     pairs = written(buckets.where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = written(source.select("node", "text").join(wanted, "node").groupBy("node").agg(F.first("text").alias("text")), "texts")
+    wanted = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted")
+    may = bitmap(wanted, wanted.count())
+    texts = written(source.select("node", "text").where(may_hold(F.col("node"), may)).join(wanted, "node").groupBy("node").agg(F.first("text").alias("text")), "texts")
     verified = written(_verify(pairs, texts, threshold, shingle), "verified")
     failed = verified.where("not same").select(F.col("a").alias("node"), F.col("b").alias("least"))
     failed = buckets.join(failed, ["node", "least"]).select("band", F.col("node").alias("x"))
@@ -187,8 +189,12 @@ def drop_near_duplicates(
     groups, all_rows = _groups(docs, id_col, text_col, threshold, bands, rows, shingle)
     node = F.unhex(F.md5(F.col(f"`{text_col}`").cast("string")))
     rest = groups.where("n > 1 or node != kept_node").select("node", F.when(F.col("node") == F.col("kept_node"), F.col("id")).alias("keeper"), (F.col("node") == F.col("kept_node")).alias("stays"))
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), node.alias("node"), F.col(f"`{id_col}`").alias("id")).join(rest, "node", "left")
+    rest = written(rest, "rest")
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), node.alias("node"), F.col(f"`{id_col}`").alias("id"))
+    marked = marked.withColumn("may", may_hold(F.col("node"), bitmap(rest.select("node"), rest.count())))
+    alone = marked.where("not may").select("row.*")
+    marked = marked.where("may").join(rest, "node", "left")
     if not all_rows.groupBy("node", "id").count().where("count > 1").limit(1).count():
-        return marked.where("stays is null or (stays and id <=> keeper)").select("row.*")
+        return alone.union(marked.where("stays is null or (stays and id <=> keeper)").select("row.*"))
     once = marked.where("stays and id <=> keeper").withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("id"))).where("place = 1")
-    return marked.where("stays is null").select("row.*").union(once.select("row.*"))
+    return alone.union(marked.where("stays is null").select("row.*")).union(once.select("row.*"))
