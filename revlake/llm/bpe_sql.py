@@ -26,9 +26,9 @@ from .vocabulary import VOCABULARY, encode_word, load, merges
 
 LONG = 64
 #: A task remembers the encodings of what it met among this or the last so many distinct pre-tokens.
-WORDS = 250_000
+WORDS = 150_000
 #: Most pre-tokens and most tokens in one query, so that its memory doesn't grow with a text's length.
-SLICE_WORDS, SLICE_TOKENS = 100_000, 1_000_000
+SLICE_WORDS, SLICE_TOKENS = 50_000, 500_000
 
 ENCODE = """
 with recursive steps(word, tokens, live) as (
@@ -154,7 +154,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
         for batch in batches:
             text = batch.column("text")
             null = np.asarray(text.is_null())
-            for a, b, data, offsets in text_chunks(text, 4 << 20):
+            for a, b, data, offsets in text_chunks(text, 2 << 20):
                 tokens, at = engine.encode(data, offsets)
                 columns = [batch.column("doc_id").slice(a, b - a), pa.array(np.diff(at), mask=null[a:b]), _lists([tokens], [at[1:]], null[a:b])]
                 if verify:
