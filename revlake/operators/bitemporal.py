@@ -108,3 +108,17 @@ def diff(incoming: DataFrame, stored: DataFrame, keys: Sequence[str], order: Seq
 def rebuild(vintages: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """All observations that differ from the vintage before, in one pass; as ``diff`` applied to the vintages in order."""
     return change_only(vintages, keys, order, F.col("row_sha256"))
+
+
+def tombstones(prior: DataFrame, incoming: DataFrame, keys: Sequence[str], scope: Sequence[str]) -> DataFrame:
+    """Rows of ``prior`` whose key ``incoming`` lacks though it covers their scope, such as a report and date."""
+    covered = incoming.select(*scope).distinct()
+    return prior.join(covered, list(scope), "left_semi").join(incoming.select(*keys), list(keys), "left_anti")
+
+
+def revision_stats(revisions: DataFrame, by: Sequence[str] = ("report_type", "field")) -> DataFrame:
+    """Per group: revisions, keys revised, mean and greatest share of change, mean and greatest age."""
+    share = F.abs("pct_delta")
+    return revisions.groupBy(*by).agg(
+        F.count("*").alias("n"), F.countDistinct("report_date", "market_code", "category").alias("keys"), F.avg(share).alias("mean_share"), F.max(share).alias("max_share"), F.avg("age_days").alias("mean_age"), F.max("age_days").alias("max_age"),
+    )

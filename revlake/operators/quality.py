@@ -118,3 +118,10 @@ def validate(df: DataFrame, null_band: float = 0.20) -> list[str]:
                 raise ValidationError(f"{r['report_type']}/{r['category']}: {c} is null in {r[f'null_{c}']} of {r['n']} rows")
     checked = zero_sum(df).where(F.col("oi_gap") < -S.rounding_tolerance(F.col("n_rows")))
     return [f"{r['report_type']} {r['market_code']} {r['report_date']}: positions exceed open interest by {-r['oi_gap']}" for r in checked.orderBy("report_date", "market_code").collect()]
+
+
+def row_count_band(counts: DataFrame, by: Sequence[str], order: str, n: str, band: float = 0.2) -> DataFrame:
+    """Rows whose count differs from that of the row before by more than ``band`` of it: by, order, n, before, share."""
+    before = F.lag(n).over(Window.partitionBy(*by).orderBy(order))
+    rows = counts.withColumn("before", before).withColumn("share", F.abs(F.try_divide(F.col(n) - F.col("before"), F.col("before"))))
+    return rows.where(F.col("share") > band)

@@ -314,3 +314,21 @@ def content_hash(t):
 @query
 def year_counts(t):
     return t("orders").groupBy(F.year("o_orderdate").alias("y")).agg(F.countDistinct("o_custkey").alias("markets"), F.min("o_orderdate").alias("first_date"), F.max("o_orderdate").alias("last_date"))
+
+
+@query
+def tombstones(t):
+    lines = t("lineitem", *KEY, "l_returnflag")
+    return B.tombstones(lines.where("l_returnflag = 'A'").select(*KEY).distinct(), lines.where("l_returnflag = 'R'").select(*KEY), KEY, ["l_orderkey"])
+
+
+@query
+def revision_stats(t):
+    rows = field_revisions(t).withColumnsRenamed({"l_orderkey": "market_code", "l_linenumber": "category", "l_shipdate": "report_date"}).withColumn("age_days", F.lit(1))
+    return B.revision_stats(rows, ["field"]).select("field", "n", F.round("mean_share", 6).alias("mean_share"), "max_share")
+
+
+@query
+def row_count_band(t):
+    counts = t("orders").groupBy(F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("y")).agg(F.count("*").alias("n"))
+    return Q.row_count_band(counts, ["status"], "y", "n", 0.05).select("status", "y", "n", "before", F.round("share", 6).alias("share"))

@@ -180,3 +180,22 @@ select page_id, sha256(html) content_sha256, length(html) n_chars from pages;
 
 -- year_counts
 select cast(year(o_orderdate) as int) y, count(distinct o_custkey) markets, min(o_orderdate) first_date, max(o_orderdate) last_date from orders group by 1;
+
+-- tombstones
+select l_orderkey, l_linenumber from (select distinct l_orderkey, l_linenumber from lineitem where l_returnflag = 'A') a
+where exists (select 1 from lineitem r where r.l_returnflag = 'R' and r.l_orderkey = a.l_orderkey)
+and not exists (select 1 from lineitem r where r.l_returnflag = 'R' and r.l_orderkey = a.l_orderkey and r.l_linenumber = a.l_linenumber);
+
+-- revision_stats
+select field, count(*) n, round(avg(abs(pct_delta)), 6) mean_share, max(abs(pct_delta)) max_share from (
+with v as (select l_orderkey,l_linenumber,l_shipdate,l_quantity q,l_discount d,l_tax x, lag(l_quantity) over w pq, lag(l_discount) over w pd, lag(l_tax) over w px,
+lag(l_shipdate) over w ps from lineitem window w as (partition by l_orderkey,l_linenumber order by l_shipdate,l_partkey,l_suppkey)), u as (select
+l_orderkey,l_linenumber,l_shipdate,'quantity' field,pq old_value,q new_value,ps from v union all select l_orderkey,l_linenumber,l_shipdate,'discount',pd,d,ps from v union
+all select l_orderkey,l_linenumber,l_shipdate,'tax',px,x,ps from v) select l_orderkey,l_linenumber,l_shipdate,field,old_value,new_value,round(new_value-old_value,6)
+delta, case when old_value<>0 then round((new_value-old_value)/old_value,6) end pct_delta from u where ps is not null and old_value is distinct from new_value
+) r group by field;
+
+-- row_count_band
+with c as (select o_orderstatus status, cast(year(o_orderdate) as int) y, count(*) n from orders group by all),
+b as (select *, lag(n) over (partition by status order by y) "before" from c)
+select status, y, n, "before", round(abs(n - "before") / "before", 6) share from b where abs(n - "before") / "before" > 0.05;

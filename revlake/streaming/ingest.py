@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from datetime import UTC
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from revlake.operators.canonical import canonicalise
 from revlake.schema import CANONICAL
@@ -55,3 +57,29 @@ def tumbling(events: DataFrame, time: str, by: list[str], length: str = "1 day",
     if events.isStreaming:
         rows = rows.withWatermark("_t", late)
     return rows.groupBy(F.window("_t", length).alias("w"), *by).agg(F.count("*").alias("n"), F.sum(value).alias("total")).select(F.col("w.start").alias("window_start"), *by, "n", "total")
+
+
+def blind_alarms(log: DataFrame, after_days: float = 9) -> DataFrame:
+    """(source_url, retrieved_at, quiet_days) of a stream of (source_url, retrieved_at, delivered): one alarm for each quiet period.
+
+    Per source the state is the last delivery and whether its quiet period was reported; rows may come in any
+    batches, but a source's rows in the order of time.
+    """
+
+    def step(key, frames, state):
+        since, reported = state.get if state.exists else (None, False)
+        out = []
+        for rows in frames:
+            for at, delivered in rows.sort_values("retrieved_at")[["retrieved_at", "delivered"]].itertuples(index=False):
+                now = at.timestamp()
+                if delivered:
+                    since, reported = now, False
+                elif since is not None and not reported and now - since > after_days * 86400:
+                    out.append((key[0], at, (now - since) / 86400))
+                    reported = True
+        state.update((since, reported))
+        yield pd.DataFrame(out, columns=["source_url", "retrieved_at", "quiet_days"])
+
+    return log.groupBy("source_url").applyInPandasWithState(
+        step, "source_url string, retrieved_at timestamp, quiet_days double", "since double, reported boolean", "append", GroupStateTimeout.NoTimeout
+    )

@@ -12,7 +12,7 @@ from revlake.schema import CANONICAL, NATURAL_KEY, VALUE_FIELDS, VINTAGE_ORDER,
 from revlake.sources import archives
 from revlake.sources.http import Response
 from revlake.store import Store, StoreError
-from revlake.streaming.ingest import ingest_archives, ingest_canonical, tumbling
+from revlake.streaming.ingest import blind_alarms, ingest_archives, ingest_canonical, tumbling
 from revlake.vintage import Vintage
 
 T0 = datetime(2026, 7, 24, 20, tzinfo=UTC)
@@ -235,3 +235,16 @@ def test_tumbling(spark, tmp_path):
     assert spark.table("windows").count() == 2
     for q in spark.streams.active:
         q.stop()
+
+
+def test_stateful_alarms_across_batches(spark, tmp_path):
+    plan = {"a": [1, *[0] * 14, 1, *[0] * 12], "b": [0] * 20, "c": [1, 0, 0, 0, 0, 0, 0] * 3}
+    rows = [(url, T0 + timedelta(days=k), bool(d)) for url, days in plan.items() for k, d in enumerate(days)]
+    for first, last in ((0, 8), (8, 17), (17, 40)):
+        part = [r for r in rows if first <= (r[1] - T0).days < last]
+        spark.createDataFrame(part, "source_url string, retrieved_at timestamp, delivered boolean").coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    stream = spark.readStream.schema("source_url string, retrieved_at timestamp, delivered boolean").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log"))
+    q = blind_alarms(stream).writeStream.format("memory").queryName("alarms").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = sorted((r.source_url, round(r.quiet_days)) for r in spark.table("alarms").collect())
+    assert got == [("a", 10), ("a", 10)]
