@@ -27,6 +27,8 @@ from .kneser_ney import ORDER, GramCache, gram_counts, levels, mask, text_log2
 STEP = 1 / 1024
 NONE = 65535
 SAMPLE = 64
+#: Grams of the highest order that one task encodes, as far as ranges of first bytes allow.
+SHARD_GRAMS = 4_000_000
 
 
 def _select(words: np.ndarray, samples: np.ndarray, i: np.ndarray, flip: np.uint64) -> np.ndarray:
@@ -223,7 +225,10 @@ def _open(model: dict) -> GramCache:
 
 
 def build_trie(docs: DataFrame, text_col: str = "text", order: int = ORDER, shards: int = 16) -> dict | None:
-    """Count, smooth and encode the whole corpus; returns what ``Trie`` takes, or None if it has no bytes."""
+    """Count, smooth and encode the whole corpus; returns what ``Trie`` takes, or None if it has no bytes.
+
+    There are at least ``shards`` ranges of first bytes, and more where one would hold over ``SHARD_GRAMS`` grams.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.lit("").alias("model"), F.col(f"`{text_col}`").cast("string").alias("text"))
     tables = levels(gram_counts(texts, order), order)
@@ -231,7 +236,7 @@ def build_trie(docs: DataFrame, text_col: str = "text", order: int = ORDER, shar
     if not root:
         return None
     mass = {r["b"]: r["n"] for r in tables[order].groupBy(F.shiftright("gram", 8 * (order - 1)).alias("b")).count().withColumnRenamed("count", "n").collect()}
-    bounds, held, each = [0], 0, max(1, sum(mass.values()) / shards)
+    bounds, held, each = [0], 0, max(1, min(SHARD_GRAMS, sum(mass.values()) / shards))
     for b in range(256):
         if held >= each:
             bounds.append(b)
