@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _V1 = re.compile(rb"^(?P<url>[A-Za-z][A-Za-z0-9+.-]*:.*?) (?P<ip>[0-9A-Fa-f.:]+) (?P<date>[0-9]{8,14}) (?P<type>\S+) (?P<length>[0-9]+)$")
 _V2 = re.compile(
@@ -152,6 +154,7 @@ def arc_to_warc(files: DataFrame, path_col: str = "path", content_col: str = "co
     kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
     schema = pa.schema([(n, kinds[x.split()[1]]) for n, x in zip(names, SCHEMA.split(", "), strict=True)])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, size = [], 0
 
@@ -179,6 +182,7 @@ def pages_to_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{url_col}`"), F.lit("about:blank")).alias("url"), F.coalesce(F.col(f"`{html_col}`"), F.lit("")).alias("html")).where("id is not null")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, urls, texts = (batch.column(c).to_pylist() for c in ("id", "url", "html"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_file, put_file, resident, shared_dir
+from .common import map_file, put_file, resident, shared_dir, tidy
 
 LEAST_BITS, MOST_BITS, SLICE_BITS = 1 << 16, 1 << 30, 1 << 24
 
@@ -50,6 +50,7 @@ def bitmap(digests: DataFrame, n: int, slice_bits: int = SLICE_BITS) -> dict:
     top = F.conv(F.hex(F.substring("node", 1, 4)), 16, 10).cast("long")
     placed = digests.select("node", F.shiftright(top, 32 - (slices.bit_length() - 1)).cast("int").alias("slice"))
 
+    @tidy
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:

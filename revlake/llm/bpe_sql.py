@@ -20,13 +20,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import resident, row_chunks, text_chunks
+from .common import resident, row_chunks, text_chunks, tidy
 from .pretokens import distinct, pretokens
 from .vocabulary import VOCABULARY, encode_word, load, merges
 
 LONG = 64
 #: A task remembers the encodings of what it met among this or the last so many distinct pre-tokens.
-WORDS = 150_000
+WORDS = 100_000
 #: Most pre-tokens and most tokens in one query, so that its memory doesn't grow with a text's length.
 SLICE_WORDS, SLICE_TOKENS = 50_000, 500_000
 
@@ -149,6 +149,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     ranks = docs.sparkSession.sparkContext.broadcast(load(vocabulary))
     names = ["doc_id", "n_tokens", "tokens"] + ["round_trip"] * verify
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine = resident("bpe", vocabulary, lambda: Engine(ranks.value))
         for batch in batches:
@@ -171,6 +172,7 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens
     rows = encoded.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{tokens_col}`").cast("array<int>").alias("tokens"))
     ranks = encoded.sparkSession.sparkContext.broadcast(load(vocabulary))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine = resident("bpe", vocabulary, lambda: Engine(ranks.value))
         for batch in batches:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import gc
 import os
 import tempfile
@@ -78,12 +79,31 @@ def resident(operator: str, key: str, make, most: int = 1):
         if len(_resident) >= most or any(o != operator for o, _ in _resident):
             _resident.clear()
             gc.collect()
-            with contextlib.suppress(OSError, AttributeError):  # give free pages back, where the C library can
-                ctypes.CDLL(None).malloc_trim(0)
+            release()
         _resident[operator, key] = make()
     return _resident[operator, key]
 
 
+def release() -> None:
+    """Give free pages back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(f):
+    """A function of record batches that leaves no free memory behind: executors keep idle workers between tasks."""
+
+    @functools.wraps(f)
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            release()
+
+    return run
+
+
 def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(UTF-8 bytes, offsets) of a string column; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_file, put_file, resident, shared_dir
+from .common import map_file, put_file, resident, shared_dir, tidy
 from .lm_trie import pack, unpack
 from .words import shingle_hashes, word_chunks
 
@@ -120,6 +120,7 @@ def benchmark_index(benchmark: DataFrame, id_col: str = "item_id", text_col: str
     shards = int(-(-size // SHARD_BYTES))
     folder = shared_dir(benchmark.sparkSession, "benchmark")
 
+    @tidy
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held = None, []
 
@@ -171,6 +172,7 @@ def contaminated(
     files = benchmark_index(benchmark, item_col, item_text_col, shingle)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
+    @tidy
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = _matches(batch.column("text"), files, threshold, shingle)
@@ -188,6 +190,7 @@ def drop_contaminated(
     files = benchmark_index(benchmark, item_col, item_text_col, shingle)
     place = docs.columns.index(text_col)
 
+    @tidy
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             clean = np.ones(len(batch), bool)

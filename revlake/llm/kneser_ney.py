@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_chunks, written
+from .common import text_chunks, tidy, written
 
 ORDER = 5
 
@@ -40,6 +40,7 @@ def byte_grams(data: np.ndarray, offsets: np.ndarray, order: int) -> np.ndarray:
 def gram_counts(df: DataFrame, order: int = ORDER) -> DataFrame:
     """(model, gram, n) over all rows of (model STRING, text STRING); combined per task before the shuffle."""
 
+    @tidy
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
 
@@ -55,7 +56,7 @@ def gram_counts(df: DataFrame, order: int = ORDER) -> DataFrame:
             models = batch.column("model").to_pandas().to_numpy(object)
             for model in dict.fromkeys(models):
                 part = batch.filter(pa.array(models == model))
-                for _, _, data, offsets in text_chunks(part.column("text"), 4 << 20):
+                for _, _, data, offsets in text_chunks(part.column("text")):
                     if len(data):
                         parts = held.setdefault(model, [])
                         parts.append(np.unique(byte_grams(data, offsets, order), return_counts=True))

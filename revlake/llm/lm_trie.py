@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_file, put_file, resident, shared_dir, text_chunks
+from .common import map_file, put_file, resident, shared_dir, text_chunks, tidy
 from .kneser_ney import ORDER, GramCache, gram_counts, levels, mask, text_log2
 
 #: log2 of a probability is kept as a code of this step, up to 16 bits.
@@ -253,6 +253,7 @@ def build_trie(docs: DataFrame, text_col: str = "text", order: int = ORDER, shar
         every = t if every is None else every.unionByName(t)
     every = every.withColumn("shard", shard).repartition(len(bounds), "shard").sortWithinPartitions("shard", "k", "gram")
 
+    @tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, dict[int, list]] = {}
         done: list[int] = []
@@ -284,6 +285,7 @@ def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
     """(doc_id, n_bytes, bits_per_byte, perplexity) of every row under the trie."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
+    @tidy
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = resident("lm", model["folder"], lambda: _open(model)) if model else None
         for batch in batches:

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 _RATES = {3: (44100, 48000, 32000), 2: (22050, 24000, 16000), 0: (11025, 12000, 8000)}
 _V1 = {
     3: (0, 32, 64, 96, 128, 160, 192, 224, 256, 288, 320, 352, 384, 416, 448),
@@ -278,6 +280,7 @@ def parse_audio(files: DataFrame, id_col: str = "path", content_col: str = "cont
     types = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "map<string,string>": pa.map_(pa.string(), pa.string())}
     kinds = [types[x.split()[1]] for x in SCHEMA.split(", ")]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [parse(c.as_buffer().to_pybytes() if c.is_valid else b"") for c in batch.column("content")]
@@ -328,6 +331,7 @@ def pages_to_audio(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     """(page_id, content): the page's bytes as the payload of an audio stream whose form depends on the id."""
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").alias("url"), F.coalesce(F.col(f"`{html_col}`"), F.lit("")).alias("html"))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []

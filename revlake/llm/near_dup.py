@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bitmap import bitmap, may_hold
-from .common import written
+from .common import tidy, written
 from .words import distinct_by_row, mix, shingle_hashes, word_chunks
 
 SHINGLE = 3
@@ -93,6 +93,7 @@ def probability_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, n
 def _signatures(df: DataFrame, bands: int, rows: int, shingle: int) -> DataFrame:
     """(node, id, bands) of (node, id, text); bands is null for texts without words."""
 
+    @tidy
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, words, at in word_chunks(batch.column("text")):
@@ -109,6 +110,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float, shingle: int)
     """(a, b, similarity, same) of pairs (a, b); each text travels once for each side it is on."""
     both = pairs.join(texts.withColumnsRenamed({"node": "a", "text": "ta"}), "a").join(texts.withColumnsRenamed({"node": "b", "text": "tb"}), "b")
 
+    @tidy
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = []

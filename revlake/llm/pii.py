@@ -24,6 +24,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 #: For tests and examples. A corpus needs a key of its own, which stays secret.
 KEY = b"revlake example key"
 ROUNDS = 10
@@ -253,6 +255,7 @@ def pseudonymous(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, text, n_replaced, kinds) of every row."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Feistel(key)
         for batch in batches:
@@ -266,6 +269,7 @@ def replace_personal(docs: DataFrame, text_col: str = "text", key: bytes = KEY)
     """``docs`` with pseudonyms in its text column; all columns stay."""
     place = docs.columns.index(text_col)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Feistel(key)
         for batch in batches:

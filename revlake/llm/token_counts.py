@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import resident, text_chunks
+from .common import resident, text_chunks, tidy
 from .pretokens import distinct, pretokens
 from .vocabulary import VOCABULARY, encode_word, load
 
@@ -122,6 +122,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(load(vocabulary))
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = resident("token counts", vocabulary, lambda: TokenTransducer(shared.value))
         for batch in batches:

@@ -17,10 +17,8 @@ from .common import string_bytes, row_chunks
 WORD = np.zeros(256, bool)
 WORD[[*b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]] = True
 WORD[128:] = True
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _VALUES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 _SHINGLE = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x9C6EF372FE94F82B)]
 
 
@@ -31,17 +29,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _geometric(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2^64."""
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for i, base in enumerate((_BASE, _INVERSE)):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            _powers[i] = np.multiply.accumulate(p)
-    return _powers[0], _powers[1]
-
-
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, places of each row's words) of lower-cased UTF-8 rows."""
     if not len(data):
@@ -53,10 +40,15 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     starts = np.flatnonzero(word & (~before | edge[:-1]))
     after = np.r_[word[1:], False]
     ends = np.flatnonzero(word & (~after | edge[1:])) + 1
-    up, down = _geometric(len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * up[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts]), np.searchsorted(starts, offsets)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    lengths = ends - starts
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+    powers = np.full(int(lengths.max()), _BASE)
+    powers[0] = 1
+    powers = np.multiply.accumulate(powers)
+    return mix(np.add.reduceat(_VALUES[data[word]] * powers[place], first)), np.searchsorted(starts, offsets)
 
 
 def shingle_hashes(words: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +79,7 @@ def lowered(column: pa.Array) -> pa.Array:
     return pc.utf8_lower(column.cast(pa.large_string()))
 
 
-def word_chunks(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def word_chunks(column: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, word hashes, places) for ranges of rows."""
     data, offsets = string_bytes(lowered(column))
     for a, b in row_chunks(offsets, limit):
