@@ -1,14 +1,15 @@
-"""Interpolated modified Kneser-Ney smoothing over byte n-grams, as Spark joins between count tables.
+"""Interpolated modified Kneser-Ney smoothing over n-grams of bytes or tokens, as Spark joins between count tables.
 
-A gram of up to seven bytes is one LONG, the first byte highest. Every text is preceded by ``order - 1`` zero
-bytes, so all contexts are whole. The counts of the highest order come from the texts; a lower order counts the
-distinct bytes seen before a gram (continuation counts), so all orders derive from one table. Count tables are
-sharded by context (a window over ``model, gram >> 8``) and joined to the next lower order by suffix.
+A gram is one LONG, the first symbol highest: up to seven bytes, or up to three tokens of ``TOKEN_BITS`` (``tokens.py``).
+Every text is preceded by ``order - 1`` zero symbols, so all contexts are whole. The counts of the highest order come
+from the texts; a lower order counts the distinct symbols seen before a gram (continuation counts), so all orders derive
+from one table. Count tables are sharded by context (a window over ``model, gram >> bits``) and joined to the next
+lower order by suffix.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,25 +21,29 @@ from .common import text_chunks, tidy, written
 ORDER = 5
 
 
-def mask(k: int) -> int:
-    return (1 << 8 * k) - 1
+def mask(k: int, bits: int = 8) -> int:
+    return (1 << bits * k) - 1
 
 
-def byte_grams(data: np.ndarray, offsets: np.ndarray, order: int) -> np.ndarray:
-    """The gram that ends at each byte of the texts, as int64."""
+def byte_grams(data: np.ndarray, offsets: np.ndarray, order: int, bits: int = 8) -> np.ndarray:
+    """The gram that ends at each byte (or token of ``bits``) of the texts, as int64."""
     lengths, pad = np.diff(offsets), order - 1
     at = np.arange(len(data)) + np.repeat(np.arange(1, len(lengths) + 1) * pad, lengths)
     padded = np.zeros(len(data) + pad * len(lengths), np.int64)
     padded[at] = data
     grams = np.zeros(len(data), np.int64)
     for k in range(order):
-        grams <<= 8
+        grams <<= bits
         grams |= padded[at - (pad - k)]
     return grams
 
 
-def gram_counts(df: DataFrame, order: int = ORDER) -> DataFrame:
-    """(model, gram, n) over all rows of (model STRING, text STRING); combined per task before the shuffle."""
+def gram_counts(df: DataFrame, order: int = ORDER, grams_of: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """(model, gram, n) over all rows of (model STRING, text STRING); combined per task before the shuffle.
+
+    ``grams_of`` gives the grams of (bytes, offsets) if they aren't byte n-grams.
+    """
+    grams_of = grams_of or (lambda data, offsets: byte_grams(data, offsets, order))
 
     @tidy
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +64,7 @@ def gram_counts(df: DataFrame, order: int = ORDER) -> DataFrame:
                 for _, _, data, offsets in text_chunks(part.column("text")):
                     if len(data):
                         parts = held.setdefault(model, [])
-                        parts.append(np.unique(byte_grams(data, offsets, order), return_counts=True))
+                        parts.append(np.unique(grams_of(data, offsets), return_counts=True))
                         if len(parts) > 8:
                             held[model] = [merged(parts)]
         for model, parts in held.items():
@@ -79,13 +84,13 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k + 0.95) for k, d in enumerate(raw))
 
 
-def levels(counts: DataFrame, order: int = ORDER) -> dict[int, DataFrame]:
+def levels(counts: DataFrame, order: int = ORDER, bits: int = 8, symbols: int = 256) -> dict[int, DataFrame]:
     """{k: (model, gram, p, gamma, rank, stored)} for each order, as tables in the shared folder.
 
     ``p`` is the smoothed probability of the gram's last byte after the others; ``gamma`` the weight that the
     gram's context gives the next lower order; ``rank`` the last byte's place among the context's successors;
     ``stored`` the rank of the gram without its first byte: what a context-relative trie keeps. The base
-    distribution is uniform over 256 bytes. A run of zero bytes, the context before a text, is in every order
+    distribution is uniform over ``symbols``. A run of zero symbols, the context before a text, is in every order
     but the highest, with a count of 0 where no text has it; that changes no probability.
     """
     spark = counts.sparkSession
@@ -98,24 +103,24 @@ def levels(counts: DataFrame, order: int = ORDER) -> dict[int, DataFrame]:
         flat = [x for m, d in seen.items() for x in (F.lit(m), F.array(F.lit(0.0), *map(F.lit, d)))]
         by_model = F.create_map(*flat) if flat else F.create_map(F.lit(""), F.array(*[F.lit(0.0)] * 4))
         d = F.element_at(F.element_at(by_model, F.col("model")), F.least(F.col("n"), F.lit(3)).cast("int") + 1)
-        context = Window.partitionBy("model", F.shiftright("gram", 8))
+        context = Window.partitionBy("model", F.shiftright("gram", bits))
         total = F.sum("n").over(context)
         tables[k] = table.withColumn("d", d).select(
             "model", "gram", ((F.col("n") - F.col("d")) / total).alias("base"), (F.sum("d").over(context) / total).alias("gamma"),
             F.row_number().over(context.orderBy("gram")).cast("int").alias("rank"),
         )
         if k > 1:
-            lower = table.where("n > 0").groupBy("model", F.col("gram").bitwiseAND(mask(k - 1)).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+            lower = table.where("n > 0").groupBy("model", F.col("gram").bitwiseAND(mask(k - 1, bits)).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
             before = spark.createDataFrame([(m, 0, 0) for m in seen], "model string, gram long, n long")
             table = written(lower.unionByName(before).groupBy("model", "gram").agg(F.sum("n").alias("n")), "grams")
     out: dict[int, DataFrame] = {}
     for k in range(1, order + 1):
         t = tables[k]
         if k == 1:
-            t = t.select("model", "gram", (F.col("base") + F.col("gamma") / 256).alias("p"), "gamma", "rank", F.col("rank").alias("stored"))
+            t = t.select("model", "gram", (F.col("base") + F.col("gamma") / symbols).alias("p"), "gamma", "rank", F.col("rank").alias("stored"))
         else:
             low = out[k - 1].select("model", F.col("gram").alias("suffix"), F.col("p").alias("q"), F.col("rank").alias("stored"))
-            t = t.withColumn("suffix", F.col("gram").bitwiseAND(mask(k - 1))).join(low, ["model", "suffix"])
+            t = t.withColumn("suffix", F.col("gram").bitwiseAND(mask(k - 1, bits))).join(low, ["model", "suffix"])
             t = t.select("model", "gram", (F.col("base") + F.col("gamma") * F.col("q")).alias("p"), "gamma", "rank", "stored")
         out[k] = written(t, f"level{k}")
     return out
@@ -205,11 +210,11 @@ class GramCache:
             slot[open_] = (slot[open_] + 1) & (self.size - 1)
 
 
-def text_log2(cache: GramCache, data: np.ndarray, offsets: np.ndarray, order: int) -> np.ndarray:
-    """Sum of the log2 probabilities of each text's bytes."""
+def text_log2(cache: GramCache, data: np.ndarray, offsets: np.ndarray, order: int, bits: int = 8) -> np.ndarray:
+    """Sum of the log2 probabilities of each text's symbols."""
     sums = np.zeros(len(offsets) - 1)
     if len(data):
-        total = np.r_[0.0, np.cumsum(cache.get(byte_grams(data, offsets, order)), dtype=np.float64)]
+        total = np.r_[0.0, np.cumsum(cache.get(byte_grams(data, offsets, order, bits)), dtype=np.float64)]
         sums = total[offsets[1:]] - total[offsets[:-1]]
     return sums
 

@@ -1,13 +1,13 @@
 """LM scoring: an Elias-Fano n-gram trie with quantised Kneser-Ney probabilities.
 
-The counts of all byte n-grams of the corpus become one trie. Each level keeps, for its grams in order, the rank
-of the last byte among the successors of the context without its first byte (small numbers, made monotone by
+The counts of all n-grams of the corpus, of bytes or of the tokens of ``tokens.py``, become one trie. Each level keeps, for its grams in order, the rank
+of the last symbol among the successors of the context without its first one (small numbers, made monotone by
 adding the end of the sibling range before), the start of each gram's children, both as Elias-Fano sequences, and
-codes of the probability and the back-off weight. Shards hold ranges of first bytes; each is one file in the
+codes of the probability and the back-off weight. Shards hold ranges of first symbols; each is one file in the
 shared folder, memory-mapped by the scoring tasks. A gram is found from its prefix's children and its suffix's rank by
 a successor search in the sibling range.
 
-Null and empty texts have no bytes: 0 bytes and a null score. Rows with equal ids stay as they are.
+A score is the bits of all symbols of a text over its bytes. Null and empty texts have no bytes: 0 bytes and a null score. Rows with equal ids stay as they are.
 """
 
 from __future__ import annotations
@@ -21,14 +21,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_file, put_file, resident, shared_dir, text_chunks, tidy
-from .kneser_ney import ORDER, GramCache, gram_counts, levels, mask, text_log2
+from .kneser_ney import ORDER, GramCache, byte_grams, gram_counts, levels, mask, text_log2
+from .tokens import TOKEN_BITS, Tokens, token_vocabulary
 
 #: log2 of a probability is kept as a code of this step, up to 16 bits.
 STEP = 1 / 1024
 NONE = 65535
 SAMPLE = 64
-#: Grams of the highest order that one task encodes, as far as ranges of first bytes allow.
+#: Grams of the highest order that one task encodes, as far as ranges of first bytes allow; of token grams, whose numbers are larger.
 SHARD_GRAMS = 4_000_000
+SHARD_TOKEN_GRAMS = 1_000_000
+#: Most shards; beyond, they grow.
+SHARDS = 512
 
 
 def _select(words: np.ndarray, samples: np.ndarray, i: np.ndarray, flip: np.uint64) -> np.ndarray:
@@ -66,7 +70,8 @@ class EliasFano:
         n = len(values)
         universe = int(values[-1]) + 1 if n else 1
         bits = max(0, (universe // max(n, 1)).bit_length() - 1)
-        low = np.packbits(((values[:, None] >> np.arange(bits)) & 1).astype(np.uint8).ravel(), bitorder="little") if bits else np.zeros(0, np.uint8)
+        blocks = [values[a : a + 65536] for a in range(0, n, 65536)] if bits else []
+        low = np.concatenate([np.zeros(0, np.uint8), *[np.packbits(((v[:, None] >> np.arange(bits)) & 1).astype(np.uint8).ravel(), bitorder="little") for v in blocks]])
         unary = np.zeros(-(-(n + (universe >> bits) + 2) // 64) * 64, np.uint8)
         unary[(values >> bits) + np.arange(n)] = 1
         words = np.packbits(unary, bitorder="little").view(np.uint64)
@@ -136,19 +141,19 @@ def quantise(p: np.ndarray) -> np.ndarray:
     return np.minimum(np.rint(-np.log2(p) / STEP), NONE - 1).astype(np.uint16)
 
 
-def encode_shard(columns: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], order: int) -> bytes:
+def encode_shard(columns: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], order: int, bits: int = 8) -> bytes:
     """The file of one shard, from {level: (gram, stored, p, gamma)} sorted by gram."""
     arrays: list[np.ndarray] = []
     none = (np.zeros(0, np.int64),) * 2 + (np.zeros(0),) * 2
     for k in range(1, order + 1):
         gram, stored, p, _ = columns.get(k, none)
-        context = gram >> 8 if k > 1 else np.zeros(len(gram), np.int64)
+        context = gram >> bits if k > 1 else np.zeros(len(gram), np.int64)
         last = np.flatnonzero(context[1:] != context[:-1])
         ends = np.zeros(len(gram), np.int64)
         ends[last + 1] = stored[last]
         value = stored + np.cumsum(ends)
         child, _, _, child_gamma = columns.get(k + 1, none)
-        start = np.searchsorted(child >> 8, np.r_[gram, gram[-1:] + 1]) if k < order else np.zeros(0, np.int64)
+        start = np.searchsorted(child >> bits, np.r_[gram, gram[-1:] + 1]) if k < order else np.zeros(0, np.int64)
         weight = np.full(len(gram), NONE, np.uint16)
         if k < order and len(child):
             has = np.flatnonzero(start[1:] > start[:-1])
@@ -160,23 +165,24 @@ def encode_shard(columns: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np
 class Trie:
     """The memory-mapped shards below a folder."""
 
-    def __init__(self, folder: str, bounds: list[int], gamma: float, order: int):
-        self.bounds, self.gamma, self.order = np.array(bounds), gamma, order
+    def __init__(self, folder: str, bounds: list[int], gamma: float, order: int, bits: int = 8, symbols: int = 256):
+        self.bounds, self.gamma, self.order, self.bits, self.symbols = np.array(bounds), gamma, order, bits, symbols
         self.shards = []
         for s in range(len(bounds)):
             parts = unpack(map_file(f"{folder}/{s}.trie"))
             self.shards.append([(EliasFano.from_arrays(parts[i : i + 5]), EliasFano.from_arrays(parts[i + 5 : i + 10]), parts[i + 10], parts[i + 11]) for i in range(0, 12 * order, 12)])
 
     def log2(self, grams: np.ndarray) -> np.ndarray:
-        """log2 of the probability of each gram's last byte; the grams' parts of each length are looked up once."""
+        """log2 of the probability of each gram's last symbol; the grams' parts of each length are looked up once."""
+        bits = self.bits
         parts, place, first, rank, codes, weights = {}, {}, {}, {}, {}, {}
         for k in range(1, self.order + 1):
-            x = np.unique(np.concatenate([grams >> 8 * j & mask(k) for j in range(self.order - k + 1)]))
+            x = np.unique(np.concatenate([grams >> bits * j & mask(k, bits) for j in range(self.order - k + 1)]))
             parts[k], place[k], first[k] = x, np.full(len(x), -1, np.int64), np.zeros((len(x), 2), np.int64)
             rank[k], codes[k], weights[k] = np.zeros(len(x), np.int64), np.full(len(x), NONE, np.uint16), np.full(len(x), NONE, np.uint16)
             if k > 1:
-                prefix, suffix = np.searchsorted(parts[k - 1], x >> 8), np.searchsorted(parts[k - 1], x & mask(k - 1))
-            edges = np.searchsorted(x >> 8 * (k - 1), np.r_[self.bounds, 256])
+                prefix, suffix = np.searchsorted(parts[k - 1], x >> bits), np.searchsorted(parts[k - 1], x & mask(k - 1, bits))
+            edges = np.searchsorted(x >> bits * (k - 1), np.r_[self.bounds, 1 << bits])
             for s, shard in enumerate(self.shards):
                 ids, starts, p, weight = shard[k - 1]
                 own = np.arange(edges[s], edges[s + 1])
@@ -201,55 +207,64 @@ class Trie:
                     rank[k][own] = self._root_rank(x[own])
                 if k < self.order and len(i):
                     first[k][own] = np.c_[starts.get(i), starts.get(i + 1)]
-        out = np.full(len(grams), -8.0)
+        out = np.full(len(grams), -np.log2(self.symbols))
         for k in range(1, self.order + 1):
-            at = np.searchsorted(parts[k], grams & mask(k))
+            at = np.searchsorted(parts[k], grams & mask(k, bits))
             if k == 1:
                 back = np.full(len(grams), np.log2(self.gamma))
             else:
-                w = weights[k - 1][np.searchsorted(parts[k - 1], (grams & mask(k)) >> 8)]
+                w = weights[k - 1][np.searchsorted(parts[k - 1], (grams & mask(k, bits)) >> bits)]
                 back = np.where(w == NONE, 0.0, -STEP * w.astype(np.float64))
             code = codes[k][at]
             out = np.where(place[k][at] >= 0, -STEP * code.astype(np.float64), out + back)
         return out
 
     def _root_rank(self, symbols: np.ndarray) -> np.ndarray:
-        """A byte's place among all first bytes, over the shards."""
+        """A symbol's place among all first symbols, over the shards."""
         if not hasattr(self, "_root"):
             self._root = np.concatenate([s[0][0].get(np.arange(s[0][0].n)) - 1 for s in self.shards])
         return np.searchsorted(self._root, symbols) + 1
 
 
 def _open(model: dict) -> GramCache:
-    return GramCache(Trie(**model).log2)
+    return GramCache(Trie(**{k: v for k, v in model.items() if k != "vocabulary"}).log2)
 
 
-def build_trie(docs: DataFrame, text_col: str = "text", order: int = ORDER, shards: int = 16) -> dict | None:
+def build_trie(docs: DataFrame, text_col: str = "text", order: int = ORDER, shards: int = 16, tokens: bool = False) -> dict | None:
     """Count, smooth and encode the whole corpus; returns what ``Trie`` takes, or None if it has no bytes.
 
-    There are at least ``shards`` ranges of first bytes, and more where one would hold over ``SHARD_GRAMS`` grams.
+    There are at least ``shards`` ranges of first symbols, and more where one would hold over ``SHARD_GRAMS`` grams.
     """
     spark = docs.sparkSession
     texts = docs.select(F.lit("").alias("model"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    tables = levels(gram_counts(texts, order), order)
+    if tokens:
+        vocabulary, symbols = token_vocabulary(texts)
+        bits, most = TOKEN_BITS, SHARD_TOKEN_GRAMS
+        counts = gram_counts(texts, order, lambda data, offsets: byte_grams(*Tokens.of(vocabulary).split(data, offsets), order, TOKEN_BITS))
+    else:
+        vocabulary, symbols, bits, most, counts = None, 256, 8, SHARD_GRAMS, gram_counts(texts, order)
+    tables = levels(counts, order, bits, symbols)
     root = tables[1].limit(1).collect()
     if not root:
         return None
-    mass = {r["b"]: r["n"] for r in tables[order].groupBy(F.shiftright("gram", 8 * (order - 1)).alias("b")).count().withColumnRenamed("count", "n").collect()}
-    bounds, held, each = [0], 0, max(1, min(SHARD_GRAMS, sum(mass.values()) / shards))
-    for b in range(256):
+    first = F.shiftright("gram", bits * (order - 1))
+    # the many words share ranges of 512, which keeps this list short
+    mass = {r["b"]: r["n"] for r in tables[order].groupBy(F.when(first < 512, first).otherwise(F.shiftleft(F.shiftright(first, 9), 9)).alias("b")).count().withColumnRenamed("count", "n").collect()}
+    bounds, held = [0], 0
+    each = max(1, min(most, sum(mass.values()) / shards), sum(mass.values()) / SHARDS)
+    for b in sorted(mass):
         if held >= each:
             bounds.append(b)
             held = 0
-        held += mass.get(b, 0)
+        held += mass[b]
     folder = shared_dir(spark, "trie")
-    shard = F.lit(0)
-    for s, b in enumerate(bounds):
-        shard = F.when(F.col("first") >= b, s).otherwise(shard)
+    shard = F.when(F.col("first") >= bounds[-1], len(bounds) - 1)
+    for s, b in reversed(list(enumerate(bounds[:-1]))):
+        shard = shard.when(F.col("first") >= b, s)
     every = None
     for k, t in tables.items():
         stored = F.col("gram").cast("int") + 1 if k == 1 else F.col("stored")
-        t = t.select(F.lit(k).alias("k"), "gram", stored.alias("stored"), "p", "gamma", F.shiftright("gram", 8 * (k - 1)).alias("first"))
+        t = t.select(F.lit(k).alias("k"), "gram", stored.alias("stored"), "p", "gamma", F.shiftright("gram", bits * (k - 1)).alias("first"))
         every = t if every is None else every.unionByName(t)
     every = every.withColumn("shard", shard).repartition(len(bounds), "shard").sortWithinPartitions("shard", "k", "gram")
 
@@ -259,7 +274,7 @@ def build_trie(docs: DataFrame, text_col: str = "text", order: int = ORDER, shar
         done: list[int] = []
 
         def flush(s: int) -> None:
-            put_file(f"{folder}/{s}.trie", encode_shard({k: tuple(np.concatenate(c) for c in zip(*v, strict=True)) for k, v in held.pop(s).items()}, order))
+            put_file(f"{folder}/{s}.trie", encode_shard({k: tuple(np.concatenate(c) for c in zip(*v, strict=True)) for k, v in held.pop(s).items()}, order, bits))
             done.append(s)
 
         for batch in batches:
@@ -277,8 +292,8 @@ def build_trie(docs: DataFrame, text_col: str = "text", order: int = ORDER, shar
 
     made = {r["shard"] for r in every.select("shard", "k", "gram", "stored", "p", "gamma").mapInArrow(encode, "shard int").collect()}
     for s in set(range(len(bounds))) - made:  # a range of first bytes that no gram has
-        put_file(f"{folder}/{s}.trie", encode_shard({}, order))
-    return {"folder": folder, "bounds": bounds, "gamma": root[0]["gamma"], "order": order}
+        put_file(f"{folder}/{s}.trie", encode_shard({}, order, bits))
+    return {"folder": folder, "bounds": bounds, "gamma": root[0]["gamma"], "order": order, "bits": bits, "symbols": symbols, "vocabulary": vocabulary}
 
 
 def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -287,13 +302,15 @@ def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
 
     @tidy
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = resident("lm", model["folder"], lambda: _open(model)) if model else None
+        cache = resident("lm", model["folder"], lambda: _open(model), 2) if model else None
         for batch in batches:
             n, bits = np.zeros(len(batch), np.int64), np.zeros(len(batch))
             for a, b, data, offsets in text_chunks(batch.column("text")):
                 n[a:b] = np.diff(offsets)
                 if model:
-                    bits[a:b] = -text_log2(cache, data, offsets, model["order"])
+                    if model["vocabulary"]:
+                        data, offsets = Tokens.of(model["vocabulary"]).split(data, offsets)
+                    bits[a:b] = -text_log2(cache, data, offsets, model["order"], model["bits"])
             empty = n == 0
             bits = bits / np.maximum(n, 1)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(bits, mask=empty), pa.array(np.exp2(bits), mask=empty)], ["doc_id", "n_bytes", "bits_per_byte", "perplexity"])
@@ -302,6 +319,6 @@ def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
     return rows.mapInArrow(score, f"doc_id {kind}, n_bytes long, bits_per_byte double, perplexity double")
 
 
-def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
-    """Perplexity per byte of every document under the n-gram model of the whole table."""
-    return score_documents(docs, build_trie(docs, text_col, order), id_col, text_col)
+def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, tokens: bool = False) -> DataFrame:
+    """Perplexity per byte of every document under the n-gram model of the whole table, of bytes or of tokens."""
+    return score_documents(docs, build_trie(docs, text_col, order, tokens=tokens), id_col, text_col)

@@ -24,7 +24,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_score(_table(spark, sf_dir, "documents"))
+    return lm_score(_table(spark, sf_dir, "documents"), order=3, tokens=True)
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
