@@ -13,17 +13,21 @@ base32 of the block and, for responses, of the payload behind the HTTP header.
 Addresses may hold spaces: fields are split off from the right. Years of two digits, dates of 8 to 14
 digits and lengths that overrun the file are accepted; a record is then ``truncated``. Where no header line stands, the
 reader goes to the next line that is one, and the record that follows counts the bytes it skipped. A file compressed
-as one or more gzip members is read through. A null or empty file has no records; a file of junk alone has none.
+as one or more gzip members is read through: of a damaged member what inflates before the error is kept, a record cut there
+is ``truncated``, and reading goes on at the next member; bytes passed over, there or between members, count as skipped by the
+record that follows. Damage that only the checksum at a member's end shows leaves the block as it inflates. A null or empty file has no records; a file of junk alone has none.
 """
 
 from __future__ import annotations
 
 import base64
+import contextlib
 import datetime
 import hashlib
 import re
 import uuid
 import zlib
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -58,38 +62,78 @@ class Record:
     block: bytes
 
 
-def gunzip(data: bytes) -> bytes:
-    """All members of a gzip file; what follows a damaged one is lost."""
+_MEMBER = b"\x1f\x8b\x08"
+
+
+def gunzip(data: bytes) -> tuple[bytes, list[tuple[int, int, bool]]]:
+    """All members of a gzip file, and its gaps: place in the inflated bytes, bytes passed over, whether data is lost there."""
     if data[:2] != b"\x1f\x8b":
-        return data
-    out, at, step = [], 0, 1 << 16
-    while data[at : at + 2] == b"\x1f\x8b":
-        member = zlib.decompressobj(31)
-        try:
-            while not member.eof and at < len(data):
-                out.append(member.decompress(data[at : at + step]))
-                at += step
-        except zlib.error:
-            break
-        at = min(at, len(data)) - len(member.unused_data)
-    return b"".join(out)
+        return data, []
+    out, size, gaps, at, step = [], 0, [], 0, 1 << 16
+
+    def skip(lost: bool) -> int:
+        later = data.find(_MEMBER, at)
+        later = len(data) if later < 0 else later
+        gaps.append((size, later - at, lost))
+        return later
+
+    while at < len(data):
+        if data[at : at + 3] != _MEMBER:
+            at = skip(False)
+            continue
+        start, member, broken, parts = at, zlib.decompressobj(31), False, []
+        while not member.eof and not broken and at < len(data):
+            chunk, before = data[at : at + step], member.copy()
+            try:
+                parts.append(member.decompress(chunk))
+                at += len(chunk)
+            except zlib.error:  # again byte by byte, up to the error
+                broken = True
+                with contextlib.suppress(zlib.error):
+                    for k in range(len(chunk)):
+                        parts.append(before.decompress(chunk[k : k + 1]))
+                        at += 1
+        inner = None if member.eof else _inner(data, start + 1, at)
+        if inner is not None:  # a stored block that was cut short took the next members for its own bytes
+            parts, at = [zlib.decompressobj(31).decompress(data[start:inner])], inner
+        out += parts
+        size += sum(map(len, parts))
+        if inner is not None:
+            gaps.append((size, 0, True))
+        else:
+            at = skip(True) if broken else at - len(member.unused_data)
+    return b"".join(out), gaps
+
+
+def _inner(data: bytes, at: int, end: int) -> int | None:
+    """The first place of a range where a member stands that starts with a record's header line."""
+    while (at := data.find(_MEMBER, at, end)) >= 0:
+        with contextlib.suppress(zlib.error):
+            line = zlib.decompressobj(31).decompress(data[at : at + (1 << 16)], 1 << 16).split(b"\n")[0].rstrip(b"\r")
+            if _V2.match(line) or _V1.match(line):
+                return at
+        at += 1
+    return None
 
 
-def records(data: bytes) -> Iterator[Record]:
-    at, skipped = 0, 0
+def records(data: bytes, gaps: list[tuple[int, int, bool]] | tuple = ()) -> Iterator[Record]:
+    at, skipped, gaps = 0, 0, deque(gaps)
     while at < len(data):
-        end = data.find(b"\n", at)
-        end = len(data) if end < 0 else end
-        line = data[at:end].rstrip(b"\r") if end - at <= 1 << 16 else b""
+        stop = next((place for place, _, lost in gaps if lost and place > at), len(data))
+        end = data.find(b"\n", at, stop)
+        end = stop if end < 0 else end
+        line = data[at:end].rstrip(b"\r")
         m = _V2.match(line) or _V1.match(line)
         if not m:
-            skipped += end + 1 - at if line.strip() else 0
-            at = end + 1
+            skipped += min(end + 1, stop) - at if line.strip() else 0
+            at = min(end + 1, stop)
             continue
+        while gaps and gaps[0][0] <= at:
+            skipped += gaps.popleft()[1]
         length = int(m["length"])
-        block = data[end + 1 : end + 1 + length]
+        block = data[end + 1 : min(end + 1 + length, stop)]
         yield Record(at, 2 if m.re is _V2 else 1, skipped, len(block) < length, m["url"], m["ip"], m["date"], m["type"], block)
-        at, skipped = end + 1 + length, 0
+        at, skipped = min(end + 1 + length, stop), 0
 
 
 def iso_date(date: bytes) -> str | None:
@@ -120,7 +164,7 @@ def payload(block: bytes) -> bytes | None:
 
 def convert(path: str, data: bytes) -> Iterator[tuple]:
     """Rows of SCHEMA."""
-    for r in records(gunzip(data)):
+    for r in records(*gunzip(data)):
         url, date, digest = r.url.decode("utf-8", "replace"), iso_date(r.date), sha1(r.block)
         body = payload(r.block)
         kind, content = "resource", r.type.decode("utf-8", "replace")
