@@ -5,7 +5,9 @@ and sample rate follows at its end. Elsewhere the reader resynchronises: it goes
 counts what it skipped; a header of the stream with no such place within its length is a frame before junk. ID3v2 and APEv2 at the start, ID3v1 and APEv2 at the end are parsed or passed over. A first frame that
 holds a Xing, Info or VBRI table is no audio; its frame count, seek points and the encoder's delay and padding are
 kept. The duration is the samples of all whole frames, less delay and padding, over the sample rate. Checksums of protected
-frames are verified in every layer. Streams of free bitrate, whose frames declare no length, count as junk.
+frames are verified in every layer. In a stream of free bitrate, whose headers declare no
+length, it is the distance to the next equal header, found once where a third header or the end of the file confirms it; a lone
+frame of free bitrate has no such place and counts as junk.
 
 A null or empty file, or one without frames, has 0 frames and null stream columns. A frame cut off by the end of the
 file is not counted; the file is then ``truncated``. Of tags named twice the first stays.
@@ -33,6 +35,8 @@ _V2[1] = _V2[2]
 _NAMES = {3: "1", 2: "2", 0: "2.5"}
 #: Layer II: bits of the allocation of each subband, by table.
 _ALLOCATION = {"high": (4,) * 11 + (3,) * 12 + (2,) * 7, "low": (4,) * 2 + (3,) * 10, "lsf": (4,) * 4 + (3,) * 7 + (2,) * 19}
+#: Most bytes of a frame of free bitrate.
+FREE_BYTES = 1 << 15
 SCHEMA = (
     "mpeg_version string, layer int, sample_rate int, channels int, n_frames long, n_samples long, duration double, bitrate_mode string, bitrate int, table_kind string, table_frames long, "
     "table_toc array<int>, delay int, padding int, crc_ok long, crc_bad long, skipped long, truncated boolean, tags map<string,string>, offsets array<long>"
@@ -42,7 +46,7 @@ SCHEMA = (
 class Header:
     """What four bytes say; None from ``header`` if they are no frame header."""
 
-    __slots__ = ("bitrate", "channels", "extension", "layer", "length", "mode", "protected", "rate", "samples", "side", "version")
+    __slots__ = ("bitrate", "channels", "extension", "free", "layer", "length", "mode", "protected", "rate", "samples", "side", "version")
 
 
 _headers: dict[int, Header | None] = {}
@@ -63,6 +67,7 @@ def _read(raw: int) -> Header | None:
     if raw >> 21 != 0x7FF or version == 1 or layer == 0 or rate == 3 or bits in (0, 15) or raw & 3 == 2:
         return None
     h = Header()
+    h.free = False
     h.version, h.layer, h.rate, h.mode, h.extension = version, 4 - layer, _RATES[version][rate], raw >> 6 & 3, raw >> 4 & 3
     h.bitrate, h.protected, h.channels = (_V1 if version == 3 else _V2)[layer][bits], not raw >> 16 & 1, 1 if h.mode == 3 else 2
     padding = raw >> 9 & 1
@@ -72,6 +77,37 @@ def _read(raw: int) -> Header | None:
     return h
 
 
+def _free(data: bytes, at: int, base: int) -> Header | None:
+    """The header of a frame of free bitrate, which has ``base`` bytes without padding."""
+    raw = int.from_bytes(data[at : at + 4]) if at + 4 <= len(data) else 0
+    h = _read(raw | 1 << 12) if raw >> 12 & 15 == 0 else None
+    if h is not None:
+        slot = 4 if h.layer == 1 else 1
+        h.free, h.length = True, base + slot * (raw >> 9 & 1)
+        h.bitrate = round(base * h.rate / (48000 if h.layer == 1 else h.samples // 8 * 1000))
+    return h
+
+
+def _free_base(data: bytes, at: int, end: int) -> int | None:
+    """Bytes without padding of the frames of the free bitrate stream that begins here; None if none does."""
+    h = _free(data, at, 0)
+    if h is None:
+        return None
+    same = lambda p: p + 4 <= end and int.from_bytes(data[p : p + 4]) & 0xFFFFFC00 == int.from_bytes(data[at : at + 4]) & 0xFFFFFC00
+    later = at + 24
+    while (later := data.find(data[at : at + 2], later, min(end, at + FREE_BYTES))) >= 0:
+        base = later - at - h.length
+        n = _free(data, later, base) if same(later) else None
+        if n is not None and (later + n.length == end or same(later + n.length)):
+            return base
+        later += 1
+    return None
+
+
+def _header(data: bytes, at: int, base: int | None) -> Header | None:
+    return header(data, at) if base is None else _free(data, at, base)
+
+
 def _crc_table() -> list[int]:
     out = []
     for byte in range(256):
@@ -104,7 +140,7 @@ def protected_bits(h: Header, body: bytes) -> int:
     bound = 4 * (h.extension + 1) if h.mode == 1 else 32
     if h.layer == 1:
         return 4 * (32 if h.channels == 1 else min(bound, 32) + 32)
-    each = h.bitrate // h.channels
+    each = 192 if h.free else h.bitrate // h.channels
     if h.version != 3:
         kind, bands = "lsf", 30
     elif (h.rate == 48000 and each >= 56) or 56 <= each <= 80:
@@ -207,7 +243,7 @@ def parse(data: bytes) -> dict:
     if end - at >= 32 and data[end - 32 : end - 24] == b"APETAGEX":
         end = max(at, end - int.from_bytes(data[end - 20 : end - 16], "little") - 32 * (data[end - 9] >> 7))
     first, table, offsets, rates, crc, skipped, truncated = None, None, [], set(), [0, 0], 0, False
-    at = min(at, end)
+    at, base = min(at, end), None
 
     def take(at: int, after: int, h: Header) -> None:
         offsets.append(at)
@@ -216,10 +252,12 @@ def parse(data: bytes) -> dict:
             crc[int.from_bytes(data[at + 4 : at + 6]) != checksum(h, data[at:after])] += 1
 
     while at < end:
-        h = header(data, at)
+        if first is None:
+            base = _free_base(data, at, end)
+        h = _header(data, at, base)
         if h is not None and (first is None or (h.version, h.layer, h.rate) == first):
             after = at + h.length
-            n = header(data, after) if after + 4 <= end else None
+            n = _header(data, after, base) if after + 4 <= end else None
             if after == end or (n is not None and (n.version, n.layer, n.rate) == (h.version, h.layer, h.rate)):
                 if first is None:
                     first = h.version, h.layer, h.rate
@@ -234,13 +272,13 @@ def parse(data: bytes) -> dict:
                 skipped += end - at
                 break
             if first is not None and offsets and after < end:
-                later = _resync(data, at + 1, end, first)
+                later = _resync(data, at + 1, end, first, base)
                 if later is not None and later >= after:  # junk follows a whole frame
                     take(at, after, h)
                     skipped += later - after
                     at = later
                     continue
-        later = _resync(data, at + 1, end, first)
+        later = _resync(data, at + 1, end, first, base)
         if later is None:
             skipped += end - at
             break
@@ -258,16 +296,18 @@ def parse(data: bytes) -> dict:
     return out
 
 
-def _resync(data: bytes, at: int, end: int, first: tuple | None) -> int | None:
+def _resync(data: bytes, at: int, end: int, first: tuple | None, base: int | None) -> int | None:
     """The next place where a frame of the stream, if there is one already, and then another header or the end stand."""
     while True:
         at = data.find(b"\xff", at, end)
         if at < 0:
             return None
-        h = header(data, at)
+        if first is None:
+            base = _free_base(data, at, end)
+        h = _header(data, at, base)
         if h is not None and (first is None or (h.version, h.layer, h.rate) == first):
             after = at + h.length
-            n = header(data, after) if after + 4 <= end else None
+            n = _header(data, after, base) if after + 4 <= end else None
             if after == end or (n is not None and (n.version, n.layer, n.rate) == (h.version, h.layer, h.rate)):
                 return at
         at += 1
