@@ -125,3 +125,9 @@ def row_count_band(counts: DataFrame, by: Sequence[str], order: str, n: str, ban
     before = F.lag(n).over(Window.partitionBy(*by).orderBy(order))
     rows = counts.withColumn("before", before).withColumn("share", F.abs(F.try_divide(F.col(n) - F.col("before"), F.col("before"))))
     return rows.where(F.col("share") > band)
+
+
+def release_gaps(observations: DataFrame, days: int = 3) -> DataFrame:
+    """Releases that aren't ``days`` days after their report date, or unknown: report_date, release_date, release_date_source, gap, n."""
+    rows = observations.withColumn("gap", F.datediff(F.col("release_date").cast("date"), F.col("report_date").cast("date")))
+    return rows.where(~F.col("gap").eqNullSafe(F.lit(days))).groupBy("report_date", "release_date", "release_date_source", "gap").agg(F.count("*").alias("n"))

@@ -226,3 +226,7 @@ class Vintage:
             resolved = R.backfill(self.observations(), schedule)
             self.store.replace(resolved, "observations", ["report_year"])
         return {r["release_date_source"]: r["n"] for r in R.source_counts(self.observations()).collect()}
+
+    def release_gaps(self) -> DataFrame:
+        """Releases that aren't three days after their report date: holiday shifts, backlog weeks, unknown dates."""
+        return Q.release_gaps(self.observations())
