@@ -5,17 +5,26 @@ of its format's domain, permuted there by a keyed Feistel network with cycle wal
 format: equal values get equal pseudonyms in every document, distinct ones distinct, and a pseudonym is valid in
 turn. Values of one kind and length are linked even where their separators differ.
 
-Kinds: e-mail addresses (the local part), secrets after a key word such as ``token =``, IBANs, IPv4 addresses, payment cards (13
-to 19 digits that pass Luhn), social security numbers, dates of 1900 to 2099 and telephone numbers. Numbers that
-fail validation stay. Where two matches overlap, the kind named first wins. A null text stays null, with 0
-replacements; all other columns stay as they are.
+Kinds: e-mail addresses (the whole local part), secrets after a key word such as ``token =``, bearer tokens and access key
+ids, IBANs, IPv4 addresses, payment cards (13 to 19 digits that pass Luhn), social security numbers, numeric dates of 1900 to 2099 and
+telephone numbers (7 to 15 digits in the groups of one). Numbers that fail validation stay. Where two matches overlap, the kind
+named first wins.
+
+Letters and digits of a value stay in their alphabet: ASCII and Latin-1 by case, else those of one category within 256 code
+points. A value with up to ``WIDE`` bits of such choices is one number; a longer one is permuted as a string by an unbalanced
+Feistel network whose halves are added modulo each character's alphabet, so that the time grows with the length alone.
+
+A null text stays null and an empty one empty, with 0 replacements; all other columns stay as they are. Each row is
+handled by itself: repeated rows and ids change nothing. Texts and values may be of any length.
 """
 
 from __future__ import annotations
 
 import datetime
 import hashlib
+import functools
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,13 +38,60 @@ from .common import tidy
 #: For tests and examples. A corpus needs a key of its own, which stays secret.
 KEY = b"revlake example key"
 ROUNDS = 10
+#: Bits of a number that one digest and a spare of 64 bits cover on either side of the network.
+WIDE = 256
 _FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 _ALPHABETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"]
-_CLASS = {c: a for a in _ALPHABETS for c in a}
+
+
+class Alphabets:
+    """Alphabet and place in it of every code point."""
+
+    def __init__(self, alphabets: list[str]):
+        self.size, self.place, self.start = np.ones(0x110000, np.int64), np.zeros(0x110000, np.int64), np.arange(0x110000)
+        members = [np.array([*map(ord, a)]) for a in alphabets]
+        self.points = np.concatenate(members + [np.arange(0x110000)])
+        self.start += sum(map(len, members))
+        at = 0
+        for m in members:
+            self.size[m], self.place[m], self.start[m] = len(m), np.arange(len(m)), at
+            at += len(m)
+
+    def add(self, others: list[np.ndarray]) -> Alphabets:
+        """With further alphabets of characters that none has so far."""
+        at = len(self.points)
+        self.points = np.concatenate([self.points, *others])
+        for m in others:
+            self.size[m], self.place[m], self.start[m] = len(m), np.arange(len(m)), at
+            at += len(m)
+        return self
+
+    def split(self, s: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(code points, sizes of their alphabets, places in them)."""
+        points = np.frombuffer(s.encode("utf-32-le"), np.uint32).astype(np.int64)
+        return points, self.size[points], self.place[points]
+
+    def join(self, points: np.ndarray, place: np.ndarray) -> str:
+        return self.points[self.start[points] + place].astype(np.uint32).tobytes().decode("utf-32-le")
+
+
+@functools.cache
+def any_letters() -> Alphabets:
+    groups: dict[tuple[str, int], list[int]] = {}
+    own = {*map(ord, "".join(_ALPHABETS))}
+    for p in range(128, 0x110000):
+        if p not in own and chr(p).isalnum():
+            groups.setdefault((unicodedata.category(chr(p)), p >> 8), []).append(p)
+    return Alphabets(_ALPHABETS).add([np.array(g) for g in groups.values()])
+
+
+@functools.cache
+def hex_digits() -> Alphabets:
+    return Alphabets(["0123456789abcdef"])
 
 
 class Feistel:
-    """A keyed permutation of range(n) for each n and tweak."""
+    """A keyed permutation of range(n), or of the strings of one format, for each tweak."""
 
     def __init__(self, key: bytes = KEY, rounds: int = ROUNDS):
         self.key, self.rounds = hashlib.blake2b(key, digest_size=32).digest(), rounds
@@ -48,17 +104,14 @@ class Feistel:
         for r in order:
             if backward:
                 left, right = right, left
-            out, block = b"", 0
-            while len(out) < size:
-                out += hashlib.blake2b(right.to_bytes(half // 8 + 1) + bytes([r, block]) + tweak, key=self.key).digest()
-                block += 1
-            left ^= int.from_bytes(out[:size]) & mask
+            digest = hashlib.blake2b(right.to_bytes(half // 8 + 1) + bytes([r, 0]) + tweak, key=self.key).digest()
+            left ^= int.from_bytes(digest[:size]) & mask
             if not backward:
                 left, right = right, left
         return left << half | right
 
     def permute(self, x: int, n: int, tweak: bytes, ok: Callable[[int], bool] = lambda _: True, back: bool = False) -> int:
-        """Image (or pre-image) of x within the numbers below n that are ok; x is one of them."""
+        """Image (or pre-image) of x within the numbers below n that are ok; x is one of them. n has at most ``WIDE`` bits."""
         if n < 2:
             return x
         half = max(1, -(-(n - 1).bit_length() // 2))
@@ -71,22 +124,35 @@ class Feistel:
     def digits(self, s: str, tweak: bytes, back: bool = False) -> str:
         return str(self.permute(int(s), 10 ** len(s), tweak + b"%d" % len(s), back=back)).zfill(len(s))
 
-    def letters(self, s: str, tweak: bytes, alphabets: dict[str, str] = _CLASS, back: bool = False) -> str:
+    def letters(self, s: str, tweak: bytes, alphabets: Alphabets | None = None, back: bool = False) -> str:
         """Each character stays in its alphabet; others stay as they are."""
-        kinds = [alphabets.get(c) for c in s]
+        alphabets = alphabets or any_letters()
+        points, size, place = alphabets.split(s)
+        tweak += alphabets.join(points, np.zeros(len(s), np.int64)).encode()
+        free = np.flatnonzero(size > 1)
+        if np.log2(size[free]).sum() >= WIDE - 1:
+            place[free] = self._string(place[free], size[free], tweak, back)
+            return alphabets.join(points, place)
         x, n = 0, 1
-        for c, a in zip(s, kinds, strict=True):
-            if a:
-                x, n = x * len(a) + a.index(c), n * len(a)
-        shape = "".join(c if a is None else a[0] for c, a in zip(s, kinds, strict=True))
-        x = self.permute(x, n, tweak + shape.encode(), back=back)
-        out = []
-        for c, a in zip(reversed(s), reversed(kinds), strict=True):
-            if a:
-                x, i = divmod(x, len(a))
-                c = a[i]
-            out.append(c)
-        return "".join(reversed(out))
+        for a, i in zip(size[free].tolist(), place[free].tolist(), strict=True):
+            x, n = x * a + i, n * a
+        x = self.permute(x, n, tweak, back=back)
+        for k in reversed(free.tolist()):
+            x, place[k] = divmod(x, int(size[k]))
+        return alphabets.join(points, place)
+
+    def _string(self, place: np.ndarray, size: np.ndarray, tweak: bytes, back: bool) -> np.ndarray:
+        """The halves take turns: one is hashed with the tweak and the round, and its digest's stream is added to the other."""
+        cut = len(place) // 2
+        place, size = place.astype(np.int32), size.astype(np.int32)
+        halves, sizes = [place[:cut], place[cut:]], [size[:cut], size[cut:]]
+        seed = hashlib.blake2b(tweak, key=self.key).digest()
+        for r in range(self.rounds - 1, -1, -1) if back else range(self.rounds):
+            to, by = r % 2, 1 - r % 2
+            digest = hashlib.blake2b(seed + bytes([r]) + halves[by].astype(np.uint8).tobytes(), key=self.key).digest()
+            step = np.frombuffer(hashlib.shake_128(digest).digest(2 * len(halves[to])), "<u2").astype(np.int32)
+            halves[to] = (halves[to] + (-step if back else step)) % sizes[to]
+        return np.concatenate(halves)
 
 
 def _fill(shape: str, digits: str) -> str:
@@ -188,20 +254,25 @@ def _email(m: re.Match, f: Feistel, back: bool) -> str:
     return f.letters(m["local"], b"email", back=back) + m["domain"]
 
 
-_HEX = {c: "0123456789abcdef" for c in "0123456789abcdef"}
-
-
 def _secret(m: re.Match, f: Feistel, back: bool) -> str:
     value = m["value"]
-    new = f.letters(value, b"secret", _HEX if re.fullmatch(r"[0-9a-f]+", value) else _CLASS, back)
+    new = f.letters(value, b"secret", hex_digits() if re.fullmatch(r"[0-9a-f]+", value) else None, back)
     return m[0][: m.start("value") - m.start()] + new + m[0][m.end("value") - m.start() :]
 
 
+def _key(m: re.Match, f: Feistel, back: bool) -> str | None:
+    """A bearer token with a digit in it, or an access key id, whose first four letters stay."""
+    if m["id"]:
+        return m["id"][:4] + f.letters(m["id"][4:], b"key id", back=back)
+    return _secret(m, f, back) if re.search("[0-9]", m["value"]) else None
+
+
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 #: (kind, a string all its matches have one of, pattern, replacement), in order of precedence.
 KINDS: list[tuple[str, str, re.Pattern, Callable]] = [
-    ("email", "@", re.compile(r"(?P<local>(?<![\w.+%-])[\w.+%-]{1,64}|(?<=[\w.+%-])[\w.+%-]{64})(?P<domain>@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24})"), _email),
+    ("email", "@", re.compile(r"(?<![\w.+%-])(?P<local>[\w.+%-]++)(?P<domain>@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24})"), _email),
     ("secret", "", re.compile(r"(?i)(?<![A-Za-z0-9])(?:token|secret|password|passwd|pwd|api[_ -]?key|access[_ -]?key|private[_ -]?key)[\"']?\s{0,4}[=:]\s{0,4}[\"']?(?P<value>[A-Za-z0-9_+/-]{12,}={0,2})"), _secret),
+    ("secret", "", re.compile(r"(?<![A-Za-z0-9])(?:[Bb]earer\s{1,4}(?P<value>[A-Za-z0-9_+/.-]{16,}={0,2})|(?P<id>(?:AKIA|ASIA)[A-Z0-9]{16})(?![A-Za-z0-9]))"), _key),
     ("iban", "", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"), _iban),
     ("ip", ".", re.compile(rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"), _ip),
     ("card", "", re.compile(r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"), _card),
@@ -209,7 +280,7 @@ KINDS: list[tuple[str, str, re.Pattern, Callable]] = [
     ("date", "", re.compile(r"(?<![0-9/.-])(?:[0-9]{4}(?P<s>[-/.])[0-9]{1,2}(?P=s)[0-9]{1,2}|[0-9]{1,2}(?P<t>[-/.])[0-9]{1,2}(?P=t)[0-9]{4})(?![0-9]|[/.-][0-9])"), _date),
     ("phone", "", re.compile(r"(?<![0-9A-Za-z+])(?:(?P<country>\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[.-])[0-9]{3,4}[ .-][0-9]{3,4}|(?P<plain>\+[0-9]{1,3})(?:[ .-]?[0-9]{2,4}){2,5})(?![0-9])"), _phone),
 ]
-_MAYBE = "[0-9@]|(?i:token|secret|passw|pwd|key)"
+_MAYBE = "[0-9@]|AKIA|ASIA|(?i:token|secret|passw|pwd|key)"
 
 
 def pseudonymise(text: str, f: Feistel, back: bool = False) -> tuple[str, list[str]]:

@@ -1,4 +1,7 @@
+import hashlib
+import random
 import re
+import time
 
 import pytest
 
@@ -79,3 +82,57 @@ def test_tables(spark):
 
 def test_every_kind_is_tested():
     assert {k for k, *_ in KINDS} == set(VALUES)
+
+
+def plain_permute(key, x, n, tweak, rounds=10):
+    """The network by its definition, on whole numbers."""
+    key, half = hashlib.blake2b(key, digest_size=32).digest(), max(1, ((n - 1).bit_length() + 1) // 2)
+    while True:
+        left, right = divmod(x, 2**half)
+        for r in range(rounds):
+            digest = hashlib.blake2b(right.to_bytes(half // 8 + 1, "big") + bytes((r, 0)) + tweak, key=key).digest()
+            left, right = right, left ^ int.from_bytes(digest[: half // 8 + 9], "big") % 2**half
+        x = left * 2**half + right
+        if x < n:
+            return x
+
+
+def plain_string(key, s, alphabet, tweak, rounds=10):
+    """The unbalanced network by its definition, character by character."""
+    key, cut = hashlib.blake2b(key, digest_size=32).digest(), len(s) // 2
+    seed = hashlib.blake2b(tweak + (alphabet[0] * len(s)).encode(), key=key).digest()
+    halves = [[alphabet.index(c) for c in part] for part in (s[:cut], s[cut:])]
+    for r in range(rounds):
+        to, by = halves[r % 2], halves[1 - r % 2]
+        digest = hashlib.blake2b(seed + bytes([r]) + bytes(by), key=key).digest()
+        stream = hashlib.shake_128(digest).digest(2 * len(to))
+        to[:] = [(x + stream[2 * i] + 256 * stream[2 * i + 1]) % len(alphabet) for i, x in enumerate(to)]
+    return "".join(alphabet[i] for half in halves for i in half)
+
+
+def test_against_the_network_written_out():
+    for s in ("7", "042", "99887766554433"):
+        assert F1.digits(s, b"t") == str(plain_permute(b"one", int(s), 10 ** len(s), b"t%d" % len(s))).zfill(len(s))
+    assert pseudonymise("129.38.82.176", F1)[0] == ".".join(map(str, plain_permute(b"one", 0x812652B0, 2**32, b"ip").to_bytes(4, "big")))
+    for n in (65, 66, 1000):
+        value = "".join(random.Random(n).choices("0123456789abcdef", k=n))
+        assert pseudonymise(f"token={value}", F1)[0] == "token=" + plain_string(b"one", value, "0123456789abcdef", b"secret")
+
+
+@pytest.mark.parametrize("n", [12, 64, 65, 100_000, 5_000_000])
+def test_values_of_any_length(n):
+    value = ("q8Z" * n)[:n]
+    for text in (f"token={value}", f"{value}@example.com"):
+        start = time.perf_counter()
+        new, kinds = pseudonymise(text, F1)
+        assert time.perf_counter() - start < 20 and len(kinds) == 1 and len(new) == len(text)
+        changed = sum(a != b for a, b in zip(new, text, strict=True))
+        assert changed > 0.8 * n and pseudonymise(new, F1, back=True)[0] == text
+
+
+def test_letters_of_any_script_and_keys():
+    for text, kind in (("иван.петров@example.com", "email"), ("Bearer abcdefghijklm0123456.x-y", "secret"), ("AKIA" + "Q7" * 8, "secret")):
+        new, kinds = pseudonymise(text, F1)
+        assert kinds == [kind] and new != text and len(new) == len(text) and pseudonymise(new, F1, back=True)[0] == text
+    for text in ("the bearer certificateoftheaccount is", "AKIA" + "Q7" * 9):
+        assert pseudonymise(text, F1) == (text, [])
