@@ -119,10 +119,10 @@ def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def row_chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``limit`` bytes; a longer row is a range of its own."""
+    """Row ranges of at most ``limit`` bytes and 2^20 rows; a longer row is a range of its own."""
     a, rows = 0, len(offsets) - 1
     while a < rows:
-        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
+        b = min(max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1), a + (1 << 20))
         yield a, b
         a = b
 

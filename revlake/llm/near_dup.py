@@ -6,10 +6,15 @@ shingle stops once its next arrival is later than every component of its documen
 a component with the probability Jaccard similarity of the two documents. Equal runs of components (bands)
 make candidates, which the exact probability Jaccard of the two texts confirms or rejects.
 
-Equal texts are collapsed before anything else, so the nodes are distinct texts. Each node of a bucket is
-verified against the bucket's least node; a node that fails there is verified against every other node of
-the bucket. All others are joined through that least node already, so the groups are the connected components
-of all candidate pairs that verify.
+Equal texts are collapsed before anything else, so the nodes are distinct texts. Buckets are combined before they are
+shuffled: of the nodes that a batch has in one bucket only the least is, and the others are its candidates. Each
+node is verified against that one, and those against the bucket's least node. Where all of a bucket verify they are
+joined through it. In a bucket where some don't, every pair of nodes that aren't joined yet is searched by an exact prefix
+filter rather than listed: shingles are ordered by how rare they are. If x and y share shingles of a share P of x and Q of y, their
+similarity is at most 1 / (1/P + 1/Q - 1), so at the threshold t both are at least t and one of them is at least 2t / (1 + t).
+The rarest shared shingle is therefore among the rarest of one node that make up (1 - t) / (1 + t) of it, and among those of
+the other that make up 1 - t. Texts that have only a template in common share no such shingle, and only pairs that do are verified. The
+groups are the connected components of all candidate pairs that verify.
 
 A null or empty text is in no group. Texts without words group only when equal. Repeated rows, and rows with
 one id and several texts, are told apart by text; of a group the row with the least id stays (a null id comes last, equal
@@ -22,16 +27,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bitmap import bitmap, may_hold
-from .common import tidy, written
+from .common import map_file, put_file, resident, shared_dir, tidy, written
 from .words import distinct_by_row, mix, shingle_hashes, word_chunks
 
 SHINGLE = 3
 BANDS, ROWS = 36, 4
 THRESHOLD = 0.5
+#: Hash values under which the frequencies of shingles are counted.
+SLOTS = 1 << 22
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -106,6 +114,14 @@ def _signatures(df: DataFrame, bands: int, rows: int, shingle: int) -> DataFrame
     return df.select("node", "id", "text").mapInArrow(sign, f"node binary, id {kind}, bands array<long>")
 
 
+def _multisets(column: pa.Array, shingle: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(distinct shingles, counts) of each text."""
+    for a, b, words, at in word_chunks(column):
+        value, row = shingle_hashes(words, at, shingle)
+        cut = np.searchsorted(row, np.arange(b - a + 1))
+        yield from (np.unique(value[i:j], return_counts=True) for i, j in zip(cut[:-1], cut[1:], strict=True))
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
     """(a, b, similarity, same) of pairs (a, b); each text travels once for each side it is on."""
     both = pairs.join(texts.withColumnsRenamed({"node": "a", "text": "ta"}), "a").join(texts.withColumnsRenamed({"node": "b", "text": "tb"}), "b")
@@ -113,20 +129,113 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float, shingle: int)
     @tidy
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = []
-            for column in ("ta", "tb"):
-                out = []
-                for a, b, words, at in word_chunks(batch.column(column)):
-                    value, row, count = distinct_by_row(*shingle_hashes(words, at, shingle), b - a)
-                    cut = np.searchsorted(row, np.arange(b - a + 1))
-                    out += [(value[i:j], count[i:j]) for i, j in zip(cut[:-1], cut[1:], strict=True)]
-                sets.append(out)
-            s = np.array([probability_jaccard(x, y) for x, y in zip(*sets, strict=True)])
+            sets = zip(_multisets(batch.column("ta"), shingle), _multisets(batch.column("tb"), shingle), strict=True)
+            s = np.array([probability_jaccard(x, y) for x, y in sets])
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(s), pa.array(s >= threshold)], ["a", "b", "similarity", "same"])
 
     return both.select("a", "b", "ta", "tb").mapInArrow(verify, "a binary, b binary, similarity double, same boolean")
 
 
+def _banded(nodes: DataFrame) -> DataFrame:
+    """(band, node, least) of each node: the least node that its batch has in the band, which alone needs a shuffle."""
+
+    @tidy
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(batch.column("bands").is_valid())
+            batch = batch.take(pa.compute.sort_indices(batch.column("node")))
+            lists = batch.column("bands")
+            band, row = np.asarray(lists.flatten()), np.asarray(pa.compute.list_parent_indices(lists))
+            by = np.argsort(band, kind="stable")
+            band, row = band[by], row[by]
+            first = np.flatnonzero(np.r_[True, band[1:] != band[:-1]]) if len(band) else np.zeros(0, np.int64)
+            least = np.repeat(row[first], np.diff(np.r_[first, len(band)]))
+            node = batch.column("node")
+            yield pa.RecordBatch.from_arrays([pa.array(band), node.take(pa.array(row)), node.take(pa.array(least))], ["band", "node", "least"])
+
+    return nodes.select("node", "bands").mapInArrow(combine, "band long, node binary, least binary")
+
+
+def rarity(texts: DataFrame, shingle: int) -> dict:
+    """Files of how many texts have the shingles of each of ``SLOTS`` hash values; any order of shingles is right, this one is quick."""
+    folder, slices = shared_dir(texts.sparkSession, "rarity"), 16
+    each = SLOTS // slices
+
+    @tidy
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int32)
+        for batch in batches:
+            for value, _ in _multisets(batch.column("text"), shingle):
+                np.add.at(total, (value % np.uint64(SLOTS)).astype(np.int64), 1)
+        slot = np.flatnonzero(total)
+        for a in range(0, len(slot), 1 << 18):
+            part = slot[a : a + (1 << 18)]
+            yield pa.RecordBatch.from_arrays([pa.array((part // each).astype(np.int32)), pa.array((part % each).astype(np.int32)), pa.array(total[part].astype(np.int64))], ["slice", "slot", "n"])
+
+    @tidy
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            which, slot, n = (batch.column(c).to_numpy() for c in ("slice", "slot", "n"))
+            for s in np.unique(which):
+                own = which == s
+                held.setdefault(int(s), np.zeros(each, np.int64))[slot[own]] = n[own]
+        for s, n in held.items():
+            put_file(f"{folder}/{s}.n", n.tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32())], ["slice"])
+
+    counts = texts.mapInArrow(count, "slice int, slot int, n long").groupBy("slice", "slot").agg(F.sum("n").alias("n"))
+    made = [r["slice"] for r in counts.repartition(slices, "slice").mapInArrow(put, "slice int").collect()]
+    return {"folder": folder, "made": made, "each": each}
+
+
+class Rarity:
+    def __init__(self, folder: str, made: list[int], each: int):
+        self.each, self.slices = each, {s: map_file(f"{folder}/{s}.n").view(np.int64) for s in made}
+
+    def of(self, value: np.ndarray) -> np.ndarray:
+        slot, out = (value % np.uint64(SLOTS)).astype(np.int64), np.zeros(len(value), np.int64)
+        for s in np.unique(slot // self.each).tolist():
+            own = slot // self.each == s
+            if s in self.slices:
+                out[own] = self.slices[s][slot[own] % self.each]
+        return out
+
+
+def prefix(value: np.ndarray, count: np.ndarray, often: np.ndarray, share: float) -> np.ndarray:
+    """Places of the rarest values, in order, up to the first that make up more than ``share`` of the counts."""
+    by = np.lexsort((value, often))
+    before = np.cumsum(count[by]) - count[by]
+    return by[before <= share * count.sum() * (1 + 1e-9)]
+
+
+def _unjoined(members: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
+    """(a, b) of nodes of one band of ``members`` (node, root, bands) with different roots whose similarity may reach the threshold."""
+    counted = rarity(texts.join(members.select("node"), "node", "left_semi").select("text"), shingle)
+
+    @tidy
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = resident("rarity", counted["folder"], lambda: Rarity(**counted))
+        for batch in batches:
+            out, size = [], 0
+            for k, ((value, count), bands) in enumerate(zip(_multisets(batch.column("text"), shingle), batch.column("bands"), strict=True)):
+                own = value[prefix(value, count, held.of(value), 1 - threshold)]
+                strong = len(prefix(value, count, held.of(value), (1 - threshold) / (1 + threshold)))
+                for band in np.asarray(bands.values).view(np.uint64):
+                    out.append((k, mix(own ^ mix(np.array([band])))[: len(own)].view(np.int64), np.arange(len(own)) < strong))
+                    size += len(own)
+                if size > 1 << 18 or k == len(batch) - 1:
+                    row = np.repeat([k for k, *_ in out], [len(x) for _, x, _ in out]).astype(np.int64)
+                    columns = [pa.array(np.concatenate([x for _, x, _ in out])), batch.column("node").take(pa.array(row)), batch.column("root").take(pa.array(row)), pa.array(np.concatenate([s for *_, s in out]))]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "node", "root", "strong"])
+                    out, size = [], 0
+
+    rows = members.join(texts, "node").select("node", "root", "bands", "text").mapInArrow(keys, "key long, node binary, root binary, strong boolean")
+    rows = written(rows, "prefixes")
+    other = rows.withColumnsRenamed({"node": "b", "root": "other", "strong": "too"})
+    return rows.withColumnRenamed("node", "a").join(other, "key").where("a > b and root != other and (strong or too)").select("a", "b").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the least node of each node's component, by alternating large and small stars."""
     edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
@@ -154,20 +263,31 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, threshold: float, bands
     source = _nodes(docs, id_col, text_col)
     signed = written(_signatures(source, bands, rows, shingle), "signatures")
     nodes = written(signed.groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("bands").alias("bands")), "nodes")
+    banded = _banded(nodes)
+    linked = written(banded.where("node != least"), "linked")
     bucket = Window.partitionBy("band")
-    buckets = nodes.select("node", F.explode("bands").alias("band")).select("band", "node", F.min("node").over(bucket).alias("least"), F.count("*").over(bucket).alias("size"))
+    buckets = banded.where("node = least").select("band", "node", F.min("node").over(bucket).alias("least"), F.count("*").over(bucket).alias("size"))
     buckets = written(buckets.where("size > 1").select("band", "node", "least"), "buckets")
-    pairs = written(buckets.where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), "pairs")
+    steps = linked.unionByName(buckets.where("node != least"))
+    pairs = written(steps.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), "pairs")
     wanted = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted")
     may = bitmap(wanted, wanted.count())
     texts = written(source.select("node", "text").where(may_hold(F.col("node"), may)).join(wanted, "node").groupBy("node").agg(F.first("text").alias("text")), "texts")
     verified = written(_verify(pairs, texts, threshold, shingle), "verified")
-    failed = verified.where("not same").select(F.col("a").alias("node"), F.col("b").alias("least"))
-    failed = buckets.join(failed, ["node", "least"]).select("band", F.col("node").alias("x"))
-    more = failed.join(buckets.where("node != least").select("band", "node"), "band").where("x != node")
-    more = more.select(F.greatest("x", "node").alias("a"), F.least("x", "node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    edges = verified.where("same").select("a", "b").union(_verify(more, texts, threshold, shingle).where("same").select("a", "b"))
-    root = components(edges)
+    root = components(verified.where("same").select("a", "b"))
+    open_ = written(steps.join(verified.where("not same").select(F.col("a").alias("node"), F.col("b").alias("least")), ["node", "least"], "left_semi").select("band").distinct(), "open")
+    if open_.limit(1).count():
+        root = written(root, "roots")
+        inside = linked.select("band", "node").union(linked.select("band", "least")).union(buckets.select("band", "node")).join(open_, "band", "left_semi").distinct()
+        members = inside.groupBy("node").agg(F.collect_list("band").alias("bands")).join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        members = written(members.select("node", "root", "bands"), "members")
+        more = _verify(written(_unjoined(members, texts, threshold, shingle), "more"), texts, threshold, shingle).where("same")
+        named = members.select("node", "root")
+        between = more.join(named.withColumnsRenamed({"node": "a", "root": "u"}), "a").join(named.withColumnsRenamed({"node": "b", "root": "v"}), "b")
+        above = components(between.select(F.col("u").alias("a"), F.col("v").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("above"))
+        # a root is in no row of its own: its component may still have been joined to another
+        every = root.union(root.select("root", "root")).union(named).distinct()
+        root = every.join(above, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
     joined = nodes.select("node", "id", "n").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = joined.groupBy("root").agg(F.min("id").alias("kept"), F.min_by("node", F.struct(F.col("id").isNull(), "id", "node")).alias("kept_node"))
     return written(joined.join(least, "root").select("node", "id", "n", "kept", "kept_node"), "groups"), signed.select("node", "id")

@@ -3,8 +3,10 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
+from revlake.llm import near_dup
 from revlake.llm.near_dup import components, drop_near_duplicates, near_duplicates
 
 WORD = re.compile(r"[a-z0-9\u0080-\U0010ffff]+")
@@ -98,3 +100,47 @@ def test_components(spark, seed):
         root[y] = x
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a string, b string")).collect()}
     assert got == {i: find(i) for i in root if find(i) != i}
+
+
+def templated(n, seed=9):
+    """Documents of 55 words that all share and 50 of their own: no two are duplicates, though many fall into one bucket."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    shared = [word() for _ in range(55)]
+    return [" ".join(shared + [word() for _ in range(50)]) for _ in range(n)]
+
+
+def test_templates_make_few_pairs(spark, monkeypatch):
+    shipped = []
+    verify = near_dup._verify
+
+    def counted(pairs, *rest):
+        shipped.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(near_dup, "_verify", counted)
+    seen = {}
+    for n in (600, 2400):
+        texts = templated(n)
+        texts[7] = texts[5] + " and some words"  # one true pair among them
+        rows = [(t, i) for i, t in enumerate(texts)]
+        shipped.clear()
+        got = [tuple(r) for r in near_duplicates(spark.createDataFrame(rows, "text string, doc_id long")).collect()]
+        assert got == [(7, 5)]
+        seen[n] = sum(shipped)
+    assert seen[2400] < 10_000 and seen[2400] < 6 * seen[600]
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8])
+def test_prefixes_lose_no_pair(threshold):
+    rng = random.Random(4)
+    for _ in range(400):
+        shared = {k: rng.randint(1, 4) for k in range(rng.randint(1, 30))}
+        x, y = (Counter({**{k: max(1, n + rng.randint(-1, 1)) for k, n in shared.items()}, **{base + k: rng.randint(1, 4) for k in range(rng.randint(0, 25))}}) for base in (100, 200))
+        if similarity(x, y) < threshold:
+            continue
+        often = {k: rng.randint(1, 9) for k in x | y}
+        arrays = [[np.array(a) for a in ([*map(np.uint64, d)], [*d.values()], [often[k] for k in d])] for d in (x, y)]
+        weak = [set(a[0][near_dup.prefix(*a, 1 - threshold)].tolist()) for a in arrays]
+        strong = [set(a[0][near_dup.prefix(*a, (1 - threshold) / (1 + threshold))].tolist()) for a in arrays]
+        assert strong[0] & weak[1] or strong[1] & weak[0]
