@@ -76,10 +76,12 @@ _resident: dict[tuple[str, str], object] = {}
 def resident(operator: str, key: str, make, most: int = 1):
     """What a worker process keeps between tasks: at most ``most`` objects of the operator that runs now, and of no other."""
     if (operator, key) not in _resident:
-        if len(_resident) >= most or any(o != operator for o, _ in _resident):
+        if any(o != operator for o, _ in _resident):
             _resident.clear()
             gc.collect()
             release()
+        while len(_resident) >= most:  # the one that has been there longest
+            del _resident[next(iter(_resident))]
         _resident[operator, key] = make()
     return _resident[operator, key]
 

@@ -8,10 +8,17 @@ whole in some segment, and segment and item differ in size by a small factor. Si
 MinHash with 8 S bins; every bin is a band of one row, so a segment and an item are a candidate when they share one
 bin's minimum. The exact containment in the whole document decides.
 
+Sampling a few shingles may miss the only one that counts, so an item of up to ``EXACT`` shingles keeps its whole hash set as its
+sketch, and documents look all of theirs up. Of such an item only as many of its rarest shingles are filed as some one of
+which a document with enough of them must have, so shingles that many items share make few candidates. A larger item
+shares at least 9 shingles with a document that contains half of it; that each of them loses its bin to another of a segment's, which
+is a quarter of a shingle a bin, has a chance below 10^-7.
+
 Nothing is shuffled: the items' index is built by tasks into files of bounded size in the shared folder, which the
-document tasks map into memory one after the other. Null and empty texts contain nothing; an item without words is
-in no document; an item of fewer words than a shingle is only in documents with the same few words. Items or rows
-that repeat are reported each time, with the ids they have.
+document tasks map into memory one after the other. Ids of either table may be of any type and stay as they are. Null and empty
+texts contain nothing; an item without words is in no document; an item of fewer words than a shingle is only in documents with
+the same few words. Items or rows that repeat are reported each time, with the ids they have; equal containments are all reported.
+Texts of any length are searched whole. An empty benchmark is in no document.
 """
 
 from __future__ import annotations
@@ -22,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import map_file, put_file, resident, shared_dir, tidy
 from .lm_trie import pack, unpack
@@ -30,6 +38,8 @@ from .words import shingle_hashes, word_chunks
 SHINGLE = 4
 THRESHOLD = 0.5
 LEAST, BINS = 16, 8
+#: Items of up to so many shingles are looked up by each of them.
+EXACT = 16
 #: Bytes of item texts in one index file.
 SHARD_BYTES = 16 << 20
 _NONE = np.uint32(0xFFFFFFFF)
@@ -54,15 +64,33 @@ def _keys(minima: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at // minima.shape[1], (at % minima.shape[1]).astype(np.uint64) << np.uint64(32) | minima.ravel()[at]
 
 
-def build_index(items: list[tuple[np.ndarray, int]]) -> bytes:
-    """File of one shard: per size class its sorted keys, their items and a filter; then each item's shingles."""
-    sizes = np.array([len(s) for s, _ in items], np.int64)
+def ids_to_bytes(ids: pa.Array) -> np.ndarray:
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays([ids], ["id"])
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return np.frombuffer(sink.getvalue(), np.uint8)
+
+
+def build_index(items: list[np.ndarray], ids: pa.Array, threshold: float) -> bytes:
+    """File of one shard: per size class its sorted keys, their items and a filter; then each item's shingles, and the ids."""
+    sizes = np.array([len(s) for s in items], np.int64)
+    every = np.concatenate(items or [np.zeros(0, np.uint64)])
+    value, often = np.unique(every, return_counts=True)
     classes = np.unique(size_class(sizes[sizes > 0]))
-    arrays = [classes, np.r_[0, np.cumsum(sizes)], np.concatenate([s for s, _ in items] or [np.zeros(0, np.uint64)]), np.array([i for _, i in items], np.int64)]
+    arrays = [ids_to_bytes(ids), classes, np.r_[0, np.cumsum(sizes)], every]
     for c in classes:
         own = np.flatnonzero((size_class(sizes) == c) & (sizes > 0))
-        h = np.concatenate([items[i][0] for i in own])
-        row, key = _keys(bin_minima(h, np.repeat(np.arange(len(own)), sizes[own]), len(own), BINS * int(c)))
+        if c <= EXACT:
+            keep = []
+            for i in own:
+                h = items[i]
+                rare = np.argsort(often[np.searchsorted(value, h)], kind="stable")
+                keep.append(h[rare[: len(h) - least_shared(len(h), threshold) + 1]])
+            row, key = np.repeat(np.arange(len(own)), [*map(len, keep)]), np.concatenate(keep)
+        else:
+            h = np.concatenate([items[i] for i in own])
+            row, key = _keys(bin_minima(h, np.repeat(np.arange(len(own)), sizes[own]), len(own), BINS * int(c)))
         by = np.argsort(key, kind="stable")
         seen = np.zeros(1 << max(10, (16 * len(key)).bit_length()), np.uint8)
         seen[key & np.uint64(len(seen) - 1)] = 1
@@ -70,40 +98,55 @@ def build_index(items: list[tuple[np.ndarray, int]]) -> bytes:
     return pack(arrays)
 
 
+def least_shared(n: int, threshold: float) -> int:
+    """The least number of an item's n shingles whose share reaches the threshold."""
+    k = max(1, int(threshold * n) - 1)
+    while k / n < threshold and k < n:
+        k += 1
+    return k
+
+
 class Index:
     def __init__(self, uri: str):
         parts = unpack(map_file(uri))
-        self.classes, self.cuts, self.shingles, self.ids = parts[:4]
+        self.ids = pa.ipc.open_stream(pa.py_buffer(np.ascontiguousarray(parts[0]))).read_all().column("id").combine_chunks()
+        self.classes, self.cuts, self.shingles = parts[1:4]
         self.levels = [parts[4 + 3 * k : 7 + 3 * k] for k in range(len(self.classes))]
 
     def search(self, h: np.ndarray, row: np.ndarray, at: np.ndarray, threshold: float) -> list[tuple[int, int, float]]:
         """(row, item's place, containment) of the items that rows of shingles contain; at: places of each row's shingles."""
         n = np.diff(at)
-        found = set()
+        found: list[tuple[np.ndarray, np.ndarray]] = []
         for c, (keys, owners, seen) in zip(self.classes, self.levels, strict=True):
             c = int(c)
-            least = 1 if c == LEAST else int(np.ceil(threshold * (c // 2 + 1)))
-            large = n >= least
-            pick = large[row]
-            if not pick.any():
-                continue
-            blocks = np.where(large, -(-n // c), 0)
-            first = np.r_[0, np.cumsum(blocks)]
-            place = np.arange(len(h))[pick] - at[:-1][row[pick]]
-            minima = bin_minima(h[pick], first[row[pick]] + place // c, int(first[-1]), BINS * c)
-            owner = np.repeat(np.arange(len(n)), blocks)
-            same = np.flatnonzero(owner[1:] == owner[:-1])
-            single = first[:-1][blocks == 1]
-            segments = np.concatenate([np.minimum(minima[same], minima[same + 1]), minima[single]])
-            of = np.r_[owner[same], owner[single]]
-            segment, key = _keys(segments)
+            if c <= EXACT:
+                key, of = h, row
+            else:
+                large = n >= least_shared(c // 2 + 1, threshold)
+                pick = large[row]
+                if not pick.any():
+                    continue
+                blocks = np.where(large, -(-n // c), 0)
+                first = np.r_[0, np.cumsum(blocks)]
+                place = np.arange(len(h))[pick] - at[:-1][row[pick]]
+                minima = bin_minima(h[pick], first[row[pick]] + place // c, int(first[-1]), BINS * c)
+                owner = np.repeat(np.arange(len(n)), blocks)
+                same = np.flatnonzero(owner[1:] == owner[:-1])
+                single = first[:-1][blocks == 1]
+                segment, key = _keys(np.concatenate([np.minimum(minima[same], minima[same + 1]), minima[single]]))
+                of = np.r_[owner[same], owner[single]][segment]
             maybe = np.flatnonzero(seen[key & np.uint64(len(seen) - 1)])
-            key, segment = key[maybe], segment[maybe]
+            key, of = key[maybe], of[maybe]
             lo, hi = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")
-            for s, a, b in zip(segment[hi > lo], lo[hi > lo], hi[hi > lo], strict=True):
-                found.update((int(of[s]), int(x)) for x in owners[a:b])
+            hit = np.flatnonzero(hi > lo)
+            times = hi[hit] - lo[hit]
+            which = np.arange(times.sum()) + np.repeat(lo[hit] - (np.cumsum(times) - times), times)
+            found.append((np.repeat(of[hit], times), owners[which]))
+        rows = np.concatenate([np.zeros(0, np.int64), *[r for r, _ in found]])
+        items = np.concatenate([np.zeros(0, np.int64), *[i for _, i in found]])
+        pairs = np.unique(rows * np.int64(len(self.cuts)) + items)
         out, held = [], (-1, None)
-        for r, item in sorted(found):
+        for r, item in zip((pairs // len(self.cuts)).tolist(), (pairs % len(self.cuts)).tolist(), strict=True):
             if held[0] != r:
                 held = r, np.unique(h[at[r] : at[r + 1]])
             own = self.shingles[self.cuts[item] : self.cuts[item + 1]]
@@ -113,81 +156,80 @@ class Index:
         return out
 
 
-def benchmark_index(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", shingle: int = SHINGLE) -> list[str]:
-    """Files of the items' index. Items with equal ids and texts stay apart; a null id is kept as the least long."""
-    items = benchmark.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63))).alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text != ''")
+def benchmark_index(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", threshold: float = THRESHOLD, shingle: int = SHINGLE) -> list[str]:
+    """Files of the items' index. Items with equal ids and texts stay apart."""
+    items = benchmark.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text != ''")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = int(-(-size // SHARD_BYTES))
     folder = shared_dir(benchmark.sparkSession, "benchmark")
 
     @tidy
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held = None, []
+        shard, held, ids = None, [], []
 
-        def flush():
-            if shard is not None and held:
-                put_file(f"{folder}/{shard}.index", build_index(held))
-                return [shard]
-            return []
+        def flush() -> pa.RecordBatch:
+            done = [shard] if held else []
+            if held:
+                put_file(f"{folder}/{shard}.index", build_index(held, pa.concat_arrays(ids), threshold))
+            return pa.RecordBatch.from_arrays([pa.array(done, pa.int32())], ["shard"])
 
         for batch in batches:
             place = batch.column("shard").to_numpy()
-            ids = batch.column("id").to_numpy()
             for a, b, words, at in word_chunks(batch.column("text")):
                 h, row = shingle_hashes(words, at, shingle)
                 cut = np.searchsorted(row, np.arange(b - a + 1))
                 for k in range(b - a):
                     if place[a + k] != shard:
-                        done = flush()
-                        if done:
-                            yield pa.RecordBatch.from_arrays([pa.array(done, pa.int32())], ["shard"])
-                        shard, held = int(place[a + k]), []
+                        yield flush()
+                        shard, held, ids = int(place[a + k]), [], []
                     if cut[k + 1] > cut[k]:
-                        held.append((np.unique(h[cut[k] : cut[k + 1]]), int(ids[a + k])))
-        yield pa.RecordBatch.from_arrays([pa.array(flush(), pa.int32())], ["shard"])
+                        held.append(np.unique(h[cut[k] : cut[k + 1]]))
+                        ids.append(batch.column("id").slice(a + k, 1))
+        yield flush()
 
     if not shards:
         return []
-    placed = items.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(shards)).cast("int"))
-    made = placed.repartition(shards, "shard").sortWithinPartitions("shard", "id", "text").mapInArrow(build, "shard int").collect()
+    placed = items.withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int"))
+    made = placed.repartition(shards, "shard").sortWithinPartitions("shard", "text").mapInArrow(build, "shard int").collect()
     return sorted(f"{folder}/{r['shard']}.index" for r in made)
 
 
-def _matches(column: pa.Array, files: list[str], threshold: float, shingle: int) -> list[tuple[int, int, float]]:
+def _matches(column: pa.Array, files: list[str], threshold: float, shingle: int) -> Iterator[tuple[int, pa.Array, float]]:
     """(row, item id, containment) of a column of texts."""
-    out = []
     for a, _, words, at in word_chunks(column, 2 << 20):
         h, row = shingle_hashes(words, at, shingle)
         cut = np.searchsorted(row, np.arange(len(at)))
         for uri in files:
             index = resident("decontamination", uri, lambda uri=uri: Index(uri), 8)
-            out += [(a + r, int(index.ids[item]), share) for r, item, share in index.search(h, row, cut, threshold)]
-    return out
+            for r, item, share in index.search(h, row, cut, threshold):
+                yield a + r, index.ids.slice(item, 1), share
 
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD, shingle: int = SHINGLE
 ) -> DataFrame:
     """(doc_id, item_id, containment) of each document that holds at least ``threshold`` of an item's shingles."""
-    files = benchmark_index(benchmark, item_col, item_text_col, shingle)
+    files = benchmark_index(benchmark, item_col, item_text_col, threshold, shingle)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    item_type = to_arrow_type(benchmark.schema[item_col].dataType)
 
     @tidy
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = _matches(batch.column("text"), files, threshold, shingle)
+            found = list(_matches(batch.column("text"), files, threshold, shingle))
             ids = batch.column("doc_id").take(pa.array([r for r, _, _ in found], pa.int64()))
-            items = np.array([i for _, i, _ in found], np.int64)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(items, mask=items == -(1 << 63)), pa.array([s for *_, s in found], pa.float64())], ["doc_id", "item_id", "containment"])
+            items = pa.concat_arrays([i for _, i, _ in found]) if found else pa.nulls(0, item_type)
+            yield pa.RecordBatch.from_arrays([ids, items, pa.array([s for *_, s in found], pa.float64())], ["doc_id", "item_id", "containment"])
 
-    return rows.mapInArrow(search, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, item_id long, containment double")
+    kinds = [rows.schema["doc_id"].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()]
+    return rows.mapInArrow(search, f"doc_id {kinds[0]}, item_id {kinds[1]}, containment double")
 
 
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD, shingle: int = SHINGLE
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no item."""
-    files = benchmark_index(benchmark, item_col, item_text_col, shingle)
+    files = benchmark_index(benchmark, item_col, item_text_col, threshold, shingle)
     place = docs.columns.index(text_col)
 
     @tidy

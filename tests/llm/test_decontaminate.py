@@ -52,7 +52,7 @@ def test_matches_brute_force(spark, monkeypatch, shard_bytes):
     b = spark.createDataFrame(items, "item_id int, text string")
     want = brute_force(docs, items)
     got = {(r.doc_id, r.item_id, round(r.containment, 6)) for r in contaminated(d, b).collect()}
-    assert got <= want and len(got) >= 0.98 * len(want) > 50
+    assert got == want and len(want) > 50
     kept = drop_contaminated(d, b)
     assert kept.columns == d.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in docs if i not in {x for x, *_ in got})
@@ -65,3 +65,26 @@ def test_empty_tables(spark):
     items = spark.createDataFrame([(None, "a b c d e")], "item_id long, text string")
     assert [tuple(r) for r in contaminated(docs, items).collect()] == [(1, None, 1.0)]
     assert contaminated(docs.limit(0), items).count() == 0
+
+
+def test_short_items_are_never_missed(spark):
+    """400 items of 4 words whole, and of 5 with half of their shingles, each in a document of 3,000 words."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=5))
+    items, docs = [], []
+    for i in range(400):
+        item = [word() for _ in range(4 + i % 2)]
+        w = [word() for _ in range(3000)]
+        w[1000:1000] = item[:4]
+        items.append((f"mmlu-{i}", " ".join(item)))
+        docs.append((f"d{i}", " ".join(w)))
+    got = {(r.doc_id, r.item_id, r.containment) for r in contaminated(spark.createDataFrame(docs, "doc_id string, text string"), spark.createDataFrame(items, "item_id string, text string")).collect()}
+    assert got == {(f"d{i}", f"mmlu-{i}", 1.0 if i % 2 == 0 else 0.5) for i in range(400)}
+
+
+def test_shingles_that_many_items_share(spark):
+    items = [(i, f"which of the following words is{i} right{i} here{i} now{i}") for i in range(300)]
+    docs = [(d, f"which of the following words is{d}" + " x" * (d % 3)) for d in range(40)] + [(99, items[7][1])]
+    docs, items = [(d, t) for d, t in docs], items
+    got = {(r.doc_id, r.item_id, round(r.containment, 6)) for r in contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id int, text string")).collect()}
+    assert got == brute_force(docs, items) and (99, 7, 1.0) in got
