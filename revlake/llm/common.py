@@ -59,6 +59,13 @@ def put_file(uri: str, data: bytes) -> None:
     fs.move(part, path)
 
 
+def delete_dir(*uris: str) -> None:
+    for uri in uris:
+        fs, path = shared_fs(uri)
+        with contextlib.suppress(FileNotFoundError):
+            fs.delete_dir(path)
+
+
 def map_file(uri: str) -> np.ndarray:
     """The file's bytes: memory-mapped where the shared folder is mounted, read once elsewhere."""
     import pyarrow.fs as pafs

@@ -1,13 +1,20 @@
-"""LM scoring: an Elias-Fano n-gram trie with quantised Kneser-Ney probabilities.
-
-The counts of all n-grams of the corpus, of bytes or of the tokens of ``tokens.py``, become one trie. Each level keeps, for its grams in order, the rank
-of the last symbol among the successors of the context without its first one (small numbers, made monotone by
-adding the end of the sibling range before), the start of each gram's children, both as Elias-Fano sequences, and
-codes of the probability and the back-off weight. Shards hold ranges of first symbols; each is one file in the
-shared folder, memory-mapped by the scoring tasks. A gram is found from its prefix's children and its suffix's rank by
-a successor search in the sibling range.
-
-A score is the bits of all symbols of a text over its bytes. Null and empty texts have no bytes: 0 bytes and a null score. Rows with equal ids stay as they are.
+"""LM scoring: an Elias-Fano trie of token 3-grams with quantised Kneser-Ney probabilities.
+
+The grams (a, b, c) of all texts, tokens of ``tokens.py`` after two zero symbols, are counted by tasks, packed and shuffled once
+to the part of their middle symbol. There a context (a, b) and the grams that end in (b, c) are whole, so one merge gives the
+discounted probabilities' sums, and the counts of distinct predecessors that are the next lower order. A middle symbol that is more
+frequent than a part is large is split by the first one, which keeps contexts whole; lower counts of its pieces add up. The
+smoothing is interpolated modified Kneser-Ney over a uniform base (``kneser_ney.py``).
+
+The trie has a root of all symbols (with probability and back-off weight), pairs in parts of their first symbol and triples in
+parts of their middle one. The successors of a symbol are kept as ranks among the root's symbols, those of a context
+(a, b) as ranks among the successors of b, the context without its first symbol: small numbers, made monotone by adding
+the end of the sibling range before. They, the contexts and the starts of sibling ranges are Elias-Fano sequences; a gram
+is found by a successor search in its siblings. Each part is one file in the shared folder, which scoring tasks map into memory.
+
+A score is the bits of all symbols of a text over its bytes. Null and empty texts have no bytes: 0 bytes and a null score. Rows with
+equal ids stay as they are, rows with equal texts get equal scores, and each counts as often as it occurs. Texts may be of any
+length. A table without bytes has no model and only null scores.
 """
 
 from __future__ import annotations
@@ -20,19 +27,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_file, put_file, resident, shared_dir, text_chunks, tidy
-from .kneser_ney import ORDER, GramCache, byte_grams, gram_counts, levels, mask, text_log2
+from .common import delete_dir, map_file, put_file, resident, shared_dir, text_chunks, tidy
+from .kneser_ney import discounts
 from .tokens import TOKEN_BITS, Tokens, token_vocabulary
+from .words import mix
 
 #: log2 of a probability is kept as a code of this step, up to 16 bits.
 STEP = 1 / 1024
 NONE = 65535
 SAMPLE = 64
-#: Grams of the highest order that one task encodes, as far as ranges of first bytes allow; of token grams, whose numbers are larger.
-SHARD_GRAMS = 4_000_000
-SHARD_TOKEN_GRAMS = 1_000_000
-#: Most shards; beyond, they grow.
-SHARDS = 512
+#: Tokens of the corpus for each part, and distinct grams that a task holds before it hands them on.
+PART_TOKENS, HELD_GRAMS = 2_000_000, 2_000_000
+#: Files of counts of single symbols.
+SLICES = 16
+_MASK = (1 << TOKEN_BITS) - 1
+_SLICE = (1 << TOKEN_BITS) // SLICES
 
 
 def _select(words: np.ndarray, samples: np.ndarray, i: np.ndarray, flip: np.uint64) -> np.ndarray:
@@ -141,159 +150,335 @@ def quantise(p: np.ndarray) -> np.ndarray:
     return np.minimum(np.rint(-np.log2(p) / STEP), NONE - 1).astype(np.uint16)
 
 
-def encode_shard(columns: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], order: int, bits: int = 8) -> bytes:
-    """The file of one shard, from {level: (gram, stored, p, gamma)} sorted by gram."""
-    arrays: list[np.ndarray] = []
-    none = (np.zeros(0, np.int64),) * 2 + (np.zeros(0),) * 2
-    for k in range(1, order + 1):
-        gram, stored, p, _ = columns.get(k, none)
-        context = gram >> bits if k > 1 else np.zeros(len(gram), np.int64)
-        last = np.flatnonzero(context[1:] != context[:-1])
-        ends = np.zeros(len(gram), np.int64)
-        ends[last + 1] = stored[last]
-        value = stored + np.cumsum(ends)
-        child, _, _, child_gamma = columns.get(k + 1, none)
-        start = np.searchsorted(child >> bits, np.r_[gram, gram[-1:] + 1]) if k < order else np.zeros(0, np.int64)
-        weight = np.full(len(gram), NONE, np.uint16)
-        if k < order and len(child):
-            has = np.flatnonzero(start[1:] > start[:-1])
-            weight[has] = quantise(child_gamma[start[:-1][has]])
-        arrays += [*EliasFano.encode(value).arrays(), *EliasFano.encode(start).arrays(), quantise(p), weight]
-    return pack(arrays)
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of int64 as bytes: the first as differences, all by planes of bytes, compressed."""
+    codec, parts = pa.Codec("zstd", compression_level=1), []
+    for j, c in enumerate(columns):
+        c = np.diff(c, prepend=0) if j == 0 else c
+        parts.append(codec.compress(np.ascontiguousarray(c.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes(), asbytes=True) if len(c) else b"")
+    return np.array([len(columns[0]), *map(len, parts)], np.int64).tobytes() + b"".join(parts)
 
 
-class Trie:
-    """The memory-mapped shards below a folder."""
-
-    def __init__(self, folder: str, bounds: list[int], gamma: float, order: int, bits: int = 8, symbols: int = 256):
-        self.bounds, self.gamma, self.order, self.bits, self.symbols = np.array(bounds), gamma, order, bits, symbols
-        self.shards = []
-        for s in range(len(bounds)):
-            parts = unpack(map_file(f"{folder}/{s}.trie"))
-            self.shards.append([(EliasFano.from_arrays(parts[i : i + 5]), EliasFano.from_arrays(parts[i + 5 : i + 10]), parts[i + 10], parts[i + 11]) for i in range(0, 12 * order, 12)])
-
-    def log2(self, grams: np.ndarray) -> np.ndarray:
-        """log2 of the probability of each gram's last symbol; the grams' parts of each length are looked up once."""
-        bits = self.bits
-        parts, place, first, rank, codes, weights = {}, {}, {}, {}, {}, {}
-        for k in range(1, self.order + 1):
-            x = np.unique(np.concatenate([grams >> bits * j & mask(k, bits) for j in range(self.order - k + 1)]))
-            parts[k], place[k], first[k] = x, np.full(len(x), -1, np.int64), np.zeros((len(x), 2), np.int64)
-            rank[k], codes[k], weights[k] = np.zeros(len(x), np.int64), np.full(len(x), NONE, np.uint16), np.full(len(x), NONE, np.uint16)
-            if k > 1:
-                prefix, suffix = np.searchsorted(parts[k - 1], x >> bits), np.searchsorted(parts[k - 1], x & mask(k - 1, bits))
-            edges = np.searchsorted(x >> bits * (k - 1), np.r_[self.bounds, 1 << bits])
-            for s, shard in enumerate(self.shards):
-                ids, starts, p, weight = shard[k - 1]
-                own = np.arange(edges[s], edges[s + 1])
-                if k > 1:
-                    own = own[(place[k - 1][prefix[own]] >= 0) & (place[k - 1][suffix[own]] >= 0)]
-                    lo, hi = first[k - 1][prefix[own]].T
-                    own, lo, hi = own[hi > lo], lo[hi > lo], hi[hi > lo]
-                    want = rank[k - 1][suffix[own]]
-                else:
-                    lo, hi = np.zeros(len(own), np.int64), np.full(len(own), ids.n)
-                    want = x[own] + 1
-                if not len(own) or not ids.n:
-                    continue
-                before = np.zeros(len(own), np.int64)
-                inner = np.flatnonzero(lo)
-                before[inner] = ids.get(lo[inner] - 1)
-                i, value = ids.successor(before + want)
-                ok = (i < hi) & (value == before + want)
-                own, i, lo = own[ok], i[ok], lo[ok]
-                place[k][own], rank[k][own], codes[k][own], weights[k][own] = i, i - lo + 1, p[i], weight[i]
-                if k == 1:
-                    rank[k][own] = self._root_rank(x[own])
-                if k < self.order and len(i):
-                    first[k][own] = np.c_[starts.get(i), starts.get(i + 1)]
-        out = np.full(len(grams), -np.log2(self.symbols))
-        for k in range(1, self.order + 1):
-            at = np.searchsorted(parts[k], grams & mask(k, bits))
-            if k == 1:
-                back = np.full(len(grams), np.log2(self.gamma))
-            else:
-                w = weights[k - 1][np.searchsorted(parts[k - 1], (grams & mask(k, bits)) >> bits)]
-                back = np.where(w == NONE, 0.0, -STEP * w.astype(np.float64))
-            code = codes[k][at]
-            out = np.where(place[k][at] >= 0, -STEP * code.astype(np.float64), out + back)
+def unpacked(data: bytes | memoryview, columns: int) -> list[np.ndarray]:
+    n, *sizes = np.frombuffer(data, np.int64, columns + 1).tolist()
+    codec, at, out = pa.Codec("zstd"), 8 * (columns + 1), []
+    for j, size in enumerate(sizes):
+        planes = np.frombuffer(codec.decompress(data[at : at + size], 8 * n, asbytes=True), np.uint8) if n else np.zeros(0, np.uint8)
+        c = np.ascontiguousarray(planes.reshape(8, -1).T).view(np.int64).ravel()
+        out.append(np.cumsum(c) if j == 0 else c)
+        at += size
+    return out
+
+
+def merged(pieces: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted keys, sums of their counts)."""
+    key, n = (np.concatenate(c) for c in zip(*pieces, strict=True))
+    by = np.argsort(key, kind="stable")
+    key, n = key[by], n[by]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    return key[first], np.add.reduceat(n, first)
+
+
+def token_grams(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """b, a, c of the gram that ends at each token, packed in this order: a context's grams are neighbours, and a middle symbol's."""
+    c = tokens.astype(np.int64)
+    b, a = np.r_[0, c[:-1]][: len(c)], np.r_[0, 0, c[:-2]][: len(c)]
+    starts = offsets[:-1][np.diff(offsets) > 0]
+    b[starts] = a[starts] = 0
+    second = starts + 1
+    a[second[second < len(c)]] = 0
+    a[starts] = 0
+    return b << 2 * TOKEN_BITS | a << TOKEN_BITS | c
+
+
+class Parts:
+    """Which part a context (a, b) is in: that of b, or one of several where b is hot."""
+
+    def __init__(self, n: int, hot: list[int], pieces: list[int]):
+        self.n, self.hot, self.pieces = n, np.array(hot, np.int64), np.array(pieces, np.int64)
+
+    def of_symbol(self, b: np.ndarray) -> np.ndarray:
+        return (mix(b.astype(np.uint64) + np.uint64(1)) % np.uint64(self.n)).astype(np.int64)
+
+    def of_context(self, b: np.ndarray, a: np.ndarray) -> np.ndarray:
+        out = self.of_symbol(b)
+        if len(self.hot):
+            at = np.minimum(np.searchsorted(self.hot, b), len(self.hot) - 1)
+            split = np.flatnonzero(self.hot[at] == b)
+            piece = (mix(a[split].astype(np.uint64) + np.uint64(1)) % self.pieces[at[split]].astype(np.uint64)).astype(np.int64)
+            out[split] = (out[split] + piece * max(1, self.n // 7)) % self.n
         return out
 
-    def _root_rank(self, symbols: np.ndarray) -> np.ndarray:
-        """A symbol's place among all first symbols, over the shards."""
-        if not hasattr(self, "_root"):
-            self._root = np.concatenate([s[0][0].get(np.arange(s[0][0].n)) - 1 for s in self.shards])
-        return np.searchsorted(self._root, symbols) + 1
+
+_ROWS = "part int, kind int, data binary"
+_NAMES = ["part", "kind", "data"]
+PAYLOAD, STATS = 0, 1
+
+
+def _row_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    part, kind, data = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(data, pa.binary())], _NAMES)
+
+
+def _by_part(key: np.ndarray, n: np.ndarray, part: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    by = np.argsort(part, kind="stable")
+    key, n, part = key[by], n[by], part[by]
+    cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(part)]
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        if a < b:
+            yield int(part[a]), PAYLOAD, packed(key[a:b], n[a:b])
 
 
-def _open(model: dict) -> GramCache:
-    return GramCache(Trie(**{k: v for k, v in model.items() if k != "vocabulary"}).log2)
+def _stats(level: int, n: np.ndarray) -> tuple[int, int, bytes]:
+    return 0, STATS, np.array([level, *(int((n == k).sum()) for k in (1, 2, 3, 4)), int(n.sum()), len(n)], np.int64).tobytes()
 
 
-def build_trie(docs: DataFrame, text_col: str = "text", order: int = ORDER, shards: int = 16, tokens: bool = False) -> dict | None:
-    """Count, smooth and encode the whole corpus; returns what ``Trie`` takes, or None if it has no bytes.
+def _merge(rows: DataFrame, folder: str, level: int, parts: int, lower) -> DataFrame:
+    """Merge the counts of each part, keep them as a file, and pass on what ``lower`` makes of the keys (if any) and the statistics."""
 
-    There are at least ``shards`` ranges of first symbols, and more where one would hold over ``SHARD_GRAMS`` grams.
-    """
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, part = [], None
+
+        def flush() -> pa.RecordBatch:
+            if not held:
+                return _row_batch([])
+            key, n = merged(held)
+            put_file(f"{folder}/counts{level}/{part}", packed(key, n))
+            held.clear()
+            return _row_batch([_stats(level, n), *(lower(key) if lower else ())])
+
+        for batch in batches:
+            for p, kind, data in zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), batch.column("data"), strict=True):
+                if kind == STATS:
+                    yield _row_batch([(p, kind, data.as_py())])
+                    continue
+                if p != part:
+                    yield flush()
+                    part = p
+                held.append(tuple(unpacked(data.as_buffer().to_pybytes(), 2)))
+                if len(held) > 1 and sum(len(k) for k, _ in held) > 2 * HELD_GRAMS:
+                    held[:] = [merged(held)]
+        yield flush()
+
+    return rows.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, _ROWS)
+
+
+def _read(folder: str, level: int, part: int) -> tuple[np.ndarray, np.ndarray]:
+    try:
+        return tuple(unpacked(map_file(f"{folder}/counts{level}/{part}").tobytes(), 2))
+    except FileNotFoundError:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+
+def count_levels(docs: DataFrame, text_col: str, vocabulary: str, parts: Parts, folder: str) -> dict[int, list[int]]:
+    """Files of the counts of triples (b, a, c), pairs and symbols; {level: [n1, n2, n3, n4, total, rows]}."""
+
+    @tidy
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush() -> pa.RecordBatch:
+            key, n = merged(held)
+            held.clear()
+            return _row_batch(list(_by_part(key, n, parts.of_context(key >> 2 * TOKEN_BITS, key >> TOKEN_BITS & _MASK))))
+
+        for batch in batches:
+            for _, _, data, offsets in text_chunks(batch.column("text")):
+                if len(data):
+                    held.append(np.unique(token_grams(*Tokens.of(vocabulary).split(data, offsets)), return_counts=True))
+                    if sum(len(k) for k, _ in held) > 2 * HELD_GRAMS:
+                        held[:] = [merged(held)]
+                        if len(held[0][0]) > HELD_GRAMS:
+                            yield flush()
+        if held:
+            yield flush()
+
+    def pairs(key: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+        pair, n = np.unique(key >> 2 * TOKEN_BITS << TOKEN_BITS | key & _MASK, return_counts=True)
+        return _by_part(pair, n, parts.of_symbol(pair >> TOKEN_BITS))
+
+    def symbols(key: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+        symbol, n = np.unique(key & _MASK, return_counts=True)
+        return _by_part(symbol, n, symbol // _SLICE)
+
+    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(count, _ROWS)
+    rows = _merge(rows, folder, 3, parts.n, pairs)
+    rows = _merge(rows, folder, 2, parts.n, symbols)
+    rows = _merge(rows, folder, 1, SLICES, None)
+    sums: dict[int, np.ndarray] = {}
+    for r in rows.where(f"kind = {STATS}").select("data").toLocalIterator():
+        level, *n = np.frombuffer(r["data"], np.int64).tolist()
+        sums[level] = sums.get(level, 0) + np.array(n)
+    return {k: v.tolist() for k, v in sums.items()}
+
+
+def _siblings(stored: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """Ranks that grow within each context, made to grow throughout."""
+    last = np.flatnonzero(context[1:] != context[:-1])
+    ends = np.zeros(len(stored), np.int64)
+    ends[last + 1] = stored[last]
+    return stored + np.cumsum(ends)
+
+
+def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first place of each run of equal values and the end, run of each place)."""
+    first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, np.int64)
+    return np.r_[first, len(x)], np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(x)]))
+
+
+class Root:
+    """Probability and weight of every symbol, from the counts of symbols; the weights come with the pairs."""
+
+    def __init__(self, counts: str, symbols: int, d: list[float]):
+        read = [_read(counts, 1, s) for s in range(SLICES)]
+        self.symbols = np.concatenate([k for k, _ in read])
+        n = np.concatenate([n for _, n in read]).astype(np.float64)
+        less = np.array(d)[np.minimum(n, 3).astype(int)]
+        self.gamma = less.sum() / n.sum()
+        self.place = np.zeros(1 << TOKEN_BITS, np.int64)
+        self.place[self.symbols] = np.arange(1, len(self.symbols) + 1)
+        self.p = np.full(1 << TOKEN_BITS, self.gamma / symbols)
+        self.p[self.symbols] = (n - less) / n.sum() + self.gamma / symbols
+
+
+def smoothed(context: np.ndarray, n: np.ndarray, d: list[float], low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(p, gamma of each context, first place of each context) of grams sorted by context, whose suffixes have probability ``low``."""
+    cuts, run = _runs(context)
+    less = np.array(d)[np.minimum(n, 3)]
+    total = np.add.reduceat(n, cuts[:-1]).astype(np.float64) if len(n) else np.zeros(0)
+    gamma = np.add.reduceat(less, cuts[:-1]) / total if len(n) else np.zeros(0)
+    return (n - less) / total[run] + gamma[run] * low, gamma, cuts
+
+
+def encode_pairs(pair: np.ndarray, n: np.ndarray, d: list[float], root: Root) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(arrays of a part of pairs, p, rank among the siblings)."""
+    p, gamma, cuts = smoothed(pair >> TOKEN_BITS, n, d, root.p[pair & _MASK])
+    rank = np.arange(len(pair)) - np.repeat(cuts[:-1], np.diff(cuts)) + 1
+    first = pair[cuts[:-1]] >> TOKEN_BITS if len(pair) else pair
+    value = _siblings(root.place[pair & _MASK], pair >> TOKEN_BITS)
+    return [*EliasFano.encode(first).arrays(), *EliasFano.encode(cuts).arrays(), *EliasFano.encode(value).arrays(), quantise(gamma), quantise(p)], p, rank
+
+
+def build_trie(docs: DataFrame, text_col: str = "text", part_tokens: int = PART_TOKENS) -> dict | None:
+    """Count, smooth and encode the whole corpus; returns what ``Trie`` takes and the vocabulary, or None if it has no bytes."""
     spark = docs.sparkSession
-    texts = docs.select(F.lit("").alias("model"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    if tokens:
-        vocabulary, symbols = token_vocabulary(texts)
-        bits, most = TOKEN_BITS, SHARD_TOKEN_GRAMS
-        counts = gram_counts(texts, order, lambda data, offsets: byte_grams(*Tokens.of(vocabulary).split(data, offsets), order, TOKEN_BITS))
-    else:
-        vocabulary, symbols, bits, most, counts = None, 256, 8, SHARD_GRAMS, gram_counts(texts, order)
-    tables = levels(counts, order, bits, symbols)
-    root = tables[1].limit(1).collect()
-    if not root:
+    vocabulary, symbols, tokens, often = token_vocabulary(docs.select(F.col(f"`{text_col}`").cast("string").alias("text")))
+    if not tokens:
         return None
-    first = F.shiftright("gram", bits * (order - 1))
-    # the many words share ranges of 512, which keeps this list short
-    mass = {r["b"]: r["n"] for r in tables[order].groupBy(F.when(first < 512, first).otherwise(F.shiftleft(F.shiftright(first, 9), 9)).alias("b")).count().withColumnRenamed("count", "n").collect()}
-    bounds, held = [0], 0
-    each = max(1, min(most, sum(mass.values()) / shards), sum(mass.values()) / SHARDS)
-    for b in sorted(mass):
-        if held >= each:
-            bounds.append(b)
-            held = 0
-        held += mass[b]
+    n = max(1, -(-tokens // part_tokens))
+    hot = sorted((s, -(-k * n // tokens)) for s, k in often.items() if k * n > tokens)
+    parts = Parts(n, [s for s, _ in hot], [k for _, k in hot])
     folder = shared_dir(spark, "trie")
-    shard = F.when(F.col("first") >= bounds[-1], len(bounds) - 1)
-    for s, b in reversed(list(enumerate(bounds[:-1]))):
-        shard = shard.when(F.col("first") >= b, s)
-    every = None
-    for k, t in tables.items():
-        stored = F.col("gram").cast("int") + 1 if k == 1 else F.col("stored")
-        t = t.select(F.lit(k).alias("k"), "gram", stored.alias("stored"), "p", "gamma", F.shiftright("gram", bits * (k - 1)).alias("first"))
-        every = t if every is None else every.unionByName(t)
-    every = every.withColumn("shard", shard).repartition(len(bounds), "shard").sortWithinPartitions("shard", "k", "gram")
+    stats = count_levels(docs, text_col, vocabulary, parts, folder)
+    d = {k: [0.0, *discounts(*v[:4])] for k, v in stats.items()}
 
     @tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, dict[int, list]] = {}
-        done: list[int] = []
+        root = resident("lm", folder + "/root", lambda: Root(folder, symbols, d[1]), 2)
+        for batch in batches:
+            for part in batch.column("id").to_pylist():
+                key, n = _read(folder, 3, part)
+                b, pair = key >> 2 * TOKEN_BITS, key >> 2 * TOKEN_BITS << TOKEN_BITS | key & _MASK
+                low, rank = np.zeros(len(key)), np.zeros(len(key), np.int64)
+                of = parts.of_symbol(b)
+                for other in sorted({part, *np.unique(of).tolist()}):
+                    have, count = _read(folder, 2, other)
+                    arrays, p, place = encode_pairs(have, count, d[2], root)
+                    if other == part:
+                        put_file(f"{folder}/{part}.pairs", pack(arrays))
+                    own = np.flatnonzero(of == other)
+                    at = np.searchsorted(have, pair[own])
+                    low[own], rank[own] = p[at], place[at]
+                p, gamma, cuts = smoothed(key >> TOKEN_BITS, n, d[3], low)
+                context = key[cuts[:-1]] >> TOKEN_BITS if len(key) else key
+                arrays = [*EliasFano.encode(context).arrays(), *EliasFano.encode(cuts).arrays(), *EliasFano.encode(_siblings(rank, key >> TOKEN_BITS)).arrays(), quantise(gamma), quantise(p)]
+                put_file(f"{folder}/{part}.triples", pack(arrays))
+        yield pa.RecordBatch.from_arrays([pa.array([0])], ["done"])
+
+    spark.range(0, n, 1, n).mapInArrow(encode, "done long").count()
+    root = Root(folder, symbols, d[1])
+    put_file(f"{folder}/root", pack([root.symbols.astype(np.int32), quantise(root.p[root.symbols])]))
+    delete_dir(*[f"{folder}/counts{k}" for k in (1, 2, 3)])
+    return {"folder": folder, "parts": n, "hot": parts.hot.tolist(), "pieces": parts.pieces.tolist(), "gamma": float(root.gamma), "symbols": symbols, "vocabulary": vocabulary}
+
+
+class Level:
+    """Sibling ranges below sorted owners: pairs below symbols, triples below contexts."""
+
+    def __init__(self, uri: str):
+        parts = unpack(map_file(uri))
+        self.owners, self.starts, self.ids = (EliasFano.from_arrays(parts[5 * k : 5 * k + 5]) for k in range(3))
+        self.weight, self.code = parts[15], parts[16]
+
+    def range_of(self, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(place, weight code, first child, end) of each owner; place -1, no weight and no children if it has none."""
+        i, value = self.owners.successor(owner)
+        own = np.flatnonzero(value == owner)
+        place, weight = np.full(len(owner), -1, np.int64), np.full(len(owner), NONE, np.int64)
+        lo, hi = np.zeros(len(owner), np.int64), np.zeros(len(owner), np.int64)
+        if len(own):
+            place[own], weight[own], lo[own], hi[own] = i[own], self.weight[i[own]], self.starts.get(i[own]), self.starts.get(i[own] + 1)
+        return place, weight, lo, hi
+
+    def child(self, lo: np.ndarray, hi: np.ndarray, stored: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank among the siblings, code) of the child with the stored rank; rank 0 if there is none. Successor search."""
+        rank, code = np.zeros(len(lo), np.int64), np.full(len(lo), NONE, np.int64)
+        at = np.flatnonzero((hi > lo) & (stored > 0))
+        if len(at):
+            before = np.zeros(len(at), np.int64)
+            inner = np.flatnonzero(lo[at])
+            if len(inner):
+                before[inner] = self.ids.get(lo[at][inner] - 1)
+            i, value = self.ids.successor(before + stored[at])
+            ok = (i < hi[at]) & (value == before + stored[at])
+            at, i = at[ok], i[ok]
+            rank[at], code[at] = i - lo[at] + 1, self.code[i]
+        return rank, code
 
-        def flush(s: int) -> None:
-            put_file(f"{folder}/{s}.trie", encode_shard({k: tuple(np.concatenate(c) for c in zip(*v, strict=True)) for k, v in held.pop(s).items()}, order, bits))
-            done.append(s)
 
-        for batch in batches:
-            k, s = batch.column("k").to_numpy(), batch.column("shard").to_numpy()
-            columns = [batch.column(c).to_numpy() for c in ("gram", "stored", "p", "gamma")]
-            cuts = np.r_[0, np.flatnonzero((k[1:] != k[:-1]) | (s[1:] != s[:-1])) + 1, len(k)]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if a < b:
-                    for old in [x for x in held if x != s[a]]:
-                        flush(old)
-                    held.setdefault(int(s[a]), {}).setdefault(int(k[a]), []).append([c[a:b].astype(np.int64 if j < 2 else np.float64) for j, c in enumerate(columns)])
-        for old in list(held):
-            flush(old)
-        yield pa.RecordBatch.from_arrays([pa.array(done, pa.int32())], ["shard"])
-
-    made = {r["shard"] for r in every.select("shard", "k", "gram", "stored", "p", "gamma").mapInArrow(encode, "shard int").collect()}
-    for s in set(range(len(bounds))) - made:  # a range of first bytes that no gram has
-        put_file(f"{folder}/{s}.trie", encode_shard({}, order, bits))
-    return {"folder": folder, "bounds": bounds, "gamma": root[0]["gamma"], "order": order, "bits": bits, "symbols": symbols, "vocabulary": vocabulary}
+class Trie:
+    """The memory-mapped parts below a folder; where the folder can't be mapped, at most ``held`` of them in memory."""
+
+    def __init__(self, folder: str, parts: int, hot: list[int], pieces: list[int], gamma: float, symbols: int, held: int = 64):
+        self.folder, self.parts, self.gamma, self.symbols, self.held = folder, Parts(parts, hot, pieces), gamma, symbols, held
+        known, code = unpack(map_file(f"{folder}/root"))
+        self.place = np.zeros(1 << TOKEN_BITS, np.int32)
+        self.place[known] = np.arange(1, len(known) + 1)
+        self.base = np.full(1 << TOKEN_BITS, np.log2(gamma) - np.log2(symbols), np.float32)
+        self.base[known] = -STEP * code.astype(np.float32)
+        self.levels: dict[str, Level] = {}
+
+    def _level(self, name: str) -> Level:
+        level = self.levels.get(name)
+        if level is None:
+            level = Level(f"{self.folder}/{name}")
+            if not isinstance(level.code.base, np.memmap) and len(self.levels) >= self.held:
+                del self.levels[next(iter(self.levels))]
+            self.levels[name] = level
+        return level
+
+    def _each(self, part: np.ndarray, kind: str) -> Iterator[tuple[Level, np.ndarray]]:
+        by = np.argsort(part, kind="stable")
+        cuts, _ = _runs(part[by])
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            yield self._level(f"{part[by[a]]}.{kind}"), by[a:b]
+
+    def log2(self, key: np.ndarray) -> np.ndarray:
+        """log2 of the probability of each gram (b, a, c): that of c after a and b."""
+        pair, inverse = np.unique(key >> 2 * TOKEN_BITS << TOKEN_BITS | key & _MASK, return_inverse=True)
+        b, c = pair >> TOKEN_BITS, pair & _MASK
+        rank, low = np.zeros(len(pair), np.int64), self.base[c].astype(np.float64)
+        for level, own in self._each(self.parts.of_symbol(b), "pairs"):
+            _, weight, lo, hi = level.range_of(b[own])
+            rank[own], code = level.child(lo, hi, self.place[c[own]].astype(np.int64))
+            low[own] = np.where(code != NONE, -STEP * code, low[own] - np.where(weight != NONE, STEP * weight, 0))
+        rank, out, context = rank[inverse], low[inverse], key >> TOKEN_BITS
+        for level, own in self._each(self.parts.of_context(key >> 2 * TOKEN_BITS, context & _MASK), "triples"):
+            _, weight, lo, hi = level.range_of(context[own])
+            _, code = level.child(lo, hi, rank[own])
+            out[own] = np.where(code != NONE, -STEP * code, out[own] - np.where(weight != NONE, STEP * weight, 0))
+        return out
 
 
 def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -302,15 +487,16 @@ def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
 
     @tidy
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = resident("lm", model["folder"], lambda: _open(model), 2) if model else None
+        trie = resident("lm", model["folder"], lambda: Trie(**{k: v for k, v in model.items() if k != "vocabulary"}), 2) if model else None
         for batch in batches:
             n, bits = np.zeros(len(batch), np.int64), np.zeros(len(batch))
-            for a, b, data, offsets in text_chunks(batch.column("text")):
+            for a, b, data, offsets in text_chunks(batch.column("text"), 4 << 20):
                 n[a:b] = np.diff(offsets)
-                if model:
-                    if model["vocabulary"]:
-                        data, offsets = Tokens.of(model["vocabulary"]).split(data, offsets)
-                    bits[a:b] = -text_log2(cache, data, offsets, model["order"], model["bits"])
+                if trie and len(data):
+                    tokens, at = Tokens.of(model["vocabulary"]).split(data, offsets)
+                    key, inverse = np.unique(token_grams(tokens, at), return_inverse=True)
+                    total = np.r_[0.0, np.cumsum(trie.log2(key)[inverse])]
+                    bits[a:b] = total[at[:-1]] - total[at[1:]]
             empty = n == 0
             bits = bits / np.maximum(n, 1)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(bits, mask=empty), pa.array(np.exp2(bits), mask=empty)], ["doc_id", "n_bytes", "bits_per_byte", "perplexity"])
@@ -319,6 +505,6 @@ def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
     return rows.mapInArrow(score, f"doc_id {kind}, n_bytes long, bits_per_byte double, perplexity double")
 
 
-def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, tokens: bool = False) -> DataFrame:
-    """Perplexity per byte of every document under the n-gram model of the whole table, of bytes or of tokens."""
-    return score_documents(docs, build_trie(docs, text_col, order, tokens=tokens), id_col, text_col)
+def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_tokens: int = PART_TOKENS) -> DataFrame:
+    """Perplexity per byte of every document under the 3-gram model of the whole table."""
+    return score_documents(docs, build_trie(docs, text_col, part_tokens), id_col, text_col)

@@ -19,6 +19,8 @@ from .words import _BASE, _VALUES, WORD, mix
 
 TOKEN_BITS = 21
 WORDS = (1 << TOKEN_BITS) - 257
+#: A symbol that is more than one of so many tokens is frequent: at most as many are.
+FREQUENT = 100_000
 
 
 def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -41,20 +43,37 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts - spaced, ends, (mix(sums * np.uint64(2) + spaced.astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
 
 
-def token_vocabulary(texts: DataFrame) -> tuple[str, int]:
-    """(file of the sorted hashes of the vocabulary's words, number of symbols that a text may have)."""
-    counts = written(gram_counts(texts, grams_of=lambda data, offsets: spans(data, offsets)[2]).select("gram", "n"), "words")
+def _units(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Hashes of the words, and -256 to -1 for the bytes between them."""
+    starts, ends, hashes = spans(data, offsets)
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[starts] += 1
+    inside[ends] -= 1
+    return np.r_[hashes, data[np.cumsum(inside[:-1], dtype=np.int8) == 0].astype(np.int64) - 256]
+
+
+def token_vocabulary(texts: DataFrame) -> tuple[str, int, int, dict[int, int]]:
+    """(file of the sorted hashes of the vocabulary's words, number of symbols that a text may have, number of tokens, that of the frequent symbols).
+
+    The numbers of tokens leave out the bytes of words outside the vocabulary; only the division into parts rests on them.
+    """
+    counts = written(gram_counts(texts.select(F.lit("").alias("model"), "text"), grams_of=_units).select("gram", "n"), "words")
     least, held = 2, 0
     # counts of counts: from the highest, as many as fit
-    for r in sorted(counts.where("n > 1").groupBy("n").agg(F.count("*").alias("words")).collect(), key=lambda r: -r["n"]):
+    for r in sorted(counts.where("n > 1 and gram >= 0").groupBy("n").agg(F.count("*").alias("words")).collect(), key=lambda r: -r["n"]):
         held += r["words"]
         if held > WORDS:
             least = r["n"] + 1
             break
-    hashes = np.sort(counts.where(F.col("n") >= least).select("gram").toArrow().column("gram").to_numpy())
+    hashes = np.sort(counts.where((F.col("n") >= least) & (F.col("gram") >= 0)).select("gram").toArrow().column("gram").to_numpy()).astype(np.int64)
     uri = f"{shared_dir(texts.sparkSession, 'vocabulary')}/words"
-    put_file(uri, hashes.astype(np.int64).tobytes() or b"\xff" * 8)
-    return uri, 256 + len(hashes)
+    put_file(uri, hashes.tobytes() or b"\xff" * 8)
+    tokens = counts.agg(F.sum("n")).first()[0] or 0
+    often = {0: texts.where("text != ''").count()}
+    for r in counts.where(F.col("n") > tokens / FREQUENT).collect():
+        at = r["gram"] + 257 if r["gram"] < 0 else int(np.searchsorted(hashes, r["gram"])) + 257
+        often[at] = r["n"]
+    return uri, 256 + len(hashes), tokens, often
 
 
 class Tokens:

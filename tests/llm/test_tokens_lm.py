@@ -56,9 +56,10 @@ def brute_force(texts, order=3):
 TEXTS = ["the cat sat on the mat", "the cat ate the rat, the rat!", "", "élan für été \0 x", "a", "a", "zq " * 900, " the mat\n the  cat 12 12", "été für the cat"]
 
 
-def test_scores_match_brute_force(spark):
+@pytest.mark.parametrize("part_tokens", [2_000_000, 40])
+def test_scores_match_brute_force(spark, part_tokens):
     df = spark.createDataFrame(list(enumerate([*TEXTS, None])), "doc_id int, text string")
-    got = {r.doc_id: r for r in lm_score(df, order=3, tokens=True).collect()}
+    got = {r.doc_id: r for r in lm_score(df, part_tokens=part_tokens).collect()}
     assert len(got) == len(TEXTS) + 1
     for i, (bits, n) in enumerate(zip(*brute_force(TEXTS), strict=True)):
         assert got[i].n_bytes == len(TEXTS[i].encode())
@@ -87,5 +88,5 @@ def test_query_sees_more_than_one_word(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(str(tmp_path / "documents.parquet"))
     bits = [r.bits_per_byte * r.n_bytes for r in op1_lm_score(spark, str(tmp_path)).collect()]
     assert np.mean(bits) < 7  # two words of 3 bits each, and a certain third
-    model = build_trie(spark.read.parquet(str(tmp_path / "documents.parquet")), order=3, tokens=True)
+    model = build_trie(spark.read.parquet(str(tmp_path / "documents.parquet")))
     assert model["symbols"] == 256 + 16
