@@ -30,18 +30,30 @@ class Result:
     error: str | None = None
 
 
-def update(store: Store, kind: str, wide: DataFrame | None, registry: DataFrame, symbols: Sequence[str] = (), source: str = "archive") -> Result:
-    """Replace a domain by the rows of the registry's codes, current and predecessor, in one pass over the archives."""
+def update(store: Store, kind: str, wide: DataFrame | None, registry: DataFrame, symbols: Sequence[str] = (), source: str = "archive", years: tuple[int, int] | None = None) -> Result:
+    """Renew a domain by the rows of the registry's codes, current and predecessor, in one pass over the archives.
+
+    Without ``symbols`` and ``years`` they replace the domain. With them they replace the instruments of those symbols, or
+    the rows of those years, and everything else stays, entries included.
+    """
     if wide is None:
         return Result(kind, False, 0, "the current year could not be read")
     codes = T.code_names(registry if not symbols else registry.where(F.col("symbol").isin(*symbols)))
-    named = wide.join(F.broadcast(codes.select(F.col("code").alias(CODE), F.concat_ws("_", "symbol", "code").alias("name"))), CODE)
-    kept = named.drop("path").sortWithinPartitions(DATE)
+    names = codes.select(F.col("code").alias(CODE), F.concat_ws("_", "symbol", "code").alias("name"))
+    kept = wide.join(names, CODE).drop("path")
     with store.lock():
-        store.replace(kept, DOMAINS[kind], ["name"])
-        entries = M.describe(store.read_wide(DOMAINS[kind]).withColumn("domain", F.lit(DOMAINS[kind])), "domain", "name", DATE, source)
+        old = store.read_wide(DOMAINS[kind]) if symbols or years else None
+        if old is not None:
+            goes = names.select("name", F.lit(True).alias("_goes"))
+            old = old.join(goes, "name", "left").where(~(F.coalesce("_goes", F.lit(False)) & (F.year(DATE).between(*years) if years else F.lit(True)))).drop("_goes")
+            kept = kept.unionByName(old, allowMissingColumns=True)
+        store.replace(kept.sortWithinPartitions(DATE), DOMAINS[kind], ["name"])
+        rows = store.read_wide(DOMAINS[kind]).withColumn("domain", F.lit(DOMAINS[kind]))
+        entries = M.describe(rows.join(names.select("name").distinct(), "name", "left_semi"), "domain", "name", DATE, source).persist()
         store.touch(entries)
-    return Result(kind, True, entries.count())
+        n = entries.count()
+        entries.unpersist()
+    return Result(kind, True, n)
 
 
 def _numbers(df: DataFrame) -> list[str]:

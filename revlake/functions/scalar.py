@@ -56,6 +56,10 @@ def row_hash(fields: Mapping[str, Column]) -> Column:
     return F.sha2(F.concat_ws("|", *[F.concat(F.lit(f"{name}="), c) for name, c in fields.items()]), 256)
 
 
+def content_sha256(content: Column) -> Column:
+    return F.sha2(content, 256)
+
+
 def short_id(*parts: Column, size: int = 16) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256), 1, size)
 

@@ -63,19 +63,25 @@ def field_revisions(df: DataFrame, keys: Sequence[str], order: Sequence[str], fi
     return rows.where("not (old_value <=> new_value)").withColumns({"delta": change, "pct_delta": share})
 
 
+def recent(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The n greatest rows by ``order``: a top-k report."""
+    return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
+
+
 def melt(df: DataFrame, keep: Sequence[str], values: Mapping[str, Mapping[str, Column]], name: str = "category") -> DataFrame:
     """One row per entry of ``values`` with its columns; rows whose values are null stay."""
     rows = [F.struct(F.lit(n).alias(name), *[c.alias(k) for k, c in columns.items()]) for n, columns in values.items()]
     return df.select(*keep, F.explode(F.array(*rows)).alias("_m")).select(*keep, "_m.*")
 
 
-def diff(incoming: DataFrame, stored: DataFrame, keys: Sequence[str], order: Sequence[str], value_fields: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def diff(incoming: DataFrame, stored: DataFrame, keys: Sequence[str], order: Sequence[str], value_fields: Sequence[str], at=None) -> tuple[DataFrame, DataFrame]:
     """(new observations, revisions) of ``incoming``, whose rows have one (observed_at, snapshot_id), against what was known then.
 
     A row is written when its key is new or its hash differs from the latest stored at or before its own
-    observed_at, and when it isn't stored already: a replay writes nothing, a late snapshot only what it changed.
+    observed_at, and when it isn't stored already: a replay writes nothing, a late snapshot only what it changed. ``_unexplained`` marks
+    observations whose hash differs from the one before though no field does. ``at``: the observed_at, if the caller knows it.
     """
-    at = incoming.agg(F.max(order[0])).first()[0]
+    at = incoming.agg(F.max(order[0])).first()[0] if at is None else at
     known = stored.where(F.col(order[0]) <= F.lit(at))
     prior = latest_by_key(known, keys, order).select(*keys, F.struct(*[c for c in stored.columns if c not in keys]).alias("_old"))
     same_key = [F.col(f"n.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys]
@@ -93,16 +99,17 @@ def diff(incoming: DataFrame, stored: DataFrame, keys: Sequence[str], order: Seq
         for f in value_fields
     ]
     change, share = S.delta(F.col("_p.o"), F.col("_p.w"))
+    fresh = fresh.withColumn("_changed", F.filter(F.array(*pairs), lambda p: p.old_value != p.new_value))
     revisions = (
         fresh.where("_old is not null")
-        .withColumn("_p", F.explode(F.filter(F.array(*pairs), lambda p: p.old_value != p.new_value)))
+        .withColumn("_p", F.explode("_changed"))
         .select(
             *keys, "_p.field", "_p.old_value", "_p.new_value", change.alias("delta"), share.alias("pct_delta"),
             F.col("_old.snapshot_id").alias("old_snapshot_id"), F.col("snapshot_id").alias("new_snapshot_id"), F.col("observed_at").alias("detected_at"), S.age_days(F.col("observed_at"), F.col("report_date")).alias("age_days"),
             S.short_id(*[F.col(k) for k in keys], F.col("_p.field"), F.col("_old.snapshot_id"), F.col("snapshot_id")).alias("revision_id"),
         )
     )
-    return fresh.drop("_old"), revisions
+    return fresh.withColumn("_unexplained", F.col("_old").isNotNull() & (F.size("_changed") == 0)).drop("_old", "_changed"), revisions
 
 
 def rebuild(vintages: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

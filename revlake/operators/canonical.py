@@ -53,6 +53,14 @@ def with_hash(rows: DataFrame) -> DataFrame:
     return rows.withColumn("row_sha256", S.row_hash({f: S.canonical_value(F.col(f), kinds[f]) for f in VALUE_FIELDS}))
 
 
+def vanished(gone: DataFrame, snapshot_id: str, observed_at) -> DataFrame:
+    """Observations of keys that a snapshot lacks: no values, the hash of none, ``is_tombstone``."""
+    nothing = {f: F.lit(None).cast(gone.schema[f].dataType) for f in VALUE_FIELDS}
+    rows = with_hash(gone.select(*[nothing[c].alias(c) if c in nothing else F.col(c) for c in gone.columns if c != "row_sha256"]))
+    stamp = {"observed_at": F.lit(observed_at).cast("timestamp"), "snapshot_id": F.lit(snapshot_id), "is_tombstone": F.lit(True)}
+    return rows.withColumns(stamp).select(*gone.columns)
+
+
 def stamped(canonical: DataFrame, snapshot_id: str, observed_at) -> DataFrame:
     """Canonical rows as the observations of one snapshot."""
     rows = with_hash(canonical)

@@ -11,6 +11,10 @@ from revlake.functions import scalar as S
 from revlake.schema import NATURAL_KEY, SIDE_FIELDS, VOCABULARY
 
 
+#: Warnings that a validation spells out.
+WARNINGS = 100
+
+
 class ValidationError(ValueError):
     """Rows that must not be stored."""
 
@@ -43,8 +47,8 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count: str = "n") -> Data
 
 
 def outside_vocabulary(df: DataFrame, vocabulary: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose value is not listed; the vocabulary is a small table of ours and is broadcast."""
-    return df.join(F.broadcast(vocabulary), list(on), "left_anti")
+    """Rows whose value is not listed."""
+    return df.join(vocabulary, list(on), "left_anti")
 
 
 def side_breach(parts: DataFrame, totals: DataFrame, key: str, part: str, total: str) -> DataFrame:
@@ -87,7 +91,7 @@ def interval_gaps(df: DataFrame, key: str, date: str, usual: int = 7) -> DataFra
 
 
 def validate(df: DataFrame, null_band: float = 0.20) -> list[str]:
-    """Raise for rows that must not be stored; return warnings about those that may. Two aggregations, whatever the size."""
+    """Raise for rows that must not be stored; return warnings about those that may: at most ``WARNINGS``, and how many more there are."""
     missing = [c for c in NATURAL_KEY if c not in df.columns]
     if missing:
         raise ValidationError(f"missing key columns {missing}")
@@ -117,7 +121,23 @@ def validate(df: DataFrame, null_band: float = 0.20) -> list[str]:
             if r[f"null_{c}"] > null_band * r["n"]:
                 raise ValidationError(f"{r['report_type']}/{r['category']}: {c} is null in {r[f'null_{c}']} of {r['n']} rows")
     checked = zero_sum(df).where(F.col("oi_gap") < -S.rounding_tolerance(F.col("n_rows")))
-    return [f"{r['report_type']} {r['market_code']} {r['report_date']}: positions exceed open interest by {-r['oi_gap']}" for r in checked.orderBy("report_date", "market_code").collect()]
+    first = checked.orderBy("report_date", "market_code", "report_type").limit(WARNINGS + 1).collect()
+    out = [f"{r['report_type']} {r['market_code']} {r['report_date']}: positions exceed open interest by {-r['oi_gap']}" for r in first[:WARNINGS]]
+    return out + ([f"and {checked.count() - WARNINGS} more such weeks"] if len(first) > WARNINGS else [])
+
+
+def year_counts(df: DataFrame, year: Column, code: str, date: str) -> DataFrame:
+    """(y, markets, first_date, last_date) per year."""
+    return df.groupBy(year.alias("y")).agg(F.countDistinct(code).alias("markets"), F.min(date).alias("first_date"), F.max(date).alias("last_date"))
+
+
+def category_migration(revisions: DataFrame, week: Sequence[str] = ("report_date", "market_code", "report_type", "combined", "new_snapshot_id"), category: str = "category", tolerance: float = 0) -> DataFrame:
+    """(week, field, n, moved): weeks in which a snapshot changed a field of several categories and left its total as it was.
+
+    That is what a reclassification of traders looks like; ``moved`` is what went from some categories to others.
+    """
+    g = revisions.where("delta is not null").groupBy(*week, "field").agg(F.countDistinct(category).alias("n"), F.sum("delta").alias("total"), (F.sum(F.abs("delta")) / 2).alias("moved"))
+    return g.where((F.col("n") > 1) & (F.abs("total") <= tolerance)).drop("total")
 
 
 def row_count_band(counts: DataFrame, by: Sequence[str], order: str, n: str, band: float = 0.2) -> DataFrame:

@@ -17,8 +17,8 @@ def code_names(registry: DataFrame) -> DataFrame:
 
 def resolve(names: DataFrame, registry: DataFrame, column: str = "name") -> DataFrame:
     """Each asked name with its registry row: by symbol, else by current code, else with nulls."""
-    by_symbol = F.broadcast(registry.withColumn("_by", F.lit(1)))
-    by_code = F.broadcast(registry.withColumn("_by", F.lit(2)))
+    by_symbol = registry.withColumn("_by", F.lit(1))
+    by_code = registry.withColumn("_by", F.lit(2))
     a = names.join(by_symbol, F.col(column) == F.col("symbol"), "left")
     b = a.where("_by is null").select(*names.columns).join(by_code, F.col(column) == F.col("code"), "left")
     return a.where("_by is not null").unionByName(b).drop("_by")
@@ -27,10 +27,10 @@ def resolve(names: DataFrame, registry: DataFrame, column: str = "name") -> Data
 def stitch(rows: DataFrame, codes: DataFrame, code: str, date: str, scaled: list[str], keep: list[str] = ()) -> DataFrame:
     """(symbol, date, scaled columns, keep, priority): each date once per symbol, from its current code or else the first predecessor that has it.
 
-    ``codes`` is that of ``code_names``: the registry's size, broadcast. Positions are multiplied by the
+    ``codes`` is that of ``code_names``; how to join it is left to the optimizer. Positions are multiplied by the
     predecessor's contract scale, other columns stay; all rows carry the symbol's current code where ``keep`` asks for it.
     """
-    codes = F.broadcast(codes.withColumnRenamed("code", "_code"))
+    codes = codes.withColumnRenamed("code", "_code")
     both = rows.join(codes, F.col(code) == F.col("_code"))
     values = [(F.col(c) * F.col("scale")).alias(c) for c in scaled]
     both = both.select("symbol", date, *values, *keep, "priority")

@@ -10,7 +10,7 @@ import re
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlake.functions import scalar as S
@@ -20,6 +20,8 @@ from revlake.operators import manifest as M
 from revlake.operators import quality as Q
 from revlake.operators import release as R
 from revlake.operators import stitch as T
+from revlake.sources import archives, html
+from revlake.streaming import ingest as streaming
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {m[1]: m[2].strip() for m in re.finditer(r"^-- (\w+)\n(.*?);$", Path(__file__).with_name("oracle.sql").read_text(), re.S | re.M)}
@@ -27,7 +29,7 @@ ORACLE: dict[str, str] = {m[1]: m[2].strip() for m in re.finditer(r"^-- (\w+)\n(
 #: Dates leave as timestamps, which both engines hand over in one form.
 DATES = {
     "stitch": "d", "derive_release": "release_date", "report_date_for_release": "report_date", "interval_gaps": "d", "flow_state": "d",
-    "tumbling": "d", "first_sighting": "report_date", "dedup_values": "d",
+    "tumbling": "d", "first_sighting": "report_date", "dedup_values": "d", "release_precedence": "release_date", "schedule_map": "report_date", "heading_span": "announcement_date",
 }
 ORACLE |= {name: f"select * replace (cast({c} as timestamp) as {c}) from (\n{ORACLE[name]}\n)" for name, c in DATES.items()}
 
@@ -132,8 +134,11 @@ def latest_name(t):
 
 @query
 def stitch(t):
-    rows = t("lineitem").where("l_suppkey < 10").groupBy(F.col("l_suppkey").alias("code"), F.col("l_shipdate").cast("date").alias("d")).agg(F.sum(F.col("l_quantity").cast("long")).cast("double").alias("q"))
-    registry = rows.sparkSession.range(5).select(F.col("id").alias("code"), F.col("id").alias("symbol"), F.array(F.struct((F.col("id") + 5).alias("code"), F.lit(4.0).alias("scale"))).alias("predecessors"))
+    """Every code: the lower half of the suppliers' range are current, the upper half their predecessors."""
+    rows = t("lineitem").groupBy(F.col("l_suppkey").alias("code"), F.col("l_shipdate").cast("date").alias("d")).agg(F.sum(F.col("l_quantity").cast("long")).cast("double").alias("q"))
+    half = (t("supplier").count() + 1) // 2
+    old = F.array(F.struct((F.col("s_suppkey") + half).alias("code"), F.lit(4.0).alias("scale")))
+    registry = t("supplier").where(F.col("s_suppkey") < half).select(F.col("s_suppkey").alias("code"), F.col("s_suppkey").alias("symbol"), old.alias("predecessors"))
     return T.stitch(rows, T.code_names(registry), "code", "d", ["q"]).select(F.col("symbol").alias("sym"), "d", "q", F.col("priority").alias("pri"))
 
 
@@ -151,15 +156,16 @@ def report_date_for_release(t):
 def release_precedence(t):
     seen = t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min(F.col("l_shipdate").cast("date")).alias("first_seen"))
     rows = t("orders").join(seen, "o_orderkey", "left").withColumn("rd", F.col("o_orderdate").cast("date"))
-    given = lambda cond: F.when(cond, F.col("rd"))
-    _, source = S.resolve_release(F.col("rd"), given(F.col("o_orderpriority") == "1-URGENT"), S.observed_within(F.col("first_seen"), F.col("rd")), given(F.col("o_orderstatus") == "F"), given(F.col("o_orderstatus") == "O"))
-    return rows.select("o_orderkey", source.alias("src"))
+    given = lambda cond, days: F.when(cond, F.date_add("rd", days))
+    date, source = S.resolve_release(F.col("rd"), given(F.col("o_orderpriority") == "1-URGENT", 1), S.observed_within(F.col("first_seen"), F.col("rd")), given(F.col("o_orderstatus") == "F", 5), given(F.col("o_orderstatus") == "O", 6))
+    return rows.select("o_orderkey", source.alias("src"), date.alias("release_date"))
 
 
 @query
 def schedule_map(t):
-    rank = F.when(F.col("o_orderstatus") == "P", 3).when(F.col("o_orderstatus") == "F", 2).otherwise(1)
-    return B.first_by_key(t("orders", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderkey"), ["o_custkey", "o_orderdate"], [rank.desc(), F.col("o_orderkey").asc()])
+    source = F.when(F.col("o_orderstatus") == "P", "published").when(F.col("o_orderstatus") == "F", "announced").otherwise("scheduled")
+    rows = t("orders").select(F.col("o_orderdate").cast("date").alias("report_date"), F.date_add(F.lit("1970-01-01").cast("date"), F.col("o_orderkey").cast("int")).alias("release_date"), source.alias("source"), F.col("o_orderdate").alias("ingested_at"))
+    return R.best_schedule(rows).select("report_date", "source", F.datediff("release_date", F.lit("1970-01-01")).cast("long").alias("o_orderkey"))
 
 
 @query
@@ -169,7 +175,8 @@ def newest_plan(t):
 
 @query
 def source_counts(t):
-    return t("orders").groupBy(F.col("o_orderstatus").alias("src")).agg(F.count("*").alias("n"))
+    source = F.when(F.col("o_orderstatus") == "P", "published").when(F.col("o_orderstatus") == "F", "announced").otherwise("scheduled")
+    return R.source_counts(t("orders").select(source.alias("release_date_source")))
 
 
 @query
@@ -204,8 +211,8 @@ def ghosts(t):
 
 @query
 def overlay(t):
-    half = t("lineitem").where("l_suppkey % 2 = 0").groupBy(F.col("l_suppkey").alias("k")).agg(F.count("*").alias("n")).select("k", F.lit("half").alias("src"), "n")
-    return M.overlay(half, t("supplier").select(F.col("s_suppkey").alias("k"), F.lit("legacy").alias("src"), F.lit(0).cast("long").alias("n")), ["k"])
+    counted = t("lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.count("*").alias("n")).select("k", F.lit("lines").alias("src"), "n")
+    return M.overlay(counted, t("orders").select(F.col("o_orderkey").alias("k"), F.lit("legacy").alias("src"), F.lit(0).cast("long").alias("n")), ["k"])
 
 
 @query
@@ -221,8 +228,10 @@ def interval_gaps(t):
 
 @query
 def heading_span(t):
-    turns = t("conversations", "conv_id", "turn").distinct()
-    return turns.withColumn("span", F.lead("turn").over(Window.partitionBy("conv_id").orderBy("turn")) - F.col("turn")).where("span is not null")
+    """Each customer's orders as a page of dated headings, cut up again."""
+    item = F.concat(F.date_format("o_orderdate", "MMMM d, yyyy"), F.lit(": order "), F.col("o_orderkey"), F.lit(".<br>\n"))
+    pages = t("orders").groupBy(F.col("o_custkey").cast("string").alias("url")).agg(F.array_join(F.collect_list(item), "").alias("html"))
+    return html.announcements(pages)
 
 
 @query
@@ -237,14 +246,17 @@ def json_props(t):
 
 @query
 def registry_resolve(t):
-    nations = t("nation").join(F.broadcast(t("region")), F.col("n_regionkey") == F.col("r_regionkey"))
-    return t("supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name", "r_name")
+    """Nations by their key as a code, for suppliers, and by name as a symbol."""
+    registry = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("symbol"), F.col("n_nationkey").cast("string").alias("code"), "r_name")
+    names = t("supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("name")).union(t("nation").select(-1 - F.col("n_nationkey").cast("long"), "n_name"))
+    return T.resolve(names, registry).select("s_suppkey", F.col("symbol").alias("n_name"), "r_name")
 
 
 @query
 def registry_passthrough(t):
-    names = t("supplier").select(F.col("s_suppkey").alias("p_partkey"), "s_name")
-    return t("part", "p_partkey").join(names, "p_partkey", "left").select("p_partkey", F.coalesce("s_name", F.col("p_partkey").cast("string")).alias("symbol"))
+    registry = t("supplier").select(F.col("s_name").alias("symbol"), F.col("s_suppkey").cast("string").alias("code"))
+    got = T.resolve(t("part").select("p_partkey", F.col("p_partkey").cast("string").alias("name")), registry)
+    return got.select("p_partkey", F.coalesce("symbol", "name").alias("symbol"))
 
 
 @query
@@ -261,14 +273,15 @@ def only_in_source(t):
 
 @query
 def topk_recent(t):
-    order = ["l_shipdate", *KEY, "l_partkey", "l_suppkey"]
-    return t("lineitem", *KEY, *VINTAGE).orderBy(*[F.col(c).desc() for c in order]).limit(20)
+    return B.recent(t("lineitem", *KEY, *VINTAGE), ["l_shipdate", *KEY, "l_partkey", "l_suppkey"], 20)
 
 
 @query
 def asof_join(t):
+    """The event that each order's customer, mapped onto all users, had last when the order fell due."""
+    users = t("events").agg(F.max("user_id") + 1).first()[0]
     due = F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(cast(o_orderkey % 30 as int))")
-    points = t("orders").where("o_orderkey < 500").select("o_orderkey", (F.col("o_custkey") % 15).alias("user_id"), due.alias("due"))
+    points = t("orders").select("o_orderkey", (F.col("o_custkey") % users).alias("user_id"), due.alias("due"))
     return B.asof_join(points, t("events", "user_id", "ts", "event_type"), ["user_id"], "due", "ts", ["event_type"]).where("event_type is not null").select("o_orderkey", F.col("event_type").alias("et"))
 
 
@@ -280,7 +293,8 @@ def flow_state(t):
 
 @query
 def tumbling(t):
-    return t("events").groupBy(F.col("ts").cast("date").alias("d"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("v"))
+    counted = streaming.tumbling(t("events"), "ts", ["event_type"])
+    return counted.select(F.col("window_start").cast("timestamp_ntz").alias("d"), "event_type", "n", F.round("total", 4).alias("v"))
 
 
 @query
@@ -292,12 +306,13 @@ def first_sighting(t):
 @query
 def union_missing(t):
     lines = t("lineitem")
-    return lines.where("l_returnflag = 'A'").select(*KEY, "l_quantity").unionByName(lines.where("l_returnflag = 'R'").select(*KEY, "l_tax"), allowMissingColumns=True)
+    return archives.union_years([lines.where("l_returnflag = 'A'").select(*KEY, "l_quantity"), lines.where("l_returnflag = 'R'").select(*KEY, "l_tax")])
 
 
 @query
 def dedup_values(t):
-    return t("lineitem").select("l_returnflag", "l_linestatus", F.col("l_shipdate").cast("date").alias("d")).dropDuplicates()
+    keys = ["l_returnflag", "l_linestatus", "d"]
+    return B.first_by_key(t("lineitem").select(*keys[:2], F.col("l_shipdate").cast("date").alias("d"), "l_orderkey"), keys, [F.col("l_orderkey").asc()]).drop("l_orderkey")
 
 
 @query
@@ -308,12 +323,12 @@ def age_depth(t):
 
 @query
 def content_hash(t):
-    return t("pages").select("page_id", F.sha2("html", 256).alias("content_sha256"), F.length("html").cast("long").alias("n_chars"))
+    return t("pages").select("page_id", S.content_sha256(F.col("html")).alias("content_sha256"), F.length("html").cast("long").alias("n_chars"))
 
 
 @query
 def year_counts(t):
-    return t("orders").groupBy(F.year("o_orderdate").alias("y")).agg(F.countDistinct("o_custkey").alias("markets"), F.min("o_orderdate").alias("first_date"), F.max("o_orderdate").alias("last_date"))
+    return Q.year_counts(t("orders"), F.year("o_orderdate"), "o_custkey", "o_orderdate")
 
 
 @query
@@ -332,3 +347,26 @@ def revision_stats(t):
 def row_count_band(t):
     counts = t("orders").groupBy(F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("y")).agg(F.count("*").alias("n"))
     return Q.row_count_band(counts, ["status"], "y", "n", 0.05).select("status", "y", "n", "before", F.round("share", 6).alias("share"))
+
+
+@query
+def late_ingest(t):
+    """Lines marked R arrive as one snapshot observed in the middle of 1998, when later lines of their keys are already stored."""
+    fields = {"quantity": "l_quantity", "discount": "l_discount"}
+    rows = t("lineitem").select(*KEY, *VINTAGE, *[F.col(c).alias(n) for n, c in fields.items()], "l_returnflag", F.col("l_shipdate").cast("date").alias("report_date"))
+    rows = rows.withColumn("row_sha256", S.row_hash({n: S.canonical_value(F.col(n), "double") for n in fields}))
+    at = F.expr("timestamp_ntz '1998-07-01 00:00:00'")
+    snapshot = F.format_string("%09d-%09d", "l_partkey", "l_suppkey")
+    stored = rows.where("l_returnflag <> 'R'").withColumns({"observed_at": F.col("l_shipdate"), "snapshot_id": snapshot})
+    late = B.latest_by_key(rows.where("l_returnflag = 'R'"), KEY, VINTAGE).withColumns({"observed_at": at, "snapshot_id": F.lit("late")})
+    new, revisions = B.diff(late, stored, KEY, ["observed_at", "snapshot_id"], list(fields), at)
+    out = new.select(*KEY, F.lit("new row").alias("field"), F.lit(None).cast("double").alias("delta"), F.col("_unexplained").cast("int").alias("odd"))
+    return out.union(revisions.select(*KEY, "field", F.round("delta", 6), F.lit(0)))
+
+
+@query
+def category_migration(t):
+    """Lines as revisions of an order's week, by line number; what cancels out within an order and flag moved between its lines."""
+    sign = F.when(F.col("l_linenumber") % 2 == 0, 1).otherwise(-1)
+    rows = t("lineitem").select("l_orderkey", F.col("l_linenumber").alias("category"), F.col("l_returnflag").alias("field"), (F.floor(F.col("l_quantity") / 10) * sign).cast("double").alias("delta"))
+    return Q.category_migration(rows, ["l_orderkey"])

@@ -64,9 +64,9 @@ is null union all select y,'gap',null from p where py is not null and py<>y-1) z
 select s_nationkey, max_by(s_name,s_suppkey) latest_name from supplier where s_name is not null group by s_nationkey;
 
 -- stitch
-with r as (select l_suppkey code,cast(l_shipdate as date) d,sum(cast(l_quantity as bigint)) q from lineitem where l_suppkey<10 group by 1,2), f as (select code
-sym,d,cast(q as double) q,0 pri from r where code<5 union all select code-5,d,q*4.0,1 from r where code>=5) select sym,d,q,pri from (select *,row_number() over (partition
-by sym,d order by pri) rn from f) t where rn=1;
+with h as (select (count(*)+1)//2 h from supplier), r as (select l_suppkey code,cast(l_shipdate as date) d,sum(cast(l_quantity as bigint)) q from lineitem group by 1,2), f as
+(select code sym,d,cast(q as double) q,0 pri from r,h where code<h union all select code-h,d,q*4.0,1 from r,h where code>=h) select sym,d,q,pri from (select *,row_number()
+over (partition by sym,d order by pri) rn from f) t where rn=1;
 
 -- derive_release
 select o_orderkey, case when isodow(d3)=6 then d3+2 when isodow(d3)=7 then d3+1 else d3 end release_date from (select o_orderkey, cast(o_orderdate as date)+3 d3 from
@@ -77,18 +77,21 @@ select o_orderkey, d - cast((isodow(d)+5)%7 as int) report_date from (select o_o
 
 -- release_precedence
 with b as (select o_orderkey,cast(o_orderdate as date) rd,o_orderstatus st,o_orderpriority pr from orders), f as (select l_orderkey,min(cast(l_shipdate as date)) fs from
-lineitem group by 1) select o_orderkey, case when pr='1-URGENT' then 'published' when date_diff('day',rd,fs) between 0 and 4 then 'observed' when st='F' then 'announced'
-when st='O' then 'scheduled' else 'derived' end src from b left join f on l_orderkey=o_orderkey;
+lineitem group by 1), c as (select o_orderkey, rd, fs, case when pr='1-URGENT' then 'published' when date_diff('day',rd,fs) between 0 and 4 then 'observed' when st='F' then
+'announced' when st='O' then 'scheduled' else 'derived' end src from b left join f on l_orderkey=o_orderkey) select o_orderkey, src, case src when 'published' then rd+1
+when 'observed' then fs when 'announced' then rd+5 when 'scheduled' then rd+6 else rd+3+case isodow(rd+3) when 6 then 2 when 7 then 1 else 0 end end release_date from c;
 
 -- schedule_map
-select o_custkey,o_orderdate,o_orderstatus,o_orderkey from (select *,row_number() over (partition by o_custkey,o_orderdate order by case o_orderstatus when 'P' then 3
-when 'F' then 2 else 1 end desc,o_orderkey) rn from orders) t where rn=1;
+select cast(o_orderdate as date) report_date, case o_orderstatus when 'P' then 'published' when 'F' then 'announced' else 'scheduled' end source, o_orderkey from (select
+*,row_number() over (partition by cast(o_orderdate as date) order by case o_orderstatus when 'P' then 3 when 'F' then 2 else 1 end desc,o_orderdate,o_orderkey) rn from
+orders) t where rn=1;
 
 -- newest_plan
 select o_custkey,o_orderkey,o_orderdate from (select *,max(o_orderdate) over (partition by o_custkey) m from orders) t where o_orderdate=m;
 
 -- source_counts
-select o_orderstatus src,count(*) n from orders group by o_orderstatus;
+select release_date_source, count(o_orderkey) n from (values ('published'),('observed'),('announced'),('scheduled'),('derived'),('unknown')) v(release_date_source) left join
+orders on release_date_source = case o_orderstatus when 'P' then 'published' when 'F' then 'announced' else 'scheduled' end group by 1;
 
 -- latest_with_content
 select user_id,max_by(event_id,ts) last_any, max_by(case when event_type<>'error' then event_id end,case when event_type<>'error' then ts end) last_content, max_by(case
@@ -111,8 +114,8 @@ a join (select c_mktsegment seg,max(o_orderdate) x from orders join customer on
 select o_orderkey from orders where not exists (select 1 from lineitem where l_orderkey=o_orderkey);
 
 -- overlay
-select l_suppkey k,'half' src,count(*) n from lineitem where l_suppkey%2=0 group by 1 union all select s_suppkey,'legacy',0 from supplier s where not exists (select 1
-from lineitem where l_suppkey%2=0 and l_suppkey=s.s_suppkey);
+select l_orderkey k,'lines' src,count(*) n from lineitem group by 1 union all select o_orderkey,'legacy',0 from orders where not exists (select 1 from lineitem where
+l_orderkey=o_orderkey);
 
 -- replica_diff
 select a.l_partkey k,a.f sf,b.f df from (select l_partkey,min(l_returnflag) f from lineitem where l_linestatus='O' group by l_partkey) a join (select
@@ -123,8 +126,7 @@ select l_suppkey,d,cast(gap as int) gap from (select l_suppkey,d,date_diff('day'
 l_suppkey,cast(l_shipdate as date) d from lineitem) t) u where gap<>7;
 
 -- heading_span
-select conv_id,turn,nxt-turn span from (select conv_id,turn,lead(turn) over (partition by conv_id order by turn) nxt from (select distinct conv_id,turn from
-conversations) c) t where nxt is not null;
+select cast(o_custkey as varchar) url, cast(o_orderdate as date) announcement_date, strftime(o_orderdate, '%B %-d, %Y') || ': order ' || o_orderkey || '.' raw_text from orders;
 
 -- strip_tags
 select page_id, trim(regexp_replace(regexp_replace(html,'<[^>]+>',' ','g'),'[ \t\n\r]+',' ','g')) txt from pages;
@@ -133,7 +135,8 @@ select page_id, trim(regexp_replace(regexp_replace(html,'<[^>]+>',' ','g'),'[ \t
 select event_id, cast(json_extract_string(props,'$.k') as int) k from events;
 
 -- registry_resolve
-select s_suppkey,n_name,r_name from supplier join nation on s_nationkey=n_nationkey join region on n_regionkey=r_regionkey;
+select s_suppkey,n_name,r_name from supplier join nation on s_nationkey=n_nationkey join region on n_regionkey=r_regionkey union all select -1-n_nationkey,n_name,r_name from
+nation join region on n_regionkey=r_regionkey;
 
 -- key_intersect
 select l_partkey from lineitem where l_returnflag='A' intersect select l_partkey from lineitem where l_returnflag='R' and l_linestatus='F';
@@ -143,8 +146,8 @@ select l_orderkey,l_linenumber,l_shipdate,l_partkey,l_suppkey from lineitem orde
 20;
 
 -- asof_join
-select o_orderkey,max_by(event_type,ts) et from orders o join events e on e.user_id=o.o_custkey%15 and e.ts<=cast('2024-01-01' as timestamp)+to_days(cast(o.o_orderkey%30
-as int)) where o_orderkey<500 group by o_orderkey;
+select o_orderkey,event_type et from (select o_orderkey, o_custkey % (select max(user_id)+1 from events) u, cast('2024-01-01' as timestamp)+to_days(cast(o_orderkey%30 as int)) due from
+orders) o asof join events e on e.user_id=u and due>=e.ts;
 
 -- flow_state
 select user_id,d,case when dl=0 and ds=0 then 'quiet' when abs(dl)>=abs(ds) then case when dl>0 then 'new_longs' else 'long_liquidation' end else case when ds>0 then
@@ -199,3 +202,17 @@ delta, case when old_value<>0 then round((new_value-old_value)/old_value,6) end
 with c as (select o_orderstatus status, cast(year(o_orderdate) as int) y, count(*) n from orders group by all),
 b as (select *, lag(n) over (partition by status order by y) "before" from c)
 select status, y, n, "before", round(abs(n - "before") / "before", 6) share from b where abs(n - "before") / "before" > 0.05;
+
+-- late_ingest
+with r as (select *, sha256(concat('quantity=',cast(l_quantity as varchar),'|discount=',cast(l_discount as varchar))) h from lineitem),
+late as (select * from (select *, row_number() over (partition by l_orderkey,l_linenumber order by l_shipdate desc,l_partkey desc,l_suppkey desc) rn from r where l_returnflag='R') where rn=1),
+old as (select * from (select *, row_number() over (partition by l_orderkey,l_linenumber order by l_shipdate desc,l_partkey desc,l_suppkey desc) rn from r where l_returnflag<>'R' and
+l_shipdate <= timestamp '1998-07-01') where rn=1),
+j as (select n.l_orderkey,n.l_linenumber,n.l_quantity q,n.l_discount d,o.l_quantity oq,o.l_discount od,o.l_orderkey is not null known from late n left join old o on
+o.l_orderkey=n.l_orderkey and o.l_linenumber=n.l_linenumber where o.l_orderkey is null or o.h<>n.h)
+select l_orderkey,l_linenumber,'new row' field,null::double delta,0 odd from j union all select l_orderkey,l_linenumber,'quantity',round(q-oq,6),0 from j where known and q<>oq union all
+select l_orderkey,l_linenumber,'discount',round(d-od,6),0 from j where known and d<>od;
+
+-- category_migration
+select l_orderkey, l_returnflag field, count(distinct l_linenumber) n, sum(abs(v))/2 moved from (select *, floor(l_quantity/10)*case when l_linenumber%2=0 then 1 else -1 end v from
+lineitem) group by 1,2 having count(distinct l_linenumber)>1 and sum(v)=0;

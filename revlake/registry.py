@@ -73,6 +73,11 @@ def load(spark: SparkSession, path: str | None = None) -> DataFrame:
     return df.withColumns({"is_equity": equity, "report_type": report})
 
 
+def all_symbols(registry: DataFrame) -> list[str]:
+    """Every symbol, sorted."""
+    return [r["symbol"] for r in registry.select("symbol").orderBy("symbol").collect()]
+
+
 def symbol(registry: DataFrame, name: str) -> DataFrame:
     return registry.where(F.col("symbol") == name)
 

@@ -35,11 +35,20 @@ def _rows(name: str, data: bytes) -> Iterator[dict[str, str | None]]:
             yield dict(zip(header, [c if c.strip() else None for c in row], strict=False))
 
 
-def read_archives(spark: SparkSession, paths: str | Sequence[str], keep: Sequence[str] | None = None) -> DataFrame:
+def _header(name: str, z: zipfile.ZipFile) -> list[str]:
+    """Names of the columns of a member, of which only the first line is decoded."""
+    if name.lower().endswith((".xls", ".xlsx")):
+        return list(next(_rows(name, z.read(name)), {}))
+    with z.open(name) as f:
+        return [c.strip() for c in next(csv.reader(io.TextIOWrapper(f, "utf-8-sig", "replace", newline="")), [])]
+
+
+def read_archives(spark: SparkSession, paths: str | Sequence[str], keep: Sequence[str] | None = None, staged: str | None = None) -> DataFrame:
     """All rows of the first member of each zip, every column a string under its stripped name; ``path`` tells the file.
 
     A column that only some files have is null elsewhere; so is a blank cell. Archives are decoded by the
-    executors, one file a task; the driver only learns the names of the columns.
+    executors, one file a task; the driver only learns the names of the columns, from the first lines. With ``staged``, a new
+    folder, each file is decoded once, into Parquet there that all later reads take.
     """
     files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).select("path", "content")
 
@@ -53,9 +62,20 @@ def read_archives(spark: SparkSession, paths: str | Sequence[str], keep: Sequenc
                     part = rows[a : a + 10_000]
                     yield pa.RecordBatch.from_arrays([pa.array([path] * len(part)), pa.array([list(r.items()) for r in part], pa.map_(pa.string(), pa.string()))], ["path", "row"])
 
-    rows = files.mapInArrow(decode, "path string, row map<string,string>")
-    names = keep or [r[0] for r in rows.select(F.explode(F.map_keys("row"))).distinct().orderBy("col").collect() if r[0]]
-    return rows.select("path", *[F.col("row").getItem(n).alias(n) for n in names])
+    def header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = set()
+            for content in batch.column("content").to_pylist():
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    names.update(_header(z.namelist()[0], z))
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(names), pa.string())], ["name"])
+
+    names = keep or [r["name"] for r in files.mapInArrow(header, "name string").distinct().orderBy("name").collect() if r["name"]]
+    rows = files.mapInArrow(decode, "path string, row map<string,string>").select("path", *[F.col("row").getItem(n).alias(n) for n in names])
+    if staged is None:
+        return rows
+    rows.write.parquet(staged)
+    return spark.read.schema(rows.schema).parquet(staged)
 
 
 def with_report_date(df: DataFrame) -> DataFrame:
@@ -67,16 +87,17 @@ def with_report_date(df: DataFrame) -> DataFrame:
     return df.withColumns({DATE: date, CODE: S.standard_code(F.col(CODE))}).drop(*[c for c in named if c != DATE])
 
 
-def read_report(spark: SparkSession, paths: str | Sequence[str], report_type: str, years: tuple[int, int] | None = None, today=None) -> DataFrame:
+def read_report(spark: SparkSession, paths: str | Sequence[str], report_type: str, years: tuple[int, int] | None = None, today=None, staged: str | None = None) -> DataFrame:
     """Wide rows of one report: legacy has its published columns only, the others all they come with.
 
     ``years`` keeps a range of a bundle. A date more than a week ahead is a parsing fault and raises.
     """
-    df = with_report_date(read_archives(spark, paths, LEGACY_COLUMNS if report_type == "legacy" else None))
+    df = with_report_date(read_archives(spark, paths, LEGACY_COLUMNS if report_type == "legacy" else None, staged))
     if years:
         df = df.where(F.year(DATE).between(*years))
-    newest = df.agg(F.max(DATE)).first()[0]
-    if newest is not None and newest > (df.select((F.lit(today).cast("date") if today else F.current_date()) + F.expr("interval 7 day")).first() or [newest])[0]:
+    now = F.lit(today).cast("date") if today else F.current_date()
+    newest, ahead = df.agg(F.max(DATE), F.max(DATE) > F.date_add(now, 7)).first()
+    if ahead:
         raise LayoutError(f"report date {newest} lies ahead")
     return df
 
@@ -110,4 +131,4 @@ def weekly_report_dates(spark: SparkSession, paths: str | Sequence[str], field:
 def binary_hashes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(path, length, modificationTime, content_sha256) of files; the content stays with the executors."""
     files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
-    return files.select("path", "length", "modificationTime", F.sha2("content", 256).alias("content_sha256"))
+    return files.select("path", "length", "modificationTime", S.content_sha256(F.col("content")).alias("content_sha256"))

@@ -61,7 +61,7 @@ def announced(pages: DataFrame) -> DataFrame:
     header = F.lower(F.array_join(F.get("rows", F.lit(0)), " | "))
     rows = rows.where((F.size("rows") > 0) & header.contains("cot report date") & header.contains("new publish date"))
     dates = _all(F.array_join(F.col("cells"), " "), r"\b([0-9]{1,2}/[0-9]{1,2}/20[0-9]{2})\b", 1)
-    plan = rows.select("url", "place", "announced_on", F.posexplode(F.slice("rows", 2, 1_000_000)).alias("row", "cells")).withColumn("dates", dates).where("size(dates) = 3")
+    plan = rows.select("url", "place", "announced_on", F.posexplode(F.slice("rows", F.lit(2), F.size("rows"))).alias("row", "cells")).withColumn("dates", dates).where("size(dates) = 3")
     plan = plan.withColumns({"report_date": S.mixed_date(F.get("dates", F.lit(0))), "release_date": S.mixed_date(F.get("dates", F.lit(2)))}).where("release_date >= report_date")
     plan = first_by_key(newest_plan(plan, ["url"], "announced_on"), ["url", "report_date"], [F.col("place").desc(), F.col("row").desc()])
     note = F.concat_ws(" ", F.lit("special announcement"), F.col("announced_on").cast("string"))
@@ -73,7 +73,7 @@ def announcements(pages: DataFrame, start: str = 'id="main-content"', end: str =
     """(url, announcement_date, raw_text): a row for each dated heading of a page's content, with the prose up to the next."""
     text = S.plain_text(S.between_markers(F.col("html"), start, end))
     marked = F.regexp_replace(text, _HEADING, "\x01$0\x02")
-    items = pages.select("url", F.explode(F.slice(F.split(marked, "\x01"), 2, 1_000_000)).alias("item"))
+    items = pages.select("url", F.split(marked, "\x01").alias("parts")).select("url", F.explode(F.slice("parts", F.lit(2), F.size("parts"))).alias("item"))
     date = S.mixed_date(F.regexp_replace(F.regexp_extract("item", "^([^\x02:]*)", 1), r"\s+", " "))
     return items.select("url", date.alias("announcement_date"), F.substring(F.trim(F.translate("item", "\x02", "")), 1, limit).alias("raw_text")).dropDuplicates(["announcement_date", "raw_text"])
 

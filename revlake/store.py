@@ -1,8 +1,9 @@
 """The store on disk: staged table writes, a single-writer lock, manifests of two halves and the status document.
 
-Layout below the root: ``tables/{domain}`` (Parquet, partitioned), ``manifests/{half}.json``, ``status.json``, ``raw/``. Tables
-are written to ``_staging`` and put in place by renames, so no job ever overwrites what it reads. JSON files are control plane,
-some entries per domain, and stay on the driver.
+Layout below the root: ``tables/{domain}/v={id}`` (Parquet, partitioned), ``tables/{domain}.json`` that names the version to read,
+``manifests/{half}.json``, ``status.json``, ``raw/``. A table is replaced by writing another version and then the file that names it, in
+one rename, so no job overwrites what it reads and a reader or a crash finds the old table or the new one. JSON files are control
+plane, some entries per domain, and stay on the driver.
 """
 
 from __future__ import annotations
@@ -81,7 +82,20 @@ class Store:
     # tables
 
     def table_path(self, domain: str) -> Path:
-        return self.root / "tables" / domain
+        version = read_json(self._pointer(domain)).get("version")
+        return self.root / "tables" / domain / (f"v={version}" if version else "")
+
+    def _pointer(self, domain: str) -> Path:
+        return self.root / "tables" / f"{domain}.json"
+
+    @contextlib.contextmanager
+    def staging(self, name: str) -> Iterator[str]:
+        """A folder of the store for what a job stages; gone afterwards."""
+        path = self.root / "_staging" / f"{name}-{uuid.uuid4().hex}"
+        try:
+            yield str(path)
+        finally:
+            shutil.rmtree(path, ignore_errors=True)
 
     def exists(self, domain: str) -> bool:
         return self.table_path(domain).is_dir() and any(self.table_path(domain).rglob("*.parquet"))
@@ -96,19 +110,24 @@ class Store:
         return self.spark.read.option("mergeSchema", "true").parquet(str(self.table_path(domain))) if self.exists(domain) else None
 
     def replace(self, df: DataFrame, domain: str, partition: Sequence[str] = ()) -> None:
-        """Write beside, then swap directories; a reader sees the old table or the new."""
-        staged = self.root / "_staging" / f"{domain}-{uuid.uuid4().hex}"
-        out = df.repartition(*partition) if partition else df
-        out.write.partitionBy(*partition).parquet(str(staged))
-        target, old = self.table_path(domain), staged.with_name(staged.name + "-old")
-        target.parent.mkdir(parents=True, exist_ok=True)
-        if target.exists():
-            os.replace(target, old)
-        os.replace(staged, target)
-        shutil.rmtree(old, ignore_errors=True)
+        """Write another version and then switch to it; the version before stays for those who read it, older ones go."""
+        version, old = uuid.uuid4().hex, read_json(self._pointer(domain)).get("version")
+        target = self.root / "tables" / domain
+        self._spread(df, partition).write.partitionBy(*partition).parquet(str(target / f"v={version}"))
+        write_json(self._pointer(domain), {"version": version})
+        for path in target.glob("v=*"):
+            if path.name not in (f"v={version}", f"v={old}"):
+                shutil.rmtree(path, ignore_errors=True)
 
     def append(self, df: DataFrame, domain: str, partition: Sequence[str] = ()) -> None:
-        df.repartition(*partition).write.mode("append").partitionBy(*partition).parquet(str(self.table_path(domain))) if partition else df.write.mode("append").parquet(str(self.table_path(domain)))
+        if not read_json(self._pointer(domain)).get("version"):
+            write_json(self._pointer(domain), {"version": uuid.uuid4().hex})
+        self._spread(df, partition).write.mode("append").partitionBy(*partition).parquet(str(self.table_path(domain)))
+
+    @staticmethod
+    def _spread(df: DataFrame, partition: Sequence[str]) -> DataFrame:
+        """Rows of one partition value near one another, in as many tasks as their size asks for: adaptive execution splits large ones."""
+        return df.hint("rebalance", *partition) if partition else df
 
     @contextlib.contextmanager
     def lock(self) -> Iterator[None]:
@@ -221,10 +240,24 @@ class Store:
         return doc | ({"last_run": last_run} if last_run else {})
 
     def write_status(self, last_run: dict | None = None) -> Path:
-        write_json(path := self.root / "status.json", self.status(last_run))
+        """The status document; ``new_data`` has the domains whose newest date moved on since the one before."""
+        path, doc = self.root / "status.json", self.status(last_run)
+        write_json(path, doc | {"new_data": {d: list(x) for d, x in new_data(read_json(path), doc).items()}})
         return path
 
 
+def load_manifest(store: Store) -> dict:
+    return store.manifest()
+
+
+def schema_version(store: Store) -> int:
+    return int(store.manifest()["schema_version"])
+
+
+def require_schema(store: Store, least: int) -> int:
+    return store.require_schema(least)
+
+
 def report(status: dict) -> str:
     lines = [f"store schema {status['schema_version']}, {status['generated_at']}"]
     for d, s in sorted(status["domains"].items()):
@@ -237,19 +270,46 @@ def run_summary(run: dict) -> str:
     return "; ".join(f"{r['kind']}: {r['wrote']} written" + ("" if r["ok"] else ", FAILED") for r in run.get("results", [])) or "nothing ran"
 
 
-def fresh_files(files: DataFrame, max_age_hours: float, now=None) -> DataFrame:
-    """(path, modificationTime, fresh) of a listing: whether a replica was refreshed lately."""
+def fresh_files(files: DataFrame, max_age_hours: float | None = None, now=None) -> DataFrame:
+    """(path, modificationTime, fresh) of a listing: whether a replica was refreshed within the hours, or without them on today's date."""
     at = F.lit(now).cast("timestamp") if now else F.current_timestamp()
-    return files.select("path", "modificationTime", ((F.unix_timestamp(at) - F.unix_timestamp("modificationTime")) <= max_age_hours * 3600).alias("fresh"))
+    fresh = at.cast("date") == F.col("modificationTime").cast("date") if max_age_hours is None else (F.unix_timestamp(at) - F.unix_timestamp("modificationTime")) <= max_age_hours * 3600
+    return files.select("path", "modificationTime", fresh.alias("fresh"))
+
+
+def unequal_times(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(name, ta, tb) of files (name, modificationTime) of two replicas that should carry the producer's own time and don't."""
+    both = a.select("name", F.col("modificationTime").alias("ta")).join(b.select("name", F.col("modificationTime").alias("tb")), "name")
+    return both.where("ta <> tb")
+
+
+def data_files(store: Store) -> DataFrame:
+    """(domain, name, modificationTime): the partitions (or whole tables) that a store's current versions hold, with the newest file's time."""
+    rows: dict[tuple[str, str], float] = {}
+    for pointer in (store.root / "tables").glob("*.json"):
+        table = store.table_path(pointer.stem)
+        for f in table.rglob("*.parquet"):
+            key = pointer.stem, str(f.parent.relative_to(table))
+            rows[key] = max(rows.get(key, 0.0), f.stat().st_mtime)
+    return store.spark.createDataFrame([(d, n, datetime.fromtimestamp(int(t), UTC)) for (d, n), t in sorted(rows.items())], "domain string, name string, modificationTime timestamp")
 
 
 def compare_stores(a: Store, b: Store) -> dict[str, list]:
-    """What a copy from ``a`` to ``b`` would lose: entries and tables only in ``b``, and entries of one name from different sources."""
-    ea, eb = a.entries(), b.entries()
-    only = sorted((r["domain"], r["name"]) for r in M.only_in(eb, ea, ["domain", "name"]).collect())
-    clash = sorted((r["domain"], r["name"], r["sf"], r["df"]) for r in M.replica_diff(ea, eb, ["domain", "name"], "source").collect())
-    tables = lambda s: {p.name for p in (s.root / "tables").glob("*")}
-    return {"only_in_target": only, "different_source": clash, "tables_only_in_target": sorted(tables(b) - tables(a))}
+    """What a mirror from ``a`` to ``b`` would destroy: entries, files and tables only in ``b``, and entries of one name from different sources."""
+    ea, eb, fa, fb = a.entries(), b.entries(), data_files(a), data_files(b)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())  # noqa: E731 - control plane: one row for each instrument
+    return {
+        "only_in_target": rows(M.only_in(eb, ea, ["domain", "name"]).select("domain", "name")),
+        "different_source": rows(M.replica_diff(ea, eb, ["domain", "name"], "source")),
+        "files_only_in_target": rows(M.only_in(fb, fa, ["domain", "name"]).select("domain", "name")),
+        "tables_only_in_target": [d for (d,) in rows(fb.select("domain").distinct().join(fa.select("domain").distinct(), "domain", "left_anti"))],
+    }
+
+
+def new_data(before: dict, now: dict) -> dict[str, tuple[str | None, str]]:
+    """Domains whose newest date moved on between two status documents, retired ones aside: (last seen, newest)."""
+    seen = before.get("newest_data", {})
+    return {d: (seen.get(d), n) for d, n in now["newest_data"].items() if not now["domains"][d]["retired"] and n != "None" and n > (seen.get(d) or "")}
 
 
 def _date(text) -> date | None:

@@ -31,8 +31,9 @@ def ingest_archives(vintage: Vintage, path: str, report_type: str, checkpoint: s
 
     def run(batch: DataFrame, _: int) -> None:
         for r in batch.orderBy("modificationTime", "path").collect():  # files of one batch, at most ``per_batch``
-            canonical = canonicalise(archives.read_report(vintage.spark, r["path"], report_type), report_type)
-            vintage.ingest(canonical, r["path"].rsplit("/", 1)[-1], r["modificationTime"].replace(tzinfo=UTC))
+            with vintage.store.staging("decoded") as staged:
+                canonical = canonicalise(archives.read_report(vintage.spark, r["path"], report_type, staged=staged), report_type)
+                vintage.ingest(canonical, r["path"].rsplit("/", 1)[-1], r["modificationTime"].replace(tzinfo=UTC))
 
     return landing(vintage.spark, path).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -43,10 +44,12 @@ def ingest_canonical(vintage: Vintage, path: str, checkpoint: str, validate: boo
 
     def run(batch: DataFrame, _: int) -> None:
         batch.persist()
-        for r in batch.select("observed_at", "snapshot_id").distinct().orderBy("observed_at", "snapshot_id").collect():
-            own = batch.where((F.col("snapshot_id") == r["snapshot_id"]) & (F.col("observed_at") == F.lit(r["observed_at"])))
-            vintage.ingest(own.drop("snapshot_id", "observed_at"), r["snapshot_id"], r["observed_at"].replace(tzinfo=UTC), validate)
-        batch.unpersist()
+        try:
+            for r in batch.select("observed_at", "snapshot_id").distinct().orderBy("observed_at", "snapshot_id").collect():
+                own = batch.where((F.col("snapshot_id") == r["snapshot_id"]) & (F.col("observed_at") == F.lit(r["observed_at"])))
+                vintage.ingest(own.drop("snapshot_id", "observed_at"), r["snapshot_id"], r["observed_at"].replace(tzinfo=UTC), validate)
+        finally:
+            batch.unpersist()
 
     return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -15,10 +15,10 @@ from revlake.operators import bitemporal as B
 from revlake.operators import capture as C
 from revlake.operators import quality as Q
 from revlake.operators import release as R
-from revlake.operators.canonical import canonicalise, stamped
+from revlake.operators.canonical import canonicalise, stamped, vanished
 from revlake.schema import ANNOUNCEMENT, COVERAGE, NATURAL_KEY, OBSERVATION, REVISION, SCHEDULE, VALUE_FIELDS, VINTAGE_ORDER
 from revlake.sources import archives, http
-from revlake.store import FLOORS, Store, normal_path, read_json, require_size, write_json
+from revlake.store import FLOORS, Store, StoreError, normal_path, read_json, require_size, write_json
 
 SNAPSHOT = (
     "snapshot_id string, source_url string, kind string, report_type string, report_year int, retrieved_at timestamp, http_status int, http_etag string, "
@@ -117,25 +117,34 @@ class Vintage:
         df = self.store.read("revisions", REVISION + ", detected_year int")
         return df.where(F.col("detected_year").isin(*years)) if years is not None else df
 
-    def ingest(self, canonical: DataFrame, snapshot_id: str, observed_at: datetime, validate: bool = True) -> dict:
-        """Store what changed. Revisions go first: a crash in between leaves revisions that the retry writes again under the same id."""
+    def ingest(self, canonical: DataFrame, snapshot_id: str, observed_at: datetime, validate: bool = True, tombstones: bool = False) -> dict:
+        """Store what changed. Revisions go first: a crash in between leaves revisions that the retry writes again under the same id.
+
+        ``tombstones``: also mark the known keys that the snapshot lacks though it covers their report and date.
+        """
         warnings = Q.validate(canonical) if validate else []
         years = [r[0] for r in canonical.select(F.year("report_date").alias("y")).distinct().collect()]
         with self.store.lock():
-            incoming = stamped(canonical, snapshot_id, observed_at)
-            new, revisions = B.diff(incoming, self.observations(years).drop("report_year"), NATURAL_KEY, VINTAGE_ORDER, VALUE_FIELDS)
+            incoming, stored = stamped(canonical, snapshot_id, observed_at), self.observations(years).drop("report_year")
+            new, revisions = B.diff(incoming, stored, NATURAL_KEY, VINTAGE_ORDER, VALUE_FIELDS, F.lit(observed_at).cast("timestamp"))
+            if tombstones:
+                known = B.asof(stored, F.lit(observed_at).cast("timestamp"), NATURAL_KEY, VINTAGE_ORDER).where("not is_tombstone")
+                gone = B.tombstones(known, incoming, NATURAL_KEY, ["report_date", "report_type", "combined"])
+                new = new.unionByName(vanished(gone, snapshot_id, observed_at).withColumn("_unexplained", F.lit(False)))
             new = new.withColumn("report_year", F.year("report_date")).persist()
             revisions = revisions.withColumn("detected_year", F.year("detected_at")).persist()
-            n, m = new.count(), revisions.count()
-            changed = new.join(self.observations(years).select(*NATURAL_KEY).distinct(), NATURAL_KEY, "left_semi").join(revisions.select(*NATURAL_KEY).distinct(), NATURAL_KEY, "left_anti").limit(1).count()
-            if changed and m == 0 and n:
-                raise Q.ValidationError("a hash changed though no field did")
-            if m:
-                self.store.append(revisions, "revisions", [_PARTITION["revisions"]])
-            if n:
-                self.store.append(new, "observations", [_PARTITION["observations"]])
-            new.unpersist()
-            revisions.unpersist()
+            try:
+                counts = new.agg(F.count("*").alias("n"), F.count_if("_unexplained").alias("odd")).first()
+                n, m = counts["n"], revisions.count()
+                if counts["odd"]:
+                    raise Q.ValidationError(f"the hash of {counts['odd']} rows changed though no field did")
+                if m:
+                    self.store.append(revisions, "revisions", [_PARTITION["revisions"]])
+                if n:
+                    self.store.append(new.drop("_unexplained"), "observations", [_PARTITION["observations"]])
+            finally:
+                new.unpersist()
+                revisions.unpersist()
         return {"observations": n, "revisions": m, "warnings": warnings}
 
     def ingest_pending(self, **which) -> dict:
@@ -143,8 +152,9 @@ class Vintage:
         out = {"ok": 0, "failed": 0, "observations": 0, "revisions": 0, "warnings": [], "errors": []}
         for s in sorted(self.select(**which), key=lambda s: s["retrieved_at"]):
             try:
-                wide = archives.read_report(self.spark, str(normal_path(s["local_path"], self.store.root)), s["report_type"])
-                got = self.ingest(canonicalise(wide, s["report_type"]), s["snapshot_id"], datetime.fromisoformat(s["retrieved_at"]))
+                with self.store.staging("decoded") as staged:
+                    wide = archives.read_report(self.spark, str(normal_path(s["local_path"], self.store.root)), s["report_type"], staged=staged)
+                    got = self.ingest(canonicalise(wide, s["report_type"]), s["snapshot_id"], datetime.fromisoformat(s["retrieved_at"]))
                 self.mark(s["snapshot_id"], parse_status="ok", parse_error=None)
                 out["ok"] += 1
                 for k in ("observations", "revisions"):
@@ -159,12 +169,12 @@ class Vintage:
     # reads
 
     def asof(self, t: datetime | None = None, report_date: date | None = None, market_code: str | None = None, report_type: str | None = None) -> DataFrame:
-        """What was known at ``t``; None is everything known now. A report date also prunes partitions."""
+        """What was known at ``t``, without what had vanished by then; None is everything known now. A report date also prunes partitions."""
         df = self.observations([report_date.year] if report_date else None)
         for c, v in (("report_date", report_date), ("market_code", market_code), ("report_type", report_type)):
             if v is not None:
                 df = df.where(F.col(c) == F.lit(v))
-        return B.asof(df, F.lit(t).cast("timestamp") if t else None, NATURAL_KEY, VINTAGE_ORDER).drop("report_year")
+        return B.asof(df, F.lit(t).cast("timestamp") if t else None, NATURAL_KEY, VINTAGE_ORDER).where("not is_tombstone").drop("report_year")
 
     def diff(self, since: datetime | None = None, market: str | None = None, report_type: str | None = None) -> DataFrame:
         df = self.revisions(None).drop("detected_year")
@@ -185,8 +195,12 @@ class Vintage:
         return found.select(F.lit(report_type).alias("report_type"), *[c.split()[0] for c in COVERAGE.split(", ")[1:]])
 
     def write_coverage(self, report_type: str) -> DataFrame:
+        """Keep the coverage as a table; a report without observations leaves the table there is."""
+        found = self.coverage(report_type)
+        if found.isEmpty():
+            raise StoreError(f"no observations of {report_type}: its coverage stays as it is")
         with self.store.lock():
-            self.store.replace(self.coverage(report_type), f"coverage_{report_type}")
+            self.store.replace(found, f"coverage_{report_type}")
         return self.read_coverage(report_type)
 
     def read_coverage(self, report_type: str) -> DataFrame:
