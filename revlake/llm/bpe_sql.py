@@ -5,13 +5,19 @@ tokens with the merge table, takes each word's leftmost pair of minimum rank, co
 with the words that changed until none does. Decoding joins tokens with the vocabulary and aggregates their bytes
 in order.
 
-Contracting one pair a step takes as many steps as a word has merges, each over the whole word: words longer than
-``LONG`` bytes, where that would be quadratic, take the same merges from a heap instead. A null text gives null
-tokens, an empty one an empty list; null tokens decode to null. Tokens outside the vocabulary are an error.
+Contracting one pair a step takes as many steps as a word has merges, each over the whole word, which is quadratic in its
+length. A sequence of tokens is an encoding exactly if each neighbouring pair encodes as itself, so a word longer than ``LONG``
+bytes is encoded in blocks by the same query; the pairs at the seams are then encoded too, and where one doesn't come out as
+itself, the tokens around the seam are encoded anew as one word, more of them each time, until all pairs do.
+
+A null text gives null tokens, an empty one an empty list; null tokens decode to null. Tokens outside the vocabulary are an
+error. Texts and words may be of any length. Of pairs of equal rank the leftmost is first; rows and ids that repeat are encoded
+each time, with the same tokens.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import resident, row_chunks, text_chunks, tidy
 from .pretokens import distinct, pretokens
-from .vocabulary import VOCABULARY, encode_word, load, merges
+from .vocabulary import VOCABULARY, load, merges
 
 LONG = 64
 #: A task remembers the encodings of what it met among this or the last so many distinct pre-tokens.
@@ -64,6 +70,7 @@ class Engine:
         a, b, merged = (pa.array(c, pa.int32()) for c in zip(*merges(ranks), strict=True))
         self._load("merges", pa.table({"a": a, "b": b, "merged": merged}))
         self._load("vocabulary", pa.table({"token": pa.array(ranks.values(), pa.int32()), "hex": pa.array([t.hex() for t in ranks])}))
+        self.bytes_of = {r: t for t, r in ranks.items()}
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.known: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
@@ -92,26 +99,71 @@ class Engine:
                     new.append(i)
                 else:
                     self.known[words[i]] = x
-        for i in [i for i in new if len(words[i]) > LONG]:
-            out[i] = np.array(encode_word(words[i], self.ranks), np.int32).tobytes()
+        for i, tokens in zip(long := [i for i in new if len(words[i]) > LONG], self._long([words[i] for i in long]), strict=True):
+            out[i] = np.array(tokens, np.int32).tobytes()
         short = [i for i in new if len(words[i]) <= LONG]
         for first in range(0, len(short), SLICE_WORDS):
             new = short[first : first + SLICE_WORDS]
-            lengths = np.array([len(words[i]) for i in new])
-            tokens = self.byte[np.frombuffer(b"".join(words[i] for i in new), np.uint8)]
-            ends = np.cumsum(lengths)
-            pos = np.arange(len(tokens), dtype=np.int32) - np.repeat(ends - lengths, lengths).astype(np.int32)
-            word = np.repeat(np.arange(len(new), dtype=np.int32), lengths)
-            got = self._table(ENCODE, words=pa.table({"word": word, "pos": pos, "token": tokens}))
-            lists = got.column("tokens").combine_chunks()
-            done = np.asarray(lists.flatten(), np.int32).tobytes()
-            each = np.r_[0, 4 * np.cumsum(pc.list_value_length(lists).to_numpy())].tolist()
             if len(self.known) + len(new) > WORDS:
                 self.before, self.known = self.known, {}
-            for k, i in enumerate(new):
-                out[i] = self.known[words[i]] = done[each[k] : each[k + 1]]
+            for i, tokens in zip(new, self._contracted([words[i] for i in new]), strict=True):
+                out[i] = self.known[words[i]] = tokens
         return out
 
+    def _contracted(self, words: list[bytes]) -> Iterator[bytes]:
+        """Tokens of words that aren't empty, by one recursive query."""
+        lengths = np.array([len(w) for w in words])
+        tokens = self.byte[np.frombuffer(b"".join(words), np.uint8)]
+        ends = np.cumsum(lengths)
+        pos = np.arange(len(tokens), dtype=np.int32) - np.repeat(ends - lengths, lengths).astype(np.int32)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+        got = self._table(ENCODE, words=pa.table({"word": word, "pos": pos, "token": tokens}))
+        lists = got.column("tokens").combine_chunks()
+        done = np.asarray(lists.flatten(), np.int32).tobytes()
+        each = np.r_[0, 4 * np.cumsum(pc.list_value_length(lists).to_numpy())].tolist()
+        return (done[a:b] for a, b in zip(each[:-1], each[1:], strict=True))
+
+    def _distinct(self, words: list[bytes]) -> dict[bytes, list[int]]:
+        """The tokens of each distinct word."""
+        every = list(dict.fromkeys(words))
+        out = {}
+        for a in range(0, len(every), SLICE_WORDS // 16):
+            part = every[a : a + SLICE_WORDS // 16]
+            out |= {w: np.frombuffer(t, np.int32).tolist() for w, t in zip(part, self._contracted(part), strict=True)}
+        return out
+
+    def _long(self, words: list[bytes]) -> list[list[int]]:
+        blocks = [[w[a : a + LONG] for a in range(0, len(w), LONG)] for w in words]
+        tokens = self._distinct([b for part in blocks for b in part])
+        pieces = [[tokens[b] for b in part] for part in blocks]
+        text = lambda part: b"".join(map(self.bytes_of.__getitem__, part))
+        fits: dict[tuple[int, int], bool] = {}
+        around, open_ = 2, [w for w, part in enumerate(pieces) if len(part) > 1]
+        while open_:
+            seams = {(x[-1], y[0]) for w in open_ for x, y in itertools.pairwise(pieces[w])} - fits.keys()
+            tokens = self._distinct([text(s) for s in seams])
+            fits |= {s: tokens[text(s)] == list(s) for s in seams}
+            windows: dict[tuple[int, int], bytes] = {}
+            for w in open_:
+                after = -1
+                for k, (x, y) in enumerate(itertools.pairwise(pieces[w])):
+                    if k > after and not fits[x[-1], y[0]]:
+                        windows[w, k], after = text(x[-around:] + y[:around]), k + 1
+            tokens = self._distinct(list(windows.values()))
+            for w in open_:
+                out, skip = [], False
+                for k, x in enumerate(pieces[w]):
+                    if skip:
+                        skip = False
+                    elif (w, k) in windows:
+                        y, skip = pieces[w][k + 1], True
+                        out += [part for part in (x[:-around], tokens[windows[w, k]], y[around:]) if part]
+                    else:
+                        out.append(x)
+                pieces[w] = out
+            around, open_ = 2 * around, sorted({w for w, _ in windows})
+        return [list(itertools.chain.from_iterable(part)) for part in pieces]
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(tokens, places of each row's tokens) of UTF-8 rows."""
         cuts, at = pretokens(data, offsets)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -74,3 +75,13 @@ def test_merge_table_reaches_every_token():
     engine = Engine(RANKS)
     sample = [t for t, r in RANKS.items() if r % 17 == 0]
     assert engine.encode_words(sample) == [RANKS[t].to_bytes(4, "little") for t in sample]
+
+
+def test_long_words_are_encoded_by_the_same_query():
+    rng, engine = random.Random(5), Engine(RANKS)
+    words = [b"a" * 1000, b"=-" * 3000 + b"=", "日本語テスト漢字".encode() * 300, b" " * 777, b"\n \n" * 500, b"x" * 65]
+    words += ["".join(rng.choices("etaoinshrdlu", k=n)).encode() for n in (64, 65, 66, 128, 129, 5000)]
+    words += [bytes(rng.choices(range(256), k=2000)), "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(3000)).encode()]
+    words += ["".join(rng.choices("aabcdethinr", k=rng.randint(65, 300))).encode() for _ in range(200)]
+    got = engine.encode_words(words)
+    assert all(np.frombuffer(t, np.int32).tolist() == encode_word(w, RANKS) for t, w in zip(got, words, strict=True))
