@@ -48,13 +48,24 @@ def test_elias_fano():
         v = np.sort(rng.integers(0, top, n))
         e = EliasFano.from_arrays(unpack(np.frombuffer(pack(EliasFano.encode(v).arrays()), np.uint8)))
         assert (e.get(np.arange(n)) == v).all()
-        x = rng.integers(0, top + 5, 500)
+        x = np.r_[rng.integers(0, top + 5, 500), top * 100, 0]
         i, value = e.successor(x)
         want = np.searchsorted(v, x)
         assert (i == want).all()
         assert (value == np.r_[v, -1][want]).all()
 
 
+def test_elias_fano_of_clusters():
+    """Thousands of neighbours among numbers far apart: one of the ranges of equal high bits is long."""
+    rng = np.random.default_rng(5)
+    v = np.unique(np.r_[rng.integers(0, 1 << 42, 300), (7 << 30) + rng.integers(0, 1 << 16, 20_000)])
+    e = EliasFano.encode(v)
+    x = np.r_[v, v + 1, rng.integers(0, 1 << 42, 1000)]
+    i, value = e.successor(x)
+    assert (i == np.searchsorted(v, x)).all() and (value == np.r_[v, -1][i]).all()
+    assert (e.find(x) == np.where(np.isin(x, v), np.searchsorted(v, x), -1)).all()
+
+
 def test_cache_is_exact_when_it_overflows():
     cache = GramCache(lambda g: (g % 97).astype(np.float32), bits=6)
     rng = np.random.default_rng(2)

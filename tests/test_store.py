@@ -1,4 +1,6 @@
 import json
+import os
+import shutil
 from datetime import UTC, date, datetime
 
 import pytest
@@ -7,7 +9,7 @@ from revlake import cli, registry
 from revlake.operators import manifest as M
 from revlake.operators import stitch as T
 from revlake.sources import html, http
-from revlake.store import Store, StoreError, compare_stores, fresh_files, half_of, normal_path, read_json, report
+from revlake.store import Store, StoreError, compare_stores, fresh_files, half_of, load_manifest, normal_path, read_json, report, require_schema, schema_version
 
 NOW = datetime(2026, 8, 1, tzinfo=UTC)
 
@@ -27,7 +29,7 @@ def test_tables_are_replaced_from_themselves(spark, tmp_path):
     s.replace(spark.range(5).selectExpr("cast(id as int) a"), "t")
     s.replace(s.read("t", "a int").where("a > 1"), "t")
     s.append(spark.range(1).selectExpr("cast(9 as int) a"), "t")
-    assert sorted(r.a for r in s.read("t", "a int").collect()) == [2, 3, 4, 9] and not list((tmp_path / "_staging").iterdir())
+    assert sorted(r.a for r in s.read("t", "a int").collect()) == [2, 3, 4, 9] and not list((tmp_path / "_staging").glob("*"))
 
 
 def test_manifest_overlay_migration_and_reconcile(spark, tmp_path):
@@ -74,7 +76,7 @@ def test_replica_diff(spark, tmp_path):
     write(a.manifest_path("cot"), {"cot_legacy": {"A": entry(), "B": entry(source="x")}})
     write(b.manifest_path("cot"), {"cot_legacy": {"B": entry(source="y"), "C": entry()}})
     (tmp_path / "b/tables/extra").mkdir(parents=True)
-    assert compare_stores(a, b) == {"only_in_target": [("cot_legacy", "C")], "different_source": [("cot_legacy", "B", "x", "y")], "tables_only_in_target": ["extra"]}
+    assert compare_stores(a, b) == {"only_in_target": [("cot_legacy", "C")], "different_source": [("cot_legacy", "B", "x", "y")], "files_only_in_target": [], "tables_only_in_target": ["extra"]}
     (tmp_path / "f.txt").write_text("x")
     files = spark.read.format("binaryFile").load(str(tmp_path / "f.txt"))
     assert [r.fresh for r in fresh_files(files, 24).collect()] == [True] and [r.fresh for r in fresh_files(files, 24, datetime(2100, 1, 1)).collect()] == [False]
@@ -178,3 +180,38 @@ def test_only_in_and_touch(spark):
     old = spark.createDataFrame([("d", "a", 1), ("d", "b", 2)], "domain string, name string, n int")
     new = spark.createDataFrame([("d", "b", 5)], "domain string, name string, n int")
     assert sorted(map(tuple, M.touch(old, new).collect())) == [("d", "a", 1), ("d", "b", 5)]
+
+
+def test_a_reader_keeps_its_version(spark, tmp_path):
+    s = Store(spark, str(tmp_path))
+    s.replace(spark.range(3), "t")
+    old = s.read("t", "id long")
+    s.replace(spark.range(5), "t")
+    assert old.count() == 3 and s.read("t", "id long").count() == 5
+    s.append(spark.range(2), "t")
+    assert s.read("t", "id long").count() == 7 and len(list((tmp_path / "tables/t").glob("v=*"))) == 2
+
+
+def test_new_data_and_replicas(spark, tmp_path, capsys):
+    a, b = Store(spark, str(tmp_path / "a")), Store(spark, str(tmp_path / "b"))
+    write(a.manifest_path("cot"), {"cot_legacy": {"A": entry()}})
+    assert json.loads(a.write_status().read_text())["new_data"] == {"cot_legacy": [None, "2026-07-21"]}
+    assert json.loads(a.write_status().read_text())["new_data"] == {}
+    assert (load_manifest(a)["cot_legacy"]["A"]["n_rows"], schema_version(a)) == (entry()["n_rows"], 0)
+    with pytest.raises(StoreError):
+        require_schema(a, 9)
+    command = ["--store", str(tmp_path / "a"), "replica"]
+    assert cli.main([*command, str(tmp_path / "none")]) == 2
+    a.replace(spark.range(1).selectExpr("id", "'A' name"), "cot_legacy", ["name"])
+    shutil.copytree(tmp_path / "a", tmp_path / "b", dirs_exist_ok=True)
+    assert cli.main([*command, str(tmp_path / "b")]) == 0 and "0 files differ" in capsys.readouterr().out
+    os.utime(tmp_path / "b/status.json", (0, 0))
+    assert cli.main([*command, str(tmp_path / "b")]) == 1
+    b.append(spark.range(1).selectExpr("id", "'B' name"), "cot_legacy", ["name"])
+    assert compare_stores(a, b)["files_only_in_target"] == [("cot_legacy", "name=B")]
+    assert cli.main([*command, str(tmp_path / "b")]) == 1
+
+
+def test_all_rows_are_printed(spark, capsys):
+    cli._print(spark.range(1500), "rows")
+    assert len(capsys.readouterr().out.split()) == 1503

@@ -248,3 +248,94 @@ def test_stateful_alarms_across_batches(spark, tmp_path):
     q.awaitTermination()
     got = sorted((r.source_url, round(r.quiet_days)) for r in spark.table("alarms").collect())
     assert got == [("a", 10), ("a", 10)]
+
+
+def rule(snapshots):
+    """Observations (key, hash of values, at) and revisions (key, old, new, at) of snapshots in the order of arrival, by the rule itself."""
+    stored, revised = [], []
+    for at, rows in snapshots:
+        for key, value in rows.items():
+            known = [x for x in stored if x[0] == key and x[2] <= at]
+            prior = max(known, key=lambda x: x[2], default=None)
+            if prior is None or prior[1] != value:
+                if (key, value, at) not in stored:
+                    stored.append((key, value, at))
+                if prior is not None:
+                    revised.append((key, prior[1], value, at))
+    return sorted(stored), sorted(revised)
+
+
+@pytest.mark.parametrize("order", [(0, 2, 1), (1, 2, 0), (2, 1, 0), (2, 0, 1)])
+def test_snapshots_in_any_order(spark, tmp_path, order):
+    v = Vintage(Store(spark, str(tmp_path / "s")))
+    one = canonical(spark, tmp_path)
+    values = [{"commercial": 100, "noncommercial": 200}, {"commercial": 150, "noncommercial": 200}, {"commercial": 100, "noncommercial": 210}]
+    frame = lambda x: one.where(F.col("category").isin(*x)).withColumn("long_contracts", F.when(F.col("category") == "commercial", x["commercial"]).otherwise(x["noncommercial"]).cast("long"))
+    for i in order:
+        v.ingest(frame(values[i]), f"s{i}", T0 + timedelta(days=i))
+    stored, revised = rule([(i, values[i]) for i in order])
+    day = lambda t: (t.replace(tzinfo=UTC) - T0).days
+    assert sorted((r.category, r.long_contracts, day(r.observed_at)) for r in v.observations().collect()) == stored
+    assert sorted((r.category, int(r.old_value), int(r.new_value), day(r.detected_at)) for r in v.revisions().collect()) == revised
+
+
+def test_a_hash_that_no_field_explains(spark, tmp_path):
+    v = Vintage(Store(spark, str(tmp_path / "s")))
+    one = canonical(spark, tmp_path)
+    v.ingest(one, "s1", T0)
+    tampered = v.observations().withColumn("row_sha256", F.when(F.col("category") == "commercial", "x").otherwise(F.col("row_sha256")))
+    v.store.replace(tampered, "observations", ["report_year"])
+    changed = one.withColumn("long_contracts", F.when(F.col("category") == "noncommercial", 7).otherwise(F.col("long_contracts")))
+    with pytest.raises(Q.ValidationError, match="no field"):  # beside a revision that is genuine
+        v.ingest(changed, "s2", T0 + timedelta(days=1))
+    assert v.revisions().count() == 0 and v.observations().count() == 3
+
+
+def test_tombstones_and_migrations(spark, tmp_path):
+    v = Vintage(Store(spark, str(tmp_path / "s")))
+    one = canonical(spark, tmp_path, rows=[wide_row("legacy"), wide_row("legacy", code="2")])
+    v.ingest(one, "s1", T0)
+    moved = one.withColumn("long_contracts", F.col("long_contracts") + F.when(F.col("category") == "commercial", 5).when(F.col("category") == "noncommercial", -5).otherwise(0)).where("market_code = '088691'")
+    assert v.ingest(moved, "s2", T0 + timedelta(days=1), tombstones=True)["observations"] == 5
+    assert {r.market_code for r in v.asof().collect()} == {"088691"} and v.asof(T0).count() == 6
+    assert v.ingest(moved, "s2", T0 + timedelta(days=1), tombstones=True)["observations"] == 0
+    assert [(r.market_code, r.field, r.n, r.moved) for r in Q.category_migration(v.revisions()).collect()] == [("088691", "long_contracts", 2, 5.0)]
+    assert v.ingest(one, "s3", T0 + timedelta(days=2), tombstones=True)["observations"] == 5 and v.asof().count() == 6
+    with pytest.raises(StoreError):
+        v.write_coverage("tff")
+
+
+def test_updates_of_some_symbols_and_years(spark, tmp_path):
+    s = Store(spark, str(tmp_path / "s"))
+    reg = spark.createDataFrame([("KE", "Grains", "000001", "disagg", False, []), ("ZW", "Grains", "000002", "disagg", False, [])], registry.SCHEMA)
+    rows = lambda f: [wide_row("legacy", date=d, code=c, factor=f) for d in ("2019-01-08", "2020-01-07") for c in ("1", "2")]
+
+    def wide(name, f):
+        write_zip(tmp_path / name, rows(f))
+        return archives.read_report(spark, str(tmp_path / name), "legacy")
+
+    state = lambda: {(r.name, r.report_date.year): int(float(r.Comm_Positions_Long_All)) for r in s.read_wide("cot_legacy").collect()}
+    current.update(s, "legacy", wide("a.zip", 1), reg)
+    assert set(state().values()) == {100}
+    assert current.update(s, "legacy", wide("b.zip", 2), reg, ["ZW"]) == current.Result("legacy", True, 1)
+    assert state() == {("KE_000001", 2019): 100, ("KE_000001", 2020): 100, ("ZW_000002", 2019): 200, ("ZW_000002", 2020): 200}
+    current.update(s, "legacy", wide("c.zip", 3).where("year(report_date) = 2020"), reg, years=(2020, 2020))
+    assert state() == {("KE_000001", 2019): 100, ("KE_000001", 2020): 300, ("ZW_000002", 2019): 200, ("ZW_000002", 2020): 300}
+    assert {(e.name, e.n_rows) for e in s.entries().collect()} == {("KE_000001", 2), ("ZW_000002", 2)}
+
+
+def test_an_archive_is_decoded_once(spark, tmp_path, monkeypatch):
+    count = spark.sparkContext.accumulator(0)
+    rows = archives._rows
+
+    def counted(name, data):
+        count.add(1)
+        return rows(name, data)
+
+    monkeypatch.setattr(archives, "_rows", counted)
+    v = Vintage(Store(spark, str(tmp_path / "s")))
+    write_zip(tmp_path / "a.zip", [wide_row("legacy")])
+    with v.store.staging("decoded") as staged:
+        wide = archives.read_report(spark, str(tmp_path / "a.zip"), "legacy", staged=staged)
+        v.ingest(canonicalise(wide, "legacy"), "s1", T0)
+    assert count.value == 1 and not list((tmp_path / "s/_staging").glob("*"))
