@@ -16,6 +16,8 @@ reader goes to the next line that is one, and the record that follows counts the
 as one or more gzip members is read through: of a damaged member what inflates before the error is kept, a record cut there
 is ``truncated``, and reading goes on at the next member; bytes passed over, there or between members, count as skipped by the
 record that follows. Damage that only the checksum at a member's end shows leaves the block as it inflates. A null or empty file has no records; a file of junk alone has none.
+Header lines, addresses and records may be of any length. Repeated files and records are converted each time, to equal identifiers;
+a null path stays null. Columns other than path and content are left out.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from __future__ import annotations
 import base64
 import contextlib
 import datetime
+import gzip
 import hashlib
 import re
 import uuid
@@ -109,7 +112,11 @@ def _inner(data: bytes, at: int, end: int) -> int | None:
     """The first place of a range where a member stands that starts with a record's header line."""
     while (at := data.find(_MEMBER, at, end)) >= 0:
         with contextlib.suppress(zlib.error):
-            line = zlib.decompressobj(31).decompress(data[at : at + (1 << 16)], 1 << 16).split(b"\n")[0].rstrip(b"\r")
+            member, line, place = zlib.decompressobj(31), b"", at
+            while b"\n" not in line and not member.eof and place < end:
+                line += member.decompress(data[place : place + (1 << 16)])
+                place += 1 << 16
+            line = line.split(b"\n")[0].rstrip(b"\r")
             if _V2.match(line) or _V1.match(line):
                 return at
         at += 1
@@ -219,29 +226,32 @@ def arc_to_warc(files: DataFrame, path_col: str = "path", content_col: str = "co
     return rows.mapInArrow(run, SCHEMA)
 
 
-def pages_to_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", epoch: int = 820_454_400, per_file: int = 64) -> DataFrame:
-    """(path, content): ARC files of consecutive pages, even ids in version 1 lines and odd ids in version 2 lines.
+def pages_to_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", epoch: int = 820_454_400) -> DataFrame:
+    """(path, content): an ARC file of each page, even ids in version 1 lines and odd ids in version 2 lines, every third compressed.
 
-    Page ``i`` was archived ``i`` seconds after ``epoch`` and is served as HTML over HTTP. Pages without an id are left out.
+    What a file holds depends on its page alone. Page ``i`` was archived ``i`` seconds after ``epoch`` and is served as HTML over
+    HTTP; a page without an id counts as one with 0, whose file has no number.
     """
-    rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{url_col}`"), F.lit("about:blank")).alias("url"), F.coalesce(F.col(f"`{html_col}`"), F.lit("")).alias("html")).where("id is not null")
+    rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{url_col}`"), F.lit("about:blank")).alias("url"), F.coalesce(F.col(f"`{html_col}`"), F.lit("")).alias("html"))
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, urls, texts = (batch.column(c).to_pylist() for c in ("id", "url", "html"))
-            for a in range(0, len(ids), per_file):
-                name = f"pages-{ids[a]}.arc"
+            names, files = [], []
+            for page, url, html in zip(*(batch.column(c).to_pylist() for c in ("id", "url", "html")), strict=True):
+                i = page or 0
+                name = f"page-{'' if page is None else page}.arc"
                 head = b"1 1 revlake\nURL IP-address Archive-date Content-type Archive-length\n"
-                out = [b"filedesc://%s 0.0.0.0 19960101000000 text/plain %d\n%s\n" % (name.encode(), len(head), head)]
-                for i, url, html in zip(ids[a : a + per_file], urls[a : a + per_file], texts[a : a + per_file], strict=True):
-                    body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + html.encode()
-                    date = (datetime.datetime(1970, 1, 1) + datetime.timedelta(seconds=epoch + i)).strftime("%Y%m%d%H%M%S").encode()
-                    line = (re.sub(r"\s", "%20", url).encode(), f"10.{i >> 16 & 255}.{i >> 8 & 255}.{i & 255}".encode(), date)
-                    if i % 2:
-                        out.append(b"%s %s %s text/html 200 - - 0 %s %d\n%s\n" % (*line, name.encode(), len(body), body))
-                    else:
-                        out.append(b"%s %s %s text/html %d\n%s\n" % (*line, len(body), body))
-                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([b"".join(out)], pa.binary())], ["path", "content"])
+                body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + html.encode()
+                date = (datetime.datetime(1970, 1, 1) + datetime.timedelta(seconds=epoch + i)).strftime("%Y%m%d%H%M%S").encode()
+                line = (re.sub(r"\s", "%20", url).encode(), f"10.{i >> 16 & 255}.{i >> 8 & 255}.{i & 255}".encode(), date)
+                parts = [b"filedesc://%s 0.0.0.0 19960101000000 text/plain %d\n%s\n" % (name.encode(), len(head), head)]
+                if i % 2:
+                    parts.append(b"%s %s %s text/html 200 - - 0 %s %d\n%s\n" % (*line, name.encode(), len(body), body))
+                else:
+                    parts.append(b"%s %s %s text/html %d\n%s\n" % (*line, len(body), body))
+                names.append(name + ".gz" * (i % 3 == 0))
+                files.append(b"".join(map(gzip.compress, parts) if i % 3 == 0 else parts))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(files, pa.binary())], ["path", "content"])
 
     return rows.mapInArrow(run, "path string, content binary")

@@ -9,6 +9,7 @@ frames are verified in every layer. In a stream of free bitrate, whose headers d
 length, it is the distance to the next equal header, found once where a third header or the end of the file confirms it; a lone
 frame of free bitrate has no such place and counts as junk.
 
+Files may be of any length, and hold any number of tags, tables and runs of junk; equal files give equal rows, and repeated ids a row each.
 A null or empty file, or one without frames, has 0 frames and null stream columns. A frame cut off by the end of the
 file is not counted; the file is then ``truncated``. Of tags named twice the first stays.
 """
@@ -314,7 +315,7 @@ def _resync(data: bytes, at: int, end: int, first: tuple | None, base: int | Non
 
 
 def parse_audio(files: DataFrame, id_col: str = "path", content_col: str = "content") -> DataFrame:
-    """(id_col, columns of SCHEMA) of each file, as ``binaryFile`` reads them."""
+    """(id_col, columns of SCHEMA) of each file, as ``binaryFile`` reads them; an id named like one of these becomes ``file_`` and its name."""
     rows = files.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{content_col}`").cast("binary").alias("content"))
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     types = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "map<string,string>": pa.map_(pa.string(), pa.string())}
@@ -327,7 +328,7 @@ def parse_audio(files: DataFrame, id_col: str = "path", content_col: str = "cont
             columns = [pa.array([list(g[n].items()) if n == "tags" else g[n] for g in got], t) for n, t in zip(names, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", *names])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, {SCHEMA}").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, {SCHEMA}").withColumnRenamed("id", f"file_{id_col}" if id_col in names else id_col)
 
 
 def build(version: int, layer: int, rate: int, bitrates: list[int], payload: bytes, mode: int = 0, protect: bool = False, title: str | None = None, table: bool = False, gap: tuple[int, int] = (0, 0), junk: dict[int, bytes] | None = None, tail: bool = False) -> bytes:

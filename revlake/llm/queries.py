@@ -36,9 +36,8 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page, archived in legacy files and converted; file names and offsets depend on the partitioning and are left out."""
-    records = arc_to_warc(pages_to_arc(_table(spark, sf_dir, "pages"))).where("warc_type = 'response'")
-    return records.drop("path", "offset").withColumn("block", F.decode("block", "UTF-8"))
+    """Every page, archived in a legacy file and converted: all records of all files."""
+    return arc_to_warc(pages_to_arc(_table(spark, sf_dir, "pages"))).withColumn("block", F.decode("block", "UTF-8"))
 
 
 def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,16 +81,21 @@ def _base32(digest: str) -> str:
 
 ORACLE: dict[str, str] = {
     "op4_arc_to_warc": f"""
-with p as (
-    select page_id, regexp_replace(url, '\\s', '%20', 'g') target_uri, 'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || chr(13) || chr(10) || html block, html,
-           strftime(make_timestamp((820454400 + page_id) * 1000000), '%Y-%m-%dT%H:%M:%SZ') warc_date
-    from pages),
+with n as (select *, 'page-' || page_id || '.arc' name, '1 1 revlake' || chr(10) || 'URL IP-address Archive-date Content-type Archive-length' || chr(10) head from pages),
+p as (
+    select 'response' warc_type, page_id, name, regexp_replace(url, '\\s', '%20', 'g') target_uri, '10.' || (page_id >> 16) % 256 || '.' || (page_id >> 8) % 256 || '.' || page_id % 256 ip_address,
+           'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || chr(13) || chr(10) || html block, html,
+           strftime(make_timestamp((820454400 + page_id) * 1000000), '%Y-%m-%dT%H:%M:%SZ') warc_date,
+           strlen('filedesc://' || name || ' 0.0.0.0 19960101000000 text/plain ' || strlen(head)) + 1 + strlen(head) + 1 as "offset"
+    from n
+    union all
+    select 'warcinfo', page_id, name, 'filedesc://' || name, '0.0.0.0', head, null, '1996-01-01T00:00:00Z', 0 from n),
 d as (select *, {_base32("sha1(block)")} block_digest, {_base32("sha1(html)")} payload_digest from p),
 u as (select *, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(target_uri || ' ' || warc_date || ' ' || block_digest)) h from d)
-select (1 + page_id % 2)::int arc_version, 0::bigint skipped, false truncated, 'response' warc_type,
+select name || case when page_id % 3 = 0 then '.gz' else '' end as path, "offset"::bigint as "offset", case warc_type when 'response' then (1 + page_id % 2)::int else 1 end arc_version, 0::bigint skipped, false truncated, warc_type,
        '<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || substr('89ab', (('0x' || h[17:17])::int & 3) + 1, 1) || h[18:20] || '-' || h[21:32] || '>' record_id,
-       target_uri, '10.' || (page_id >> 16) % 256 || '.' || (page_id >> 8) % 256 || '.' || page_id % 256 ip_address, warc_date,
-       'application/http; msgtype=response' content_type, strlen(block) content_length, block_digest, payload_digest, 200 http_status, block
+       target_uri, ip_address, warc_date, case warc_type when 'response' then 'application/http; msgtype=response' else 'application/warc-fields' end content_type,
+       strlen(block) content_length, block_digest, payload_digest, case warc_type when 'response' then 200 end http_status, block
 from u
 """,
     "op9_chat": """

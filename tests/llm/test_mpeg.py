@@ -89,3 +89,47 @@ def test_tables(spark):
         assert (got[i].crc_ok > 0) == (i % 3 == 1) and got[i].n_frames > 0
         if got[i].table_kind:
             assert got[i].table_frames == got[i].n_frames, i
+
+
+def crc_by_bits(data, bits):
+    """The polynomial x^16 + x^15 + x^2 + 1 from all ones, bit by bit."""
+    crc = 0xFFFF
+    for k in range(bits):
+        top = crc >> 15 ^ (data[k // 8] >> (7 - k % 8) & 1)
+        crc = (crc << 1 & 0xFFFF) ^ (0x8005 if top else 0)
+    return crc
+
+
+@pytest.mark.parametrize(
+    ("head", "length", "samples", "rate", "bitrate"),
+    [  # lengths of the standard: 144 (layer III of MPEG-2: 72) bytes, layer I 12 slots of 4 bytes, times bit rate over sample rate
+        ("fffb9000", 417, 1152, 44100, 128), ("fffb9200", 418, 1152, 44100, 128), ("fffda400", 576, 1152, 48000, 192), ("ffffc800", 4 * (12 * 384000 // 32000), 384, 32000, 384),
+        ("fff38000", 208, 576, 22050, 64), ("ffe3a800", 72 * 96000 // 8000, 576, 8000, 96),
+    ],
+)
+def test_headers_written_by_hand(head, length, samples, rate, bitrate):
+    head = bytes.fromhex(head)
+    data = b"junk" + (head + b"\x55" * (length - 4)) * 9
+    got = parse(data)
+    assert (got["n_frames"], got["sample_rate"], got["bitrate"], got["skipped"]) == (9, rate, bitrate, 4)
+    assert got["offsets"] == [4 + k * length for k in range(9)] and got["duration"] == 9 * samples / rate and got["crc_ok"] == got["crc_bad"] == 0
+
+
+def test_checksum_written_by_hand():
+    side = bytes(range(32))
+    frame = lambda crc: b"\xff\xfa\x90\x00" + crc.to_bytes(2, "big") + side + b"\x33" * (417 - 38)
+    good = crc_by_bits(b"\x90\x00" + side, 16 + 256)
+    got = parse(frame(good) * 5 + frame(good ^ 1) + frame(good) * 2)
+    assert (got["n_frames"], got["crc_ok"], got["crc_bad"]) == (8, 7, 1)
+
+
+def test_an_id_named_like_a_column(spark):
+    df = spark.createDataFrame([(7, bytearray(b"\xff\xfb\x90\x00" + b"\0" * 413) * 3, 1), (7, None, 1)], "layer int, content binary, tags int")
+    got = parse_audio(df, "layer")
+    assert got.columns[0] == "file_layer" and got.columns.count("layer") == 1
+    assert sorted((r.file_layer, r.n_frames) for r in got.collect()) == [(7, 0), (7, 3)]
+
+
+def test_a_long_file():
+    got = parse((b"\xff\xfb\x90\x00" + b"\0" * 413) * 60_000)
+    assert got["n_frames"] == 60_000 and got["duration"] == 60_000 * 1152 / 44100
