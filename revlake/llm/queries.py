@@ -17,6 +17,7 @@ from .near_dup import near_duplicates
 from .pii import pseudonymous
 from .quality import classify
 from .token_counts import token_counts
+from .vocabulary import VOCABULARY
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,7 +80,28 @@ def _base32(digest: str) -> str:
         ((('0x' || substr({digest}, (1 + 5 * (i // 4))::int, 5))::int >> (15 - 5 * (i % 4))::int) & 31) + 1, 1)), '')"""
 
 
+_WHITE = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: Pre-tokens without look-ahead: a mark of private use stands before the last white space of a run that a word follows.
+_MARK = chr(0xE000)
+_MARKED = f"regexp_replace(text, '([{_WHITE}])([{_WHITE}][^{_WHITE}])', '\\1{_MARK}\\2', 'g')"
+_PRETOKEN = f"''s|''t|''re|''ve|''m|''ll|''d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^{_WHITE}\\p{{L}}\\p{{N}}{_MARK}]+|[{_WHITE}]+"
+
 ORACLE: dict[str, str] = {
+    "op2_token_counts": f"""
+with recursive v as (select hex(from_base64(b)) h, r from read_csv('{VOCABULARY}', delim=' ', header=false, quote='', escape='', columns={{'b': 'varchar', 'r': 'bigint'}})),
+    d as (select row_number() over () k, doc_id, coalesce(text, '') text from documents),
+    p as (select k, unnest(regexp_extract_all({_MARKED}, '{_PRETOKEN}')) w from d),
+    words as (select distinct w from p),
+    steps(w, t, live) as (
+        select w, list_transform(range(0, strlen(w)), lambda i: substr(hex(encode(w)), 2 * i::int + 1, 2)), true from words
+        union all (
+            with q as (select w, unnest(t[:-2]) || unnest(t[2:]) h, generate_subscripts(t[2:], 1) pos from steps where live),
+                 best as (select q.w, min(v.r << 32 | q.pos) b from q join v using (h) group by q.w)
+            select w, case when b is null then t else list_concat(t[:(b & 4294967295) - 1], [t[b & 4294967295] || t[(b & 4294967295) + 1]], t[(b & 4294967295) + 2:]) end, b is not null
+            from steps left join best using (w) where live)),
+    counts as (select p.k, count(*) n_pretokens, sum(len(t))::bigint n_tokens from p join steps using (w) where not live group by p.k)
+select doc_id, strlen(text) n_bytes, coalesce(n_pretokens, 0) n_pretokens, coalesce(n_tokens, 0) n_tokens from d left join counts using (k)
+""",
     "op4_arc_to_warc": f"""
 with n as (select *, 'page-' || page_id || '.arc' name, '1 1 revlake' || chr(10) || 'URL IP-address Archive-date Content-type Archive-length' || chr(10) head from pages),
 p as (

@@ -10,11 +10,17 @@ may have begun (its node in the trie of tokens), the last token before each, and
 byte advances all nodes; of the tokens that end there, the one that is compatible with the token before it is
 the last one. States are determinised as texts reach them, up to ``STATES``, when the automaton begins anew.
 
-A null or empty text has 0 tokens. Rows with equal ids stay as they are.
+A longer pre-token is cut into chunks. A chunk's map takes an entry state to its exit state and the tokens emitted in between; it
+is computed for the state that the bytes before the chunk most likely lead to. The maps compose in a parallel prefix scan, and
+an entry that a map lacks is run then, so a wrong guess costs time alone.
+
+A null or empty text has 0 tokens. Rows with equal ids stay as they are, equal texts have equal counts, and texts and
+pre-tokens may be of any length.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +34,8 @@ from .vocabulary import VOCABULARY, encode_word, load
 
 #: Most states, remembered pre-tokens and remembered pairs that a task holds: bounds of memory, not of the result.
 STATES, WORDS, PAIRS = 400_000, 500_000, 600_000
+#: Bytes of a chunk of a long pre-token, and those before it that its entry state is guessed from.
+CHUNK, WARM = 256, 64
 
 
 class TokenTransducer:
@@ -88,15 +96,39 @@ class TokenTransducer:
         go = self.goes[state << 8 | byte] = self._state(key) << 12 | emit + 2048
         return go
 
-    def count(self, word: bytes) -> int:
-        state, n, goes = 0, 0, self.goes
-        for byte in word:
+    def _run(self, state: int, data: bytes) -> tuple[int, int]:
+        """(exit state, tokens emitted) from an entry state."""
+        n, goes = 0, self.goes
+        for byte in data:
             go = goes.get(state << 8 | byte)
             if go is None:
                 go = self._compile(state, byte)
             state = go >> 12
             n += go & 4095
-        return n - 2048 * len(word)
+        return state, n - 2048 * len(data)
+
+    def count(self, word: bytes) -> int:
+        if len(word) <= CHUNK:
+            return self._run(0, word)[1]
+        parts = [word[a : a + CHUNK] for a in range(0, len(word), CHUNK)]
+        maps = [{0: self._run(0, parts[0])}]
+        for before, part in itertools.pairwise(parts):
+            entry = self._run(0, before[-WARM:])[0]
+            maps.append({entry: self._run(entry, part)})
+        step = 1
+        while step < len(parts):  # maps[k] is that of the chunks from k - step + 1 to k
+            maps = maps[:step] + [self._compose(maps[k - step], maps[k], parts[max(0, k - step + 1) : k + 1]) for k in range(step, len(parts))]
+            step *= 2
+        return maps[-1][0][1]
+
+    def _compose(self, first: dict[int, tuple[int, int]], then: dict[int, tuple[int, int]], chunks: list[bytes]) -> dict[int, tuple[int, int]]:
+        """The map of both; ``chunks`` are those of the second."""
+        out = {}
+        for entry, (state, n) in first.items():
+            if state not in then:
+                then[state] = self._run(state, b"".join(chunks))
+            out[entry] = then[state][0], n + then[state][1]
+        return out
 
     def counts(self, words: list[bytes]) -> np.ndarray:
         """Number of tokens of each word. What was met in this or the last ``WORDS`` distinct words is remembered."""

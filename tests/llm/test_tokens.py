@@ -85,3 +85,10 @@ def test_long_words_are_encoded_by_the_same_query():
     words += ["".join(rng.choices("aabcdethinr", k=rng.randint(65, 300))).encode() for _ in range(200)]
     got = engine.encode_words(words)
     assert all(np.frombuffer(t, np.int32).tolist() == encode_word(w, RANKS) for t, w in zip(got, words, strict=True))
+
+
+def test_chunks_of_long_words_compose():
+    rng, transducer = random.Random(8), TokenTransducer(RANKS)
+    words = [b"a" * 5000, b"=-" * 3000 + b"=", "日本語テスト漢字".encode() * 300, b" " * 777, b"ab" * 128, b"ab" * 128 + b"c"]
+    words += ["".join(rng.choices("etaoinshrdlu", k=n)).encode() for n in (255, 256, 257, 511, 512, 513, 20_000)] + [bytes(rng.choices(range(256), k=2000))]
+    assert transducer.counts(words).tolist() == [len(encode_word(w, RANKS)) for w in words]
