@@ -3,6 +3,12 @@
 Each stage is written as Parquet below ``spark.checkpoint.dir`` and read again as the next one's input. SQL can express
 neither the classifier nor the encoding, so there is no ORACLE_SQL; ``tests/llm/test_pipeline.py`` holds the result
 against a brute-force version.
+
+Every stage but the last returns all columns of its input, whatever further ones there are and however they are named. A null or
+empty text, or one in a language without trusted texts, is kept by the classifier, is no duplicate and holds no item; the last stage gives
+it null or no tokens. Rows that repeat are one group of near duplicates: one of them stays, that of the least id, null ids last.
+Documents on the classifier's threshold stay. Texts of any length are handled whole. An empty table stays empty; without labels or
+items the stage that needs them keeps everything.
 """
 
 from __future__ import annotations
