@@ -37,3 +37,35 @@ def test_stages_keep_columns_and_end_on_empty_tables(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 0
 
 
+def test_stages_on_nulls_repeats_and_clashing_columns(spark, tmp_path):
+    """Each case of the docstring through all stages, with columns named like those that the operators use inside."""
+    corpus_pipeline = importlib.import_module("corpus_pipeline")
+    trusted = [f"the quiet river {w} runs past old stone houses and the people {w} walk home in the evening light number {i}" for i, w in enumerate("amber birch cedar dune ember frost grove haze iris juniper".split() * 3)]
+    item = "which of the following planets in the solar system has the greatest number of known moons"
+    copy = "a text that is there several times and in full with quite ordinary words of the river and the houses"
+    rows = [(i, t, "en") for i, t in enumerate(trusted)]
+    rows += [(100, None, "en"), (101, "", "en"), (102, None, None), (103, "some words without a language", None), (None, "no id " + copy[::-1], None)]
+    rows += [(200, copy, None), (200, copy, None), (201, copy, None), (None, copy, None)]
+    rows += [(300, f"before {item} after", None), (301, "write to jane.doe@example.com soon", None), (302, "q9x zzkw vvbj " * 60, "en"), (303, "word " * 100_000, None)]
+    names = ["node", "id", "row", "may", "band", "model", "stays", "kept", "item_id", "kinds"]
+    docs = spark.createDataFrame([(*([k] * len(names)), t, i, lang, "s", len(t or "")) for k, (i, t, lang) in enumerate(rows)], ", ".join(f"{n} int" for n in names) + ", text string, doc_id long, lang string, source string, n_chars long")
+    folder = str(tmp_path)
+    spark.createDataFrame([(i, 1, 0) for i in range(len(trusted))] + [(302, 0, 0), (302, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, item), (2, None), (3, ""), (None, item), (1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, folder)
+        if name != "encoding":
+            assert docs.columns[:10] == names and docs.schema["text"].dataType.simpleString() == "string"
+        docs.write.parquet(f"{folder}/out-{name}")
+        docs = spark.read.parquet(f"{folder}/out-{name}")
+        seen[name] = docs.collect()
+    ids = lambda name: {r.doc_id for r in seen[name]}
+    assert ids("quality") >= {100, 101, 102, 103, 200, 201, 300, 301, 303, None} and 302 not in ids("quality")
+    copies = [r for r in seen["near_duplicates"] if r.text == copy]
+    assert [r.doc_id for r in copies] == [200] and {100, 101, 102} <= ids("near_duplicates")
+    assert ids("near_duplicates") - ids("decontamination") == {300}
+    text = {r.doc_id: r.text for r in seen["pseudonyms"]}
+    assert "jane.doe" not in text[301] and text[301].endswith("@example.com soon") and len(seen["pseudonyms"]) == len(seen["decontamination"])
+    last = {r.doc_id: r for r in seen["encoding"]}
+    assert last[100].tokens is None and last[101].tokens == [] and last[303].n_tokens > 90_000 and all(r.round_trip for r in seen["encoding"] if r.tokens is not None)
