@@ -35,7 +35,6 @@ from .words import mix
 #: log2 of a probability is kept as a code of this step, up to 16 bits.
 STEP = 1 / 1024
 NONE = 65535
-SAMPLE = 64
 #: Tokens of the corpus for each part, and distinct grams that a task holds before it hands them on.
 PART_TOKENS, HELD_GRAMS = 2_000_000, 2_000_000
 #: Files of counts of single symbols.
@@ -44,27 +43,23 @@ _MASK = (1 << TOKEN_BITS) - 1
 _SLICE = (1 << TOKEN_BITS) // SLICES
 
 
-def _select(words: np.ndarray, samples: np.ndarray, i: np.ndarray, flip: np.uint64) -> np.ndarray:
-    """Position of the i-th set bit of ``words ^ flip``; samples: positions of every 64th such bit."""
-    at = samples[i // SAMPLE].astype(np.int64)
-    r, word = i % SAMPLE, at >> 6
-    w = (words[word] ^ flip) & (np.uint64(0xFFFFFFFFFFFFFFFF) << (at & 63).astype(np.uint64))
-    n = np.bitwise_count(w).astype(np.int64)
-    late = np.flatnonzero(r >= n)
-    while len(late):
-        r[late] -= n[late]
-        word[late] += 1
-        w[late] = words[word[late]] ^ flip
-        n[late] = np.bitwise_count(w[late])
-        late = late[r[late] >= n[late]]
-    pos = word << 6
-    for s in (32, 16, 8, 4, 2, 1):
-        low = np.bitwise_count(w & np.uint64((1 << s) - 1)).astype(np.int64)
-        up = r >= low
-        r -= np.where(up, low, 0)
-        w = np.where(up, w >> np.uint64(s), w)
-        pos += np.where(up, s, 0)
-    return pos
+_ONES, _TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_FIVES, _THREES, _FIFTEENS = np.uint64(0x5555555555555555), np.uint64(0x3333333333333333), np.uint64(0x0F0F0F0F0F0F0F0F)
+#: Place of the r-th set bit of a byte, at 8 * byte + r.
+_IN_BYTE = np.array([([k for k in range(8) if x >> k & 1] + [0] * 8)[r] for x in range(256) for r in range(8)], np.uint8)
+
+
+def _select(words: np.ndarray, before: np.ndarray, i: np.ndarray, flip: np.uint64) -> np.ndarray:
+    """Position of the i-th set bit of ``words ^ flip``; before: how many such bits stand before each word."""
+    word = np.searchsorted(before, i.astype(np.uint32), "right") - 1
+    w = words[word] ^ flip
+    r = i.astype(np.uint64) - before[word]
+    sums = w - (w >> np.uint64(1) & _FIVES)
+    sums = (sums & _THREES) + (sums >> np.uint64(2) & _THREES)
+    sums = (sums + (sums >> np.uint64(4)) & _FIFTEENS) * _ONES  # set bits up to each byte
+    shift = np.bitwise_count((r * _ONES | _TOPS) - sums & _TOPS).astype(np.uint64) << np.uint64(3)
+    r -= sums << np.uint64(8) >> shift & np.uint64(255)
+    return (word << 6) + shift.astype(np.int64) + _IN_BYTE[((w >> shift & np.uint64(255)) << np.uint64(3) | r).astype(np.int64)]
 
 
 class EliasFano:
@@ -84,7 +79,8 @@ class EliasFano:
         unary = np.zeros(-(-(n + (universe >> bits) + 2) // 64) * 64, np.uint8)
         unary[(values >> bits) + np.arange(n)] = 1
         words = np.packbits(unary, bitorder="little").view(np.uint64)
-        return EliasFano(n, bits, np.r_[low, np.zeros(8, np.uint8)], words, np.flatnonzero(unary)[::SAMPLE].astype(np.uint32), np.flatnonzero(unary == 0)[::SAMPLE].astype(np.uint32))
+        ones = np.cumsum(np.bitwise_count(words), dtype=np.int64) - np.bitwise_count(words)
+        return EliasFano(n, bits, np.r_[low, np.zeros(8, np.uint8)], words, ones.astype(np.uint32), (np.arange(len(words)) * 64 - ones).astype(np.uint32))
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
@@ -99,26 +95,46 @@ class EliasFano:
     def get(self, i: np.ndarray) -> np.ndarray:
         return (_select(self.words, self.ones, i, np.uint64(0)) - i << self.bits) | self._low(i)
 
+    def _search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the first element that is at least x, whether it has the high bits of x).
+
+        The elements with these high bits are a range between two zeros, where the low bits are searched by halves.
+        """
+        high, last = x >> self.bits, (len(self.words) << 6) - self.n - 1
+        i, end = np.full(len(x), self.n), np.full(len(x), self.n)
+        inside = np.flatnonzero(high <= last)
+        flip = np.uint64(0xFFFFFFFFFFFFFFFF)
+        end[inside] = _select(self.words, self.zeros, high[inside], flip) - high[inside]
+        i[inside[high[inside] == 0]] = 0
+        later = inside[high[inside] > 0]
+        if len(later):
+            i[later] = _select(self.words, self.zeros, high[later] - 1, flip) + 1 - high[later]
+        low, till, open_ = x & (1 << self.bits) - 1, end.copy(), np.flatnonzero(i < end)
+        while len(open_):
+            middle = i[open_] + till[open_] >> 1
+            less = self._low(middle) < low[open_]
+            i[open_[less]] = middle[less] + 1
+            till[open_[~less]] = middle[~less]
+            open_ = open_[i[open_] < till[open_]]
+        return i, i < end
+
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, value) of the first element that is at least x; place n and value -1 if there is none."""
-        high = np.minimum(x >> self.bits, (len(self.words) << 6) - self.n - 1)
-        pos = np.zeros(len(x), np.int64)
-        later = np.flatnonzero(high)
-        if len(later):
-            pos[later] = _select(self.words, self.zeros, high[later] - 1, np.uint64(0xFFFFFFFFFFFFFFFF)) + 1
-        i = pos - high
+        i, _ = self._search(x)
         value = np.full(len(x), -1, np.int64)
-        open_ = np.flatnonzero(i < self.n)
-        value[open_] = self.get(i[open_])
-        open_ = open_[value[open_] < x[open_]]
-        while len(open_):
-            i[open_] += 1
-            value[open_] = -1
-            open_ = open_[i[open_] < self.n]
-            value[open_] = self.get(i[open_])
-            open_ = open_[value[open_] < x[open_]]
+        there = np.flatnonzero(i < self.n)
+        if len(there):
+            value[there] = self.get(i[there])
         return i, value
 
+    def find(self, x: np.ndarray) -> np.ndarray:
+        """Place of the first element equal to x, -1 if there is none: its successor, which is x."""
+        i, near = self._search(x)
+        at = np.flatnonzero(near)
+        i[~near] = -1
+        i[at[self._low(i[at]) != x[at] & (1 << self.bits) - 1]] = -1
+        return i
+
     def arrays(self) -> list[np.ndarray]:
         return [np.array([self.n, self.bits], np.int64), self.low, self.words, self.ones, self.zeros]
 
@@ -141,7 +157,7 @@ def unpack(data: np.ndarray) -> list[np.ndarray]:
     at, out = head + 1, []
     for dtype, n in json.loads(bytes(data[:head])):
         size = np.dtype(dtype).itemsize * n
-        out.append(data[at : at + size].view(dtype))
+        out.append(np.frombuffer(data, dtype, n, at))
         at += size + -size % 8
     return out
 
@@ -257,7 +273,7 @@ def _merge(rows: DataFrame, folder: str, level: int, parts: int, lower) -> DataF
                     yield flush()
                     part = p
                 held.append(tuple(unpacked(data.as_buffer().to_pybytes(), 2)))
-                if len(held) > 1 and sum(len(k) for k, _ in held) > 2 * HELD_GRAMS:
+                if len(held) > 1 and sum(len(k) for k, _ in held) > 1.5 * HELD_GRAMS:
                     held[:] = [merged(held)]
         yield flush()
 
@@ -287,7 +303,7 @@ def count_levels(docs: DataFrame, text_col: str, vocabulary: str, parts: Parts,
             for _, _, data, offsets in text_chunks(batch.column("text")):
                 if len(data):
                     held.append(np.unique(token_grams(*Tokens.of(vocabulary).split(data, offsets)), return_counts=True))
-                    if sum(len(k) for k, _ in held) > 2 * HELD_GRAMS:
+                    if sum(len(k) for k, _ in held) > 1.5 * HELD_GRAMS:
                         held[:] = [merged(held)]
                         if len(held[0][0]) > HELD_GRAMS:
                             yield flush()
@@ -412,30 +428,33 @@ class Level:
         self.weight, self.code = parts[15], parts[16]
 
     def range_of(self, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(place, weight code, first child, end) of each owner; place -1, no weight and no children if it has none."""
-        i, value = self.owners.successor(owner)
-        own = np.flatnonzero(value == owner)
-        place, weight = np.full(len(owner), -1, np.int64), np.full(len(owner), NONE, np.int64)
-        lo, hi = np.zeros(len(owner), np.int64), np.zeros(len(owner), np.int64)
+        """(weight code, first child, end, value before the first child's) of each owner; no weight and no children if it has none."""
+        i = self.owners.find(owner)
+        own = np.flatnonzero(i >= 0)
+        weight, lo, hi, before = np.full(len(owner), NONE, np.int64), *(np.zeros(len(owner), np.int64) for _ in range(3))
         if len(own):
-            place[own], weight[own], lo[own], hi[own] = i[own], self.weight[i[own]], self.starts.get(i[own]), self.starts.get(i[own] + 1)
-        return place, weight, lo, hi
+            weight[own], lo[own], hi[own] = self.weight[i[own]], self.starts.get(i[own]), self.starts.get(i[own] + 1)
+            inner = np.flatnonzero(lo)
+            before[inner] = self.ids.get(lo[inner] - 1)
+        return weight, lo, hi, before
 
-    def child(self, lo: np.ndarray, hi: np.ndarray, stored: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def child(self, lo: np.ndarray, hi: np.ndarray, before: np.ndarray, stored: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank among the siblings, code) of the child with the stored rank; rank 0 if there is none. Successor search."""
         rank, code = np.zeros(len(lo), np.int64), np.full(len(lo), NONE, np.int64)
         at = np.flatnonzero((hi > lo) & (stored > 0))
         if len(at):
-            before = np.zeros(len(at), np.int64)
-            inner = np.flatnonzero(lo[at])
-            if len(inner):
-                before[inner] = self.ids.get(lo[at][inner] - 1)
-            i, value = self.ids.successor(before + stored[at])
-            ok = (i < hi[at]) & (value == before + stored[at])
+            i = self.ids.find(before[at] + stored[at])
+            ok = (i >= lo[at]) & (i < hi[at])
             at, i = at[ok], i[ok]
             rank[at], code[at] = i - lo[at] + 1, self.code[i]
         return rank, code
 
+    def look_up(self, owner: np.ndarray, stored: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rank, code, weight code of the owner) of children; equal owners stand together."""
+        cuts, run = _runs(owner)
+        weight, *siblings = self.range_of(owner[cuts[:-1]])
+        return *self.child(*(c[run] for c in siblings), stored), weight[run]
+
 
 class Trie:
     """The memory-mapped parts below a folder; where the folder can't be mapped, at most ``held`` of them in memory."""
@@ -453,7 +472,7 @@ class Trie:
         level = self.levels.get(name)
         if level is None:
             level = Level(f"{self.folder}/{name}")
-            if not isinstance(level.code.base, np.memmap) and len(self.levels) >= self.held:
+            if not self.folder.startswith("file:") and len(self.levels) >= self.held:
                 del self.levels[next(iter(self.levels))]
             self.levels[name] = level
         return level
@@ -470,13 +489,11 @@ class Trie:
         b, c = pair >> TOKEN_BITS, pair & _MASK
         rank, low = np.zeros(len(pair), np.int64), self.base[c].astype(np.float64)
         for level, own in self._each(self.parts.of_symbol(b), "pairs"):
-            _, weight, lo, hi = level.range_of(b[own])
-            rank[own], code = level.child(lo, hi, self.place[c[own]].astype(np.int64))
+            rank[own], code, weight = level.look_up(b[own], self.place[c[own]].astype(np.int64))
             low[own] = np.where(code != NONE, -STEP * code, low[own] - np.where(weight != NONE, STEP * weight, 0))
         rank, out, context = rank[inverse], low[inverse], key >> TOKEN_BITS
         for level, own in self._each(self.parts.of_context(key >> 2 * TOKEN_BITS, context & _MASK), "triples"):
-            _, weight, lo, hi = level.range_of(context[own])
-            _, code = level.child(lo, hi, rank[own])
+            _, code, weight = level.look_up(context[own], rank[own])
             out[own] = np.where(code != NONE, -STEP * code, out[own] - np.where(weight != NONE, STEP * weight, 0))
         return out
 
@@ -490,7 +507,7 @@ def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
         trie = resident("lm", model["folder"], lambda: Trie(**{k: v for k, v in model.items() if k != "vocabulary"}), 2) if model else None
         for batch in batches:
             n, bits = np.zeros(len(batch), np.int64), np.zeros(len(batch))
-            for a, b, data, offsets in text_chunks(batch.column("text"), 4 << 20):
+            for a, b, data, offsets in text_chunks(batch.column("text"), 3 << 20):
                 n[a:b] = np.diff(offsets)
                 if trie and len(data):
                     tokens, at = Tokens.of(model["vocabulary"]).split(data, offsets)

@@ -79,7 +79,7 @@ def token_vocabulary(texts: DataFrame) -> tuple[str, int, int, dict[int, int]]:
 class Tokens:
     def __init__(self, hashes: np.ndarray):
         self.hashes = hashes
-        self.cache = GramCache(self._symbols, bits=18)
+        self.cache = GramCache(self._symbols, bits=20)
 
     @staticmethod
     def of(uri: str) -> Tokens:
