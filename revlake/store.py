@@ -298,11 +298,12 @@ def compare_stores(a: Store, b: Store) -> dict[str, list]:
     """What a mirror from ``a`` to ``b`` would destroy: entries, files and tables only in ``b``, and entries of one name from different sources."""
     ea, eb, fa, fb = a.entries(), b.entries(), data_files(a), data_files(b)
     rows = lambda df: sorted(tuple(r) for r in df.collect())  # noqa: E731 - control plane: one row for each instrument
+    tables = lambda s: {p.name for p in (s.root / "tables").glob("*") if p.is_dir()}
     return {
         "only_in_target": rows(M.only_in(eb, ea, ["domain", "name"]).select("domain", "name")),
         "different_source": rows(M.replica_diff(ea, eb, ["domain", "name"], "source")),
         "files_only_in_target": rows(M.only_in(fb, fa, ["domain", "name"]).select("domain", "name")),
-        "tables_only_in_target": [d for (d,) in rows(fb.select("domain").distinct().join(fa.select("domain").distinct(), "domain", "left_anti"))],
+        "tables_only_in_target": sorted(tables(b) - tables(a)),
     }
 
 
