@@ -9,11 +9,14 @@ in the order of their 63-bit hashes; words whose hashes are equal would share a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_file, put_file, resident, shared_dir, written
+from .common import map_file, put_file, resident, shared_dir, tidy, written
 from .kneser_ney import GramCache, gram_counts
 from .words import _BASE, _VALUES, WORD, mix
 
@@ -65,15 +68,25 @@ def token_vocabulary(texts: DataFrame) -> tuple[str, int, int, dict[int, int]]:
         if held > WORDS:
             least = r["n"] + 1
             break
-    hashes = np.sort(counts.where((F.col("n") >= least) & (F.col("gram") >= 0)).select("gram").toArrow().column("gram").to_numpy()).astype(np.int64)
     uri = f"{shared_dir(texts.sparkSession, 'vocabulary')}/words"
-    put_file(uri, hashes.tobytes() or b"\xff" * 8)
+
+    @tidy
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = np.concatenate([np.zeros(0, np.int64), *(batch.column("gram").to_numpy() for batch in batches)])
+        put_file(uri, np.sort(hashes).tobytes() or b"\xff" * 8)
+        yield pa.RecordBatch.from_arrays([pa.array([len(hashes)])], ["n"])
+
+    # at most WORDS numbers, sorted by one task
+    words = counts.where((F.col("n") >= least) & (F.col("gram") >= 0)).select("gram").repartition(1).mapInArrow(put, "n long").agg(F.max("n")).first()[0] or 0
+    if not words:
+        put_file(uri, b"\xff" * 8)
+    hashes = map_file(uri).view(np.int64)
     tokens = counts.agg(F.sum("n")).first()[0] or 0
     often = {0: texts.where("text != ''").count()}
     for r in counts.where(F.col("n") > tokens / FREQUENT).collect():
         at = r["gram"] + 257 if r["gram"] < 0 else int(np.searchsorted(hashes, r["gram"])) + 257
         often[at] = r["n"]
-    return uri, 256 + len(hashes), tokens, often
+    return uri, 256 + words, tokens, often
 
 
 class Tokens:
