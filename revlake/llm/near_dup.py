@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +38,8 @@ from .words import distinct_by_row, mix, shingle_hashes, word_chunks
 SHINGLE = 3
 BANDS, ROWS = 36, 4
 THRESHOLD = 0.5
-#: Hash values under which the frequencies of shingles are counted.
-SLOTS = 1 << 22
+#: Hash values in one file of frequencies of shingles, and most of them.
+SLICE, MOST_SLOTS = 1 << 20, 1 << 26
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -143,9 +143,9 @@ def _banded(nodes: DataFrame) -> DataFrame:
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(batch.column("bands").is_valid())
-            batch = batch.take(pa.compute.sort_indices(batch.column("node")))
+            batch = batch.take(pc.sort_indices(batch.column("node")))
             lists = batch.column("bands")
-            band, row = np.asarray(lists.flatten()), np.asarray(pa.compute.list_parent_indices(lists))
+            band, row = np.asarray(lists.flatten()), np.asarray(pc.list_parent_indices(lists))
             by = np.argsort(band, kind="stable")
             band, row = band[by], row[by]
             first = np.flatnonzero(np.r_[True, band[1:] != band[:-1]]) if len(band) else np.zeros(0, np.int64)
@@ -156,49 +156,52 @@ def _banded(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "bands").mapInArrow(combine, "band long, node binary, least binary")
 
 
-def rarity(texts: DataFrame, shingle: int) -> dict:
-    """Files of how many texts have the shingles of each of ``SLOTS`` hash values; any order of shingles is right, this one is quick."""
-    folder, slices = shared_dir(texts.sparkSession, "rarity"), 16
-    each = SLOTS // slices
+def rarity(texts: DataFrame, n: int, shingle: int) -> dict:
+    """Files of how many of the ``n`` texts have the shingles of each hash value, up to 255.
+
+    Any order of shingles is right; one by these counts is quick. A shingle whose hash value has a count of 1 is in one text only.
+    """
+    folder, slots = shared_dir(texts.sparkSession, "rarity"), min(MOST_SLOTS, max(SLICE, 1 << (512 * n).bit_length()))
 
     @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SLOTS, np.int32)
+        total, codec = np.zeros(slots, np.uint8), pa.Codec("zstd", compression_level=1)
         for batch in batches:
             for value, _ in _multisets(batch.column("text"), shingle):
-                np.add.at(total, (value % np.uint64(SLOTS)).astype(np.int64), 1)
-        slot = np.flatnonzero(total)
-        for a in range(0, len(slot), 1 << 18):
-            part = slot[a : a + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array((part // each).astype(np.int32)), pa.array((part % each).astype(np.int32)), pa.array(total[part].astype(np.int64))], ["slice", "slot", "n"])
+                slot, more = np.unique((value % np.uint64(slots)).astype(np.int64), return_counts=True)
+                total[slot] = np.minimum(total[slot] + np.minimum(more, 255).astype(np.uint16), 255)
+        for s in range(slots // SLICE):
+            part = total[s * SLICE : (s + 1) * SLICE]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([codec.compress(part.tobytes(), asbytes=True)], pa.binary())], ["slice", "counts"])
 
     @tidy
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
+        codec = pa.Codec("zstd")
         for batch in batches:
-            which, slot, n = (batch.column(c).to_numpy() for c in ("slice", "slot", "n"))
-            for s in np.unique(which):
-                own = which == s
-                held.setdefault(int(s), np.zeros(each, np.int64))[slot[own]] = n[own]
-        for s, n in held.items():
-            put_file(f"{folder}/{s}.n", n.tobytes())
+            for s, data in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                more = np.frombuffer(codec.decompress(data, SLICE, asbytes=True), np.uint8)
+                held[s] = np.minimum(held.get(s, np.zeros(SLICE, np.uint16)) + more, 255).astype(np.uint16)
+        for s, counts in held.items():
+            put_file(f"{folder}/{s}.n", counts.astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32())], ["slice"])
 
-    counts = texts.mapInArrow(count, "slice int, slot int, n long").groupBy("slice", "slot").agg(F.sum("n").alias("n"))
-    made = [r["slice"] for r in counts.repartition(slices, "slice").mapInArrow(put, "slice int").collect()]
-    return {"folder": folder, "made": made, "each": each}
+    counts = texts.mapInArrow(count, "slice int, counts binary")
+    made = [r["slice"] for r in counts.repartition(slots // SLICE, "slice").mapInArrow(put, "slice int").collect()]
+    return {"folder": folder, "made": made, "slots": slots}
 
 
 class Rarity:
-    def __init__(self, folder: str, made: list[int], each: int):
-        self.each, self.slices = each, {s: map_file(f"{folder}/{s}.n").view(np.int64) for s in made}
+    def __init__(self, folder: str, made: list[int], slots: int):
+        self.slots, self.slices = slots, {s: map_file(f"{folder}/{s}.n") for s in made}
 
     def of(self, value: np.ndarray) -> np.ndarray:
-        slot, out = (value % np.uint64(SLOTS)).astype(np.int64), np.zeros(len(value), np.int64)
-        for s in np.unique(slot // self.each).tolist():
-            own = slot // self.each == s
+        slot, out = (value % np.uint64(self.slots)).astype(np.int64), np.zeros(len(value), np.int64)
+        for s in np.unique(slot // SLICE).tolist():
+            own = slot // SLICE == s
             if s in self.slices:
-                out[own] = self.slices[s][slot[own] % self.each]
+                out[own] = self.slices[s][slot[own] % SLICE]
         return out
 
 
@@ -211,7 +214,8 @@ def prefix(value: np.ndarray, count: np.ndarray, often: np.ndarray, share: float
 
 def _unjoined(members: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
     """(a, b) of nodes of one band of ``members`` (node, root, bands) with different roots whose similarity may reach the threshold."""
-    counted = rarity(texts.join(members.select("node"), "node", "left_semi").select("text"), shingle)
+    members = written(members.select(F.monotonically_increasing_id().alias("member"), "node", F.xxhash64("root").alias("root"), "bands"), "numbered")
+    counted = rarity(texts.join(members.select("node"), "node", "left_semi").select("text"), members.count(), shingle)
 
     @tidy
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,21 +223,28 @@ def _unjoined(members: DataFrame, texts: DataFrame, threshold: float, shingle: i
         for batch in batches:
             out, size = [], 0
             for k, ((value, count), bands) in enumerate(zip(_multisets(batch.column("text"), shingle), batch.column("bands"), strict=True)):
-                own = value[prefix(value, count, held.of(value), 1 - threshold)]
-                strong = len(prefix(value, count, held.of(value), (1 - threshold) / (1 + threshold)))
+                often = held.of(value)
+                own = prefix(value, count, often, 1 - threshold)
+                strong = np.arange(len(own)) < len(prefix(value, count, often, (1 - threshold) / (1 + threshold)))
+                shared = often[own] > 1
+                own, strong = mix(value[own[shared]]), strong[shared]
                 for band in np.asarray(bands.values).view(np.uint64):
-                    out.append((k, mix(own ^ mix(np.array([band])))[: len(own)].view(np.int64), np.arange(len(own)) < strong))
+                    out.append((k, mix(own ^ mix(np.array([band])))[: len(own)].view(np.int64), strong))
                     size += len(own)
                 if size > 1 << 18 or k == len(batch) - 1:
                     row = np.repeat([k for k, *_ in out], [len(x) for _, x, _ in out]).astype(np.int64)
-                    columns = [pa.array(np.concatenate([x for _, x, _ in out])), batch.column("node").take(pa.array(row)), batch.column("root").take(pa.array(row)), pa.array(np.concatenate([s for *_, s in out]))]
-                    yield pa.RecordBatch.from_arrays(columns, ["key", "node", "root", "strong"])
+                    columns = [pa.array(np.concatenate([x for _, x, _ in out])), *(batch.column(c).take(pa.array(row)) for c in ("member", "root")), pa.array(np.concatenate([s for *_, s in out]))]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "member", "root", "strong"])
                     out, size = [], 0
 
-    rows = members.join(texts, "node").select("node", "root", "bands", "text").mapInArrow(keys, "key long, node binary, root binary, strong boolean")
+    rows = members.join(texts, "node").select("member", "root", "bands", "text").mapInArrow(keys, "key long, member long, root long, strong boolean")
     rows = written(rows, "prefixes")
-    other = rows.withColumnsRenamed({"node": "b", "root": "other", "strong": "too"})
-    return rows.withColumnRenamed("node", "a").join(other, "key").where("a > b and root != other and (strong or too)").select("a", "b").distinct()
+    strong = rows.where("strong").select("key", F.col("member").alias("x"), F.col("root").alias("rx"))
+    found = strong.join(rows.select("key", F.col("member").alias("y"), F.col("root").alias("ry")), "key").where("rx != ry")
+    found = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    named = members.select("member", "node")
+    both = found.join(named.withColumnsRenamed({"member": "x", "node": "a"}), "x").join(named.withColumnsRenamed({"member": "y", "node": "b"}), "y")
+    return both.select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
