@@ -24,14 +24,15 @@ def _hash(*seed: Column) -> Column:
 
 def turns(conversations: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
     names = {"conv": conv_col, "turn": turn_col, "role": role_col, "text": text_col}
-    return conversations.select(*[F.col(f"`{c}`").alias(n) for n, c in names.items()]).where("conv is not null").distinct()
+    return conversations.select(*[F.col(f"`{c}`").alias(n) for n, c in names.items()]).where("conv is not null")
 
 
 def prefixes(rows: DataFrame) -> DataFrame:
-    """(conv, k, n, h1, h2): hash of the first k of n turns."""
-    ordered = Window.partitionBy("conv").orderBy("turn", "role", "text")
+    """(conv, role, text, k, n, h1, h2) of distinct turns: the k-th of n, and the hash of the first k. One shuffle, by conversation."""
+    ordered, turn = Window.partitionBy("conv").orderBy("turn", "role", "text"), F.struct("turn", "role", "text")
+    rows = rows.withColumn("again", F.lag(turn).over(ordered).eqNullSafe(turn)).where("not again")
     rows = rows.withColumn("k", F.row_number().over(ordered)).withColumns({"x1": _hash(), "x2": _hash(F.lit(1))})
-    return rows.select("conv", "k", F.count("*").over(Window.partitionBy("conv")).alias("n"), F.bit_xor("x1").over(ordered).alias("h1"), F.bit_xor("x2").over(ordered).alias("h2"))
+    return rows.select("conv", "role", "text", "k", F.count("*").over(Window.partitionBy("conv")).alias("n"), F.bit_xor("x1").over(ordered).alias("h1"), F.bit_xor("x2").over(ordered).alias("h2"))
 
 
 def maximal(prefixed: DataFrame) -> DataFrame:
@@ -47,8 +48,7 @@ def _plain(c: str) -> Column:
 
 def render(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv_id, n_turns, n_copies, text) of each maximal conversation."""
-    rows = turns(conversations, conv_col, turn_col, role_col, text_col)
-    kept = maximal(written(prefixes(rows), "prefixes"))
+    rows = written(prefixes(turns(conversations, conv_col, turn_col, role_col, text_col)), "prefixes")
     line = F.concat(F.lit("<|im_start|>"), _plain("role"), F.lit("\n"), _plain("text"), F.lit("<|im_end|>\n"))
-    lines = rows.join(kept, "conv").groupBy("conv", "n_turns", "n_copies").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", line.alias("line")))).alias("lines"))
+    lines = rows.join(maximal(rows), "conv").groupBy("conv", "n_turns", "n_copies").agg(F.sort_array(F.collect_list(F.struct("k", line.alias("line")))).alias("lines"))
     return lines.select(F.col("conv").alias("conv_id"), "n_turns", "n_copies", F.array_join(F.col("lines.line"), "").alias("text"))
