@@ -99,7 +99,7 @@ def probability_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, n
 
 
 def _signatures(df: DataFrame, bands: int, rows: int, shingle: int) -> DataFrame:
-    """(node, id, bands) of (node, id, text); bands is null for texts without words."""
+    """(node, id, row, bands) of (node, id, row, text); bands is null for texts without words."""
 
     @tidy
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,10 +108,10 @@ def _signatures(df: DataFrame, bands: int, rows: int, shingle: int) -> DataFrame
                 value, row, count = distinct_by_row(*shingle_hashes(words, at, shingle), b - a)
                 keys = band_keys(prob_minhash(value, row, count, b - a, bands * rows), bands, rows)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1) * bands, pa.int32()), pa.array(keys.ravel()), mask=pa.array(np.diff(at) == 0))
-                yield pa.RecordBatch.from_arrays([batch.column("node").slice(a, b - a), batch.column("id").slice(a, b - a), lists], ["node", "id", "bands"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("node", "id", "row")), lists], ["node", "id", "row", "bands"])
 
     kind = df.schema["id"].dataType.simpleString()
-    return df.select("node", "id", "text").mapInArrow(sign, f"node binary, id {kind}, bands array<long>")
+    return df.select("node", "id", "row", "text").mapInArrow(sign, f"node binary, id {kind}, row long, bands array<long>")
 
 
 def _multisets(column: pa.Array, shingle: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -270,10 +270,11 @@ def _nodes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _groups(docs: DataFrame, id_col: str, text_col: str, threshold: float, bands: int, rows: int, shingle: int) -> tuple[DataFrame, DataFrame]:
-    """((node, id, n, kept) of every text: its least id, its rows and the least id of its group; (node, id) of all rows)."""
+    """((node, id, n, kept, kept_node, kept_row) of every text: its least id, its rows, and what stays of its group; (node, id, row) of all rows)."""
     source = _nodes(docs, id_col, text_col)
-    signed = written(_signatures(source, bands, rows, shingle), "signatures")
-    nodes = written(signed.groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("bands").alias("bands")), "nodes")
+    signed = written(_signatures(source.withColumn("row", F.monotonically_increasing_id()), bands, rows, shingle), "signatures")
+    least = F.min_by("row", F.struct(F.col("id").isNull(), "id", "row"))
+    nodes = written(signed.groupBy("node").agg(F.min("id").alias("id"), least.alias("row"), F.count("*").alias("n"), F.first("bands").alias("bands")), "nodes")
     banded = _banded(nodes)
     linked = written(banded.where("node != least"), "linked")
     bucket = Window.partitionBy("band")
@@ -283,7 +284,8 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, threshold: float, bands
     pairs = written(steps.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), "pairs")
     wanted = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted")
     may = bitmap(wanted, wanted.count())
-    texts = written(source.select("node", "text").where(may_hold(F.col("node"), may)).join(wanted, "node").groupBy("node").agg(F.first("text").alias("text")), "texts")
+    once = source.select("node", "text").where(may_hold(F.col("node"), may)).groupBy("node").agg(F.first("text").alias("text"))  # copies meet in their tasks
+    texts = written(once.join(wanted, "node", "left_semi"), "texts")
     verified = written(_verify(pairs, texts, threshold, shingle), "verified")
     root = components(verified.where("same").select("a", "b"))
     open_ = written(steps.join(verified.where("not same").select(F.col("a").alias("node"), F.col("b").alias("least")), ["node", "least"], "left_semi").select("band").distinct(), "open")
@@ -299,9 +301,10 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, threshold: float, bands
         # a root is in no row of its own: its component may still have been joined to another
         every = root.union(root.select("root", "root")).union(named).distinct()
         root = every.join(above, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
-    joined = nodes.select("node", "id", "n").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = joined.groupBy("root").agg(F.min("id").alias("kept"), F.min_by("node", F.struct(F.col("id").isNull(), "id", "node")).alias("kept_node"))
-    return written(joined.join(least, "root").select("node", "id", "n", "kept", "kept_node"), "groups"), signed.select("node", "id")
+    joined = nodes.select("node", "id", "row", "n").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = F.struct(F.col("id").isNull(), "id", "node")
+    least = joined.groupBy("root").agg(F.min("id").alias("kept"), F.min_by("node", first).alias("kept_node"), F.min_by("row", first).alias("kept_row"))
+    return written(joined.join(least, "root").select("node", "id", "n", "kept", "kept_node", "kept_row"), "groups"), signed.select("node", "id", "row")
 
 
 def near_duplicates(
@@ -309,10 +312,8 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, duplicate_of): every row that goes, with the least id of its group."""
     groups, all_rows = _groups(docs, id_col, text_col, threshold, bands, rows, shingle)
-    multiple = groups.where("n > 1 or node != kept_node")
-    of = all_rows.join(multiple.select("node", "kept", (F.col("node") == F.col("kept_node")).alias("stays")), "node")
-    place = F.row_number().over(Window.partitionBy("node").orderBy(F.col("id").asc_nulls_last()))
-    return of.withColumn("place", place).where("not stays or place > 1").select(F.col("id").alias("doc_id"), F.col("kept").alias("duplicate_of"))
+    multiple = groups.where("n > 1 or node != kept_node").select("node", "kept", "kept_row")
+    return all_rows.join(multiple, "node").where("row != kept_row").select(F.col("id").alias("doc_id"), F.col("kept").alias("duplicate_of"))
 
 
 def drop_near_duplicates(
@@ -329,5 +330,5 @@ def drop_near_duplicates(
     marked = marked.where("may").join(rest, "node", "left")
     if not all_rows.groupBy("node", "id").count().where("count > 1").limit(1).count():
         return alone.union(marked.where("stays is null or (stays and id <=> keeper)").select("row.*"))
-    once = marked.where("stays and id <=> keeper").withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("id"))).where("place = 1")
+    once = marked.where("stays and id <=> keeper").groupBy("node").agg(F.first("row").alias("row"))
     return alone.union(marked.where("stays is null").select("row.*")).union(once.select("row.*"))

@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from revlake.llm.kneser_ney import GramCache, discounts
 from revlake.llm.lm_trie import EliasFano, lm_score, pack, unpack
@@ -88,3 +89,9 @@ def test_grams_of_texts():
 def test_empty_table(spark):
     assert lm_score(spark.createDataFrame([], "doc_id int, text string")).collect() == []
     assert lm_score(spark.createDataFrame([(1, None)], "doc_id int, text string")).collect()[0].n_bytes == 0
+
+
+def test_discounts_by_hand():
+    """Chen and Goodman's formulas on counts whose Y is one half, and with too few of them."""
+    assert discounts(120, 60, 30, 10) == pytest.approx((1 - 60 / 120, 2 - 1.5 * 30 / 60, 3 - 2 * 10 / 30))
+    assert discounts(0, 0, 0, 0) == (0.5, 1.0, 1.5) and all(0 < d < k + 1 for k, d in enumerate(discounts(5, 0, 100, 3)))
