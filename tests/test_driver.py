@@ -40,6 +40,8 @@ def test_entry_points_without_the_llm_folders(tmp_path, left):
     shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", *gone))
     code = "import __spark_entry__ as e; q = e.queries(); assert q.keys() == e.oracle_sql().keys() and not [k for k in q if k.startswith('op') or k == 'pipeline'], q; assert len(q) > 50"
     subprocess.run([sys.executable, "-c", code], cwd=copy, env=os.environ | {"PYTHONPATH": str(copy)}, check=True, timeout=120)
+    if not left:
+        return
     # the rest of the tests still stands; this one test is left out of its own copy
     run = [sys.executable, "-m", "pytest", "tests", "-q", "-x", "-k", "scalar or registry or (matches_sql and (pit_asof or late_ingest))"]
     done = subprocess.run(run, cwd=copy, env=os.environ | {"PYTHONPATH": str(copy)}, timeout=600, capture_output=True, text=True)
