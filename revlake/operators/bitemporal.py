@@ -83,12 +83,10 @@ def diff(incoming: DataFrame, stored: DataFrame, keys: Sequence[str], order: Seq
     """
     at = incoming.agg(F.max(order[0])).first()[0] if at is None else at
     known = stored.where(F.col(order[0]) <= F.lit(at))
-    prior = latest_by_key(known, keys, order).select(*keys, F.struct(*[c for c in stored.columns if c not in keys]).alias("_old"))
-    same_key = [F.col(f"n.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys]
-    joined = incoming.alias("n").join(prior.alias("p"), same_key, "left").select("n.*", "_old")
-    fresh = joined.where("_old is null or _old.row_sha256 <> row_sha256")
-    written = stored.where(F.col(order[0]) == F.lit(at)).select(*keys, order[1], F.lit(True).alias("_there"))
-    fresh = fresh.alias("n").join(written.alias("p"), [*same_key, F.col(f"n.{order[1]}") == F.col(f"p.{order[1]}")], "left").where("_there is null").select("n.*")
+    values = F.struct(*[c for c in stored.columns if c not in keys])
+    prior = known.groupBy(*keys).agg(F.max_by(values, F.struct(*order)).alias("_old"), F.collect_set(F.when(F.col(order[0]) == F.lit(at), F.col(order[1]))).alias("_same"))
+    joined = incoming.alias("n").join(prior.alias("p"), [F.col(f"n.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys], "left")
+    fresh = joined.where(F.col("_old").isNull() | (F.col("_old.row_sha256") != F.col("n.row_sha256"))).where(~F.coalesce(F.array_contains("_same", F.col(f"n.{order[1]}")), F.lit(False))).select("n.*", "_old")
     kinds = dict(incoming.dtypes)
     text = lambda c, f: S.canonical_value(c, kinds[f])
     pairs = [

@@ -8,7 +8,7 @@ import pytest
 from revlake import cli, registry
 from revlake.operators import manifest as M
 from revlake.operators import stitch as T
-from revlake.sources import html, http
+from revlake.sources import archives, html, http
 from revlake.store import Store, StoreError, compare_stores, fresh_files, half_of, load_manifest, normal_path, read_json, report, require_schema, schema_version
 
 NOW = datetime(2026, 8, 1, tzinfo=UTC)
@@ -215,3 +215,12 @@ def test_new_data_and_replicas(spark, tmp_path, capsys):
 def test_all_rows_are_printed(spark, capsys):
     cli._print(spark.range(1500), "rows")
     assert len(capsys.readouterr().out.split()) == 1503
+
+
+def test_workbooks_need_only_a_reader(monkeypatch):
+    """The box has no engine for workbooks: what pandas would read with one becomes rows like those of a CSV member."""
+    import pandas as pd
+
+    sheet = pd.DataFrame({" Market ": ["GOLD", None], "Code": ["088691", "1"]})
+    monkeypatch.setattr(pd, "read_excel", lambda data, dtype: sheet)
+    assert list(archives._rows("annual.XLS", b"")) == [{"Market": "GOLD", "Code": "088691"}, {"Market": None, "Code": "1"}]
