@@ -499,7 +499,7 @@ class Trie:
 
 
 def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, bits_per_byte, perplexity) of every row under the trie."""
+    """(doc_id, bits_per_byte, perplexity, n_bytes) of every row under the trie."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     @tidy
@@ -516,10 +516,10 @@ def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
                     bits[a:b] = total[at[:-1]] - total[at[1:]]
             empty = n == 0
             bits = bits / np.maximum(n, 1)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(bits, mask=empty), pa.array(np.exp2(bits), mask=empty)], ["doc_id", "n_bytes", "bits_per_byte", "perplexity"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits, mask=empty), pa.array(np.exp2(bits), mask=empty), pa.array(n)], ["doc_id", "bits_per_byte", "perplexity", "n_bytes"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(score, f"doc_id {kind}, n_bytes long, bits_per_byte double, perplexity double")
+    return rows.mapInArrow(score, f"doc_id {kind}, bits_per_byte double, perplexity double, n_bytes long")
 
 
 def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_tokens: int = PART_TOKENS) -> DataFrame:
