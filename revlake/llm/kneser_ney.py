@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from .common import text_chunks, tidy, written
 
 ORDER = 5
+#: A prime by which contexts are spread over the parts of a model's tables.
+SPREAD = 1_000_003
 
 
 def mask(k: int, bits: int = 8) -> int:
@@ -127,30 +129,42 @@ def levels(counts: DataFrame, order: int = ORDER, bits: int = 8, symbols: int =
 
 
 class ProbabilityTables:
-    """Sorted arrays of one model, joined to batches of grams by binary search, order by order."""
-
-    def __init__(self, tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]):
-        self.order = max(tables, default=0)
-        self.grams = {k: t[0] for k, t in tables.items()}
-        self.p = {k: t[1] for k, t in tables.items()}
-        self.contexts, self.gamma = {}, {}
-        for k, (grams, _, gamma) in tables.items():
-            contexts = grams >> 8
-            first = np.flatnonzero(np.r_[True, contexts[1:] != contexts[:-1]]) if len(grams) else np.zeros(0, int)
-            self.contexts[k], self.gamma[k] = contexts[first], gamma[first]
+    """Sorted arrays of one model, joined to batches of grams by binary search, order by order.
+
+    ``part(i)`` gives the grams, probabilities, contexts and their weights, of each order in turn, of those contexts that
+    are ``i`` modulo ``SPREAD`` and ``parts``, or None if there are none; at most ``held`` parts are kept open.
+    """
+
+    def __init__(self, part: Callable[[int], list[np.ndarray] | None], parts: int, order: int, held: int | None = None):
+        self.part, self.parts, self.order, self.held = part, parts, order, held
+        self.open: dict[int, list[np.ndarray] | None] = {}
+
+    def _part(self, i: int) -> list[np.ndarray] | None:
+        if i not in self.open:
+            if self.held and len(self.open) >= self.held:
+                del self.open[next(iter(self.open))]
+            self.open[i] = self.part(i)
+        return self.open[i]
 
     def log2(self, grams: np.ndarray) -> np.ndarray:
         """log2 of the smoothed probability of each gram's last byte."""
         p = np.full(len(grams), 1 / 256)
         for k in range(1, self.order + 1):
-            if not len(self.grams[k]):
-                continue
             x = grams & mask(k)
-            i = np.minimum(np.searchsorted(self.grams[k], x), len(self.grams[k]) - 1)
-            hit = self.grams[k][i] == x
-            j = np.minimum(np.searchsorted(self.contexts[k], x >> 8), len(self.contexts[k]) - 1)
-            weight = np.where(self.contexts[k][j] == x >> 8, self.gamma[k][j], 1.0)
-            p = np.where(hit, self.p[k][i], weight * p)
+            of = (x >> 8) % SPREAD % self.parts
+            by = np.argsort(of, kind="stable")
+            cuts = np.flatnonzero(np.r_[True, np.diff(of[by]) != 0, True]) if len(of) else []
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                own = by[a:b]
+                tables = self._part(int(of[own[0]]))
+                if tables is None or not len(tables[4 * k - 4]):
+                    continue
+                known, prob, contexts, gamma = tables[4 * k - 4 : 4 * k]
+                y = x[own]
+                i = np.minimum(np.searchsorted(known, y), len(known) - 1)
+                j = np.minimum(np.searchsorted(contexts, y >> 8), len(contexts) - 1)
+                weight = np.where(contexts[j] == y >> 8, gamma[j], 1.0)
+                p[own] = np.where(known[i] == y, prob[i], weight * p[own])
         return np.log2(p)
 
 
@@ -219,4 +233,4 @@ def text_log2(cache: GramCache, data: np.ndarray, offsets: np.ndarray, order: in
     return sums
 
 
-__all__ = ["ORDER", "GramCache", "ProbabilityTables", "byte_grams", "discounts", "gram_counts", "levels", "mask", "text_log2"]
+__all__ = ["ORDER", "SPREAD", "GramCache", "ProbabilityTables", "byte_grams", "discounts", "gram_counts", "levels", "mask", "text_log2"]

@@ -1,11 +1,12 @@
 """Quality classifier: Kneser-Ney perplexity under models of trusted text, cut at quantiles of each language.
 
-Trusted documents are those labelled of good quality and not toxic. Of each language at most ``TRUSTED`` of them (a
-bound on labelled rows, drawn by a hash of id) are used: four of five to count n-grams, whose sharded tables are
-joined order by order into smoothed probabilities, the fifth to find the quantile of perplexity that trusted
-text stays below. Everything else covers all documents. The score of a text is its perplexity per byte, drawn towards
-the language's median as if ``PRIOR`` bytes of median text preceded it, so a few odd words don't condemn a short text.
-Digits count as one symbol: numbers are no sign of quality.
+Trusted documents are those labelled of good quality and not toxic. All of them are used: of each language four of five (by
+a hash of id) to count n-grams, whose sharded tables are joined order by order into smoothed probabilities, the fifth
+to find the quantile of perplexity that trusted text stays below. The score of a text is its perplexity per byte, drawn
+towards the language's median as if ``PRIOR`` bytes of median text preceded it, so a few odd words don't condemn a short
+text. Digits count as one symbol: numbers are no sign of quality.
+
+The joined tables of a language are files of some ``PART_GRAMS`` grams each, by context; tasks map them into memory.
 
 A document in a language without trusted text (or without a language) has no model: perplexity, score and
 threshold are null and it is kept. So is a null or empty text. Rows with equal ids are scored each on its own.
@@ -20,83 +21,114 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bitmap import bitmap, may_hold
 from .common import map_file, put_file, resident, shared_dir, text_chunks, tidy, written
-from .kneser_ney import ORDER, GramCache, ProbabilityTables, gram_counts, levels, text_log2
+from .kneser_ney import ORDER, SPREAD, GramCache, ProbabilityTables, gram_counts, levels, text_log2
 from .lm_trie import pack, unpack
 
-TRUSTED = 10_000
 QUANTILE = 0.99
 PRIOR = 50
 #: Bits by which sums over the same text may differ: a trusted text on the threshold is kept.
 ROUNDING = 1e-5
-#: Most sampled ids that are broadcast to find their texts; beyond, a shuffled join finds them.
+#: Most trusted ids that are broadcast to find their texts; beyond, a shuffled join finds them.
 BROADCAST_ROWS = 500_000
+#: Grams of all orders in one file of a model's tables, about.
+PART_GRAMS = 1 << 19
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")
 
 
-def trusted_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, trusted: int) -> DataFrame:
-    """(model, text, held) of the sampled trusted documents, in the shared folder."""
+def trusted_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, trusted: int | None = None) -> DataFrame:
+    """(model, text, held) of all trusted documents, or of some ``trusted`` of each language, in the shared folder."""
     good = labels.where("quality = 1 and toxic = 0").select(F.col("doc_id").alias("id")).distinct()
-    known = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").alias("model")).where("model is not null").join(good, "id").distinct()
-    known = written(known, "trusted")
-    n = F.col("n").cast("double")
-    share = known.groupBy("model").agg(F.count("*").alias("n"))
-    part = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 1_000_000
-    sample = known.join(F.broadcast(share), "model").where(part < F.lit(trusted) / n).select("id", "model", (F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(5)) == 0).alias("held"))
-    sample = written(sample, "sample")
-    if sample.count() <= BROADCAST_ROWS:
-        sample = F.broadcast(sample)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").alias("model"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return written(rows.join(sample, ["id", "model"]).where("text != ''").select("model", F.translate("text", "123456789", "0" * 9).alias("text"), "held"), "texts")
-
-
-def write_models(texts: DataFrame, order: int) -> dict[str, str]:
-    """{language: file of its probability tables}."""
+    known = rows.where("model is not null").select("id", "model").join(good, "id", "left_semi").distinct()
+    if trusted is not None:
+        known = written(known, "trusted")
+        share = known.groupBy("model").agg(F.count("*").cast("double").alias("n"))
+        part = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 1_000_000
+        known = known.join(F.broadcast(share), "model").where(part < F.lit(trusted) / F.col("n")).select("id", "model")
+    known = written(known, "known")
+    count = known.count()
+    rows = rows.where("text != ''")
+    if count <= BROADCAST_ROWS:
+        known = F.broadcast(known)
+    else:  # texts that can't be trusted stay out of the shuffle
+        node = F.unhex(F.md5(F.col("id").cast("string")))
+        rows = rows.where(may_hold(node, bitmap(known.select(node.alias("node")), count)))
+    rows = rows.join(known, ["id", "model"], "left_semi")
+    return written(rows.select("model", F.translate("text", "123456789", "0" * 9).alias("text"), (F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(5)) == 0).alias("held")), "texts")
+
+
+def write_models(texts: DataFrame, order: int) -> dict[str, dict]:
+    """{language: what ``_open`` takes}."""
     every = None
     for k, t in levels(gram_counts(texts, order), order).items():
         t = t.select("model", F.lit(k).alias("k"), "gram", "p", "gamma")
         every = t if every is None else every.unionByName(t)
+    sizes = {r["model"]: r["count"] for r in every.groupBy("model").count().collect()}
+    if not sizes:
+        return {}
     folder = shared_dir(texts.sparkSession, "quality")
+    models = {m: {"folder": f"{folder}/{i}", "parts": n // PART_GRAMS | 1, "made": [], "order": order} for i, (m, n) in enumerate(sorted(sizes.items()))}
+    flat = [x for i, (m, v) in enumerate(models.items()) for x in (F.lit(m), F.array(F.lit(i), F.lit(v["parts"])))]
+    place = F.element_at(F.create_map(*flat), F.col("model"))
+    part = (F.shiftright("gram", 8) % SPREAD % F.element_at(place, 2)).cast("int")
+    placed = every.select(F.element_at(place, 1).alias("number"), part.alias("part"), "k", "gram", "p", "gamma")
 
     @tidy
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, dict[int, list]] = {}
-        for batch in batches:
-            model, k = np.asarray(batch.column("model").to_pylist(), object), batch.column("k").to_numpy()
-            columns = [batch.column(c).to_numpy() for c in ("gram", "p", "gamma")]
-            for m in dict.fromkeys(model.tolist()):
-                for j in np.unique(k[model == m]):
-                    own = (model == m) & (k == j)
-                    held.setdefault(m, {}).setdefault(int(j), []).append([c[own] for c in columns])
-        names, files = [], []
-        for m, parts in held.items():
+        # The rows are sorted, so a part is whole when the next one begins.
+        held: list[list[np.ndarray]] = []
+        name, numbers, parts = None, [], []
+
+        def put() -> None:
+            k, gram, p, gamma = (np.concatenate(c) for c in zip(*held, strict=True))
             arrays = []
-            for k in range(1, order + 1):
-                columns = [np.concatenate(c) for c in zip(*parts[k], strict=True)]
-                by = np.argsort(columns[0], kind="stable")
-                arrays += [columns[0][by], columns[1][by].astype(np.float32), columns[2][by].astype(np.float32)]
-            names.append(m)
-            files.append(f"{folder}/{m.encode().hex()}.tables")
-            put_file(files[-1], pack(arrays))
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(files, pa.string())], ["model", "file"])
+            cuts = np.searchsorted(k, np.arange(1, order + 2))
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                context = gram[a:b] >> 8
+                first = np.flatnonzero(np.diff(context, prepend=-1))
+                arrays += [gram[a:b], p[a:b].astype(np.float32), context[first], gamma[a:b][first].astype(np.float32)]
+            put_file(f"{folder}/{name[0]}/{name[1]}.tables", pack(arrays))
+            numbers.append(name[0])
+            parts.append(name[1])
+            held.clear()
+
+        for batch in batches:
+            number, part, *columns = (batch.column(c).to_numpy() for c in ("number", "part", "k", "gram", "p", "gamma"))
+            cuts = np.flatnonzero(np.r_[True, (np.diff(number) != 0) | (np.diff(part) != 0), True]) if len(number) else []
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if held and name != (number[a], part[a]):
+                    put()
+                name = number[a], part[a]
+                held.append([c[a:b] for c in columns])
+        if held:
+            put()
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(parts, pa.int32())], ["number", "part"])
+
+    by_number = list(models.values())
+    tasks = sum(v["parts"] for v in by_number)
+    for r in placed.repartition(tasks, "number", "part").sortWithinPartitions("number", "part", "k", "gram").mapInArrow(write, "number int, part int").collect():
+        by_number[r["number"]]["made"].append(r["part"])
+    return models
+
 
-    made = every.repartition("model").mapInArrow(write, "model string, file string").collect()
-    return {r["model"]: r["file"] for r in made}
+def _open(folder: str, parts: int, made: list[int], order: int) -> GramCache:
+    known = frozenset(made)
 
+    def part(i: int) -> list[np.ndarray] | None:
+        return unpack(map_file(f"{folder}/{i}.tables")) if i in known else None
 
-def _open(uri: str) -> GramCache:
-    parts = unpack(map_file(uri))
-    tables = {k + 1: tuple(parts[3 * k : 3 * k + 3]) for k in range(len(parts) // 3)}
-    return GramCache(ProbabilityTables(tables).log2, bits=19)
+    return GramCache(ProbabilityTables(part, parts, order, None if folder.startswith("file:") else 16).log2, bits=19)
 
 
-def _bits(lang: pa.Array, text: pa.Array, files: dict[str, str], order: int) -> tuple[np.ndarray, np.ndarray]:
+def _bits(lang: pa.Array, text: pa.Array, models: dict[str, dict], order: int) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, total bits) of each text; NaN bits where there is no model."""
     n, bits = np.zeros(len(text), np.int64), np.full(len(text), np.nan)
     names = np.asarray(lang.to_pylist(), object)
     for name in dict.fromkeys(names.tolist()):
         own = np.flatnonzero([x == name for x in names])
-        cache = resident("quality", files[name], lambda name=name: _open(files[name]), 8) if name in files else None
+        cache = resident("quality", models[name]["folder"], lambda name=name: _open(**models[name]), 8) if name in models else None
         for a, b, data, offsets in text_chunks(text.take(pa.array(own))):
             n[own[a:b]] = np.diff(offsets)
             if cache:
@@ -106,14 +138,14 @@ def _bits(lang: pa.Array, text: pa.Array, files: dict[str, str], order: int) ->
 
 
 class Classifier:
-    """Models and thresholds; both are a few numbers and file names for each language."""
+    """Models and thresholds; both are a few numbers and the place of the tables for each language."""
 
-    def __init__(self, files: dict[str, str], median: dict[str, float], threshold: dict[str, float], order: int):
-        self.files, self.median, self.threshold, self.order = files, median, threshold, order
+    def __init__(self, models: dict[str, dict], median: dict[str, float], threshold: dict[str, float], order: int):
+        self.models, self.median, self.threshold, self.order = models, median, threshold, order
 
     def score(self, lang: pa.Array, text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(bytes, bits per byte, score in bits, threshold in bits); NaN where there is none."""
-        n, bits = _bits(lang, text, self.files, self.order)
+        n, bits = _bits(lang, text, self.models, self.order)
         names = lang.to_pylist()
         median = np.array([self.median.get(x, np.nan) for x in names])
         limit = np.array([self.threshold.get(x, np.nan) for x in names])
@@ -127,15 +159,15 @@ class Classifier:
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", trusted: int = TRUSTED, quantile: float = QUANTILE, order: int = ORDER
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", trusted: int | None = None, quantile: float = QUANTILE, order: int = ORDER
 ) -> Classifier:
     texts = trusted_texts(docs, labels, id_col, text_col, lang_col, trusted)
-    files = write_models(texts.where("not held"), order)
+    models = write_models(texts.where("not held"), order)
 
     @tidy
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, bits = _bits(batch.column("model"), batch.column("text"), files, order)
+            n, bits = _bits(batch.column("model"), batch.column("text"), models, order)
             yield pa.RecordBatch.from_arrays([batch.column("model"), pa.array(n), pa.array(bits, mask=np.isnan(bits))], ["model", "n", "bits"])
 
     scored = written(texts.where("held").mapInArrow(score, "model string, n long, bits double").where("bits is not null"), "held")
@@ -145,7 +177,7 @@ def fit(
         return Classifier({}, {}, {}, order)
     drawn = (F.col("bits") + PRIOR * F.element_at(F.create_map(*flat), F.col("model"))) / (F.col("n") + PRIOR)
     limit = {r["model"]: r["t"] for r in scored.groupBy("model").agg(F.percentile(drawn, F.lit(quantile)).alias("t")).collect()}
-    return Classifier({m: f for m, f in files.items() if m in limit}, median, limit, order)
+    return Classifier({m: v for m, v in models.items() if m in limit}, median, limit, order)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:

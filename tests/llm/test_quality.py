@@ -83,6 +83,30 @@ def test_bounded_sample_and_shuffled_join(spark, monkeypatch):
     assert {r.model for r in n} == {"en", "fr"} and all(2 <= r["count"] <= 22 for r in n)
 
 
+def test_every_trusted_text_is_used(spark):
+    """More than 10,000 of one language: model and thresholds are those of all of them."""
+    rng = random.Random(5)
+    docs = [(i, "en", " ".join(rng.choices(["river", "stone", "old", "evening", "light", f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}"], k=rng.randint(1, 3)))) for i in range(14_000)]
+    labels = [(i, 1, 0) for i, *_ in docs]
+    df, marks = spark.createDataFrame(docs, "doc_id long, lang string, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert quality.trusted_texts(df, marks, "doc_id", "text", "lang").count() == len(docs)
+    limit = quality.fit(df, marks, order=3).threshold["en"]
+    assert limit == pytest.approx(expected(spark, docs, labels, 3)[0][1], abs=1e-5)
+
+
+def test_parts_and_shuffled_join_change_nothing(spark, monkeypatch):
+    docs, labels = fixture()
+    df, marks = spark.createDataFrame(docs, "doc_id long, lang string, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rows = lambda: sorted(map(tuple, classify(df, marks, order=3).collect()), key=lambda r: str(r[:3]))
+    want = rows()
+    monkeypatch.setattr(quality, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(quality, "PART_GRAMS", 50)
+    models = quality.write_models(quality.trusted_texts(df, marks, "doc_id", "text", "lang").where("not held"), 3)
+    assert models.keys() == {"en", "fr"} and all(len(m["made"]) > 2 for m in models.values()), models
+    for a, b in zip(rows(), want, strict=True):
+        assert a[:3] + a[6:] == b[:3] + b[6:] and [x or 0 for x in a[3:6]] == pytest.approx([x or 0 for x in b[3:6]], rel=1e-6)
+
+
 def test_empty_tables(spark):
     docs, labels = fixture()
     df, marks = spark.createDataFrame(docs, "doc_id long, lang string, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
