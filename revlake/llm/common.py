@@ -9,7 +9,7 @@ import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,13 +49,14 @@ def shared_fs(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
 
-def put_file(uri: str, data: bytes) -> None:
-    """Write a whole file; a retried or doubled task leaves the same bytes under the same name."""
+def put_file(uri: str, data: bytes | Iterable[bytes]) -> None:
+    """Write a whole file, in one or block by block; a retried or doubled task leaves the same bytes under the same name."""
     fs, path = shared_fs(uri)
     fs.create_dir(os.path.dirname(path), recursive=True)
     part = f"{path}.{uuid.uuid4().hex}"
     with fs.open_output_stream(part) as out:
-        out.write(data)
+        for block in [data] if isinstance(data, bytes) else data:
+            out.write(block)
     fs.move(part, path)
 
 

@@ -10,7 +10,8 @@ The trie has a root of all symbols (with probability and back-off weight), pairs
 parts of their middle one. The successors of a symbol are kept as ranks among the root's symbols, those of a context
 (a, b) as ranks among the successors of b, the context without its first symbol: small numbers, made monotone by adding
 the end of the sibling range before. They, the contexts and the starts of sibling ranges are Elias-Fano sequences; a gram
-is found by a successor search in its siblings. Each part is one file in the shared folder, which scoring tasks map into memory.
+is found by a successor search in its siblings. Groups of parts are files in the shared folder, which scoring tasks map into memory;
+one call looks up in all parts of a group.
 
 A score is the bits of all symbols of a text over its bytes. Null and empty texts have no bytes: 0 bytes and a null score. Rows with
 equal ids stay as they are, rows with equal texts get equal scores, and each counts as often as it occurs. Texts may be of any
@@ -37,6 +38,10 @@ STEP = 1 / 1024
 NONE = 65535
 #: Tokens of the corpus for each part, and distinct grams that a task holds before it hands them on.
 PART_TOKENS, HELD_GRAMS = 2_000_000, 2_000_000
+#: Grams of texts that are scored together.
+SCORED_GRAMS = 1_000_000
+#: Parts of one file at most, and grams that are looked up at once: enough to outweigh a call, few enough for the CPU's cache.
+GROUP_PARTS, LOOKED_UP = 16, 1 << 15
 #: Files of counts of single symbols.
 SLICES = 16
 _MASK = (1 << TOKEN_BITS) - 1
@@ -62,11 +67,36 @@ def _select(words: np.ndarray, before: np.ndarray, i: np.ndarray, flip: np.uint6
     return (word << 6) + shift.astype(np.int64) + _IN_BYTE[((w >> shift & np.uint64(255)) << np.uint64(3) | r).astype(np.int64)]
 
 
-class EliasFano:
-    """A strictly or weakly increasing sequence of numbers from 0: low bits packed, high bits in unary."""
+def _trailing_ones(words: np.ndarray, at: np.ndarray, flip: np.uint64) -> np.ndarray:
+    """How many set bits of ``words ^ flip`` stand in a row from each position, up to 64."""
+    word, shift = at >> 6, (at & 63).astype(np.uint64)
+    window = (words[word] ^ flip) >> shift
+    after = np.minimum(word + 1, len(words) - 1)
+    window |= (words[after] ^ flip) << np.uint64(63) - shift << np.uint64(1)
+    clear = ~window
+    return np.bitwise_count((clear & -clear) - np.uint64(1)).astype(np.int64)
+
 
-    def __init__(self, n: int, bits: int, low: np.ndarray, words: np.ndarray, ones: np.ndarray, zeros: np.ndarray):
-        self.n, self.bits, self.low, self.words, self.ones, self.zeros = n, bits, low, words, ones, zeros
+_FLIP = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+
+class EliasFano:
+    """Strictly or weakly increasing sequences of numbers from 0, one for each segment: low bits packed, high bits in unary.
+
+    The segments' bits stand one after the other, so one call looks up in all of them. A place counts through all segments.
+    """
+
+    def __init__(self, head: np.ndarray, low: np.ndarray, words: np.ndarray, ones: np.ndarray, zeros: np.ndarray):
+        self.head, self.low, self.words, self.ones, self.zeros = head, low, words, ones, zeros
+        n, self.bits, size, length = head.reshape(-1, 4).T
+        start = lambda x: np.cumsum(x) - x
+        self.n, self.first = int(n.sum()), start(n)
+        self.gaps = (length << 6) - n
+        self.zero = start(self.gaps)
+        self.end = self.first + n
+        self.low_bit = (start(size) << 3) - self.first * self.bits
+        self.mask = (np.int64(1) << self.bits) - 1
+        self.low64 = np.ndarray((max(0, len(low) - 7),), np.uint64, low, 0, (1,))
 
     @staticmethod
     def encode(values: np.ndarray) -> EliasFano:
@@ -75,79 +105,108 @@ class EliasFano:
         universe = int(values[-1]) + 1 if n else 1
         bits = max(0, (universe // max(n, 1)).bit_length() - 1)
         blocks = [values[a : a + 65536] for a in range(0, n, 65536)] if bits else []
-        low = np.concatenate([np.zeros(0, np.uint8), *[np.packbits(((v[:, None] >> np.arange(bits)) & 1).astype(np.uint8).ravel(), bitorder="little") for v in blocks]])
+        low = np.concatenate([np.zeros(0, np.uint8), *[np.packbits(((v[:, None] >> np.arange(bits)) & 1).astype(np.uint8).ravel(), bitorder="little") for v in blocks], np.zeros(8, np.uint8)])
         unary = np.zeros(-(-(n + (universe >> bits) + 2) // 64) * 64, np.uint8)
         unary[(values >> bits) + np.arange(n)] = 1
         words = np.packbits(unary, bitorder="little").view(np.uint64)
         ones = np.cumsum(np.bitwise_count(words), dtype=np.int64) - np.bitwise_count(words)
-        return EliasFano(n, bits, np.r_[low, np.zeros(8, np.uint8)], words, ones.astype(np.uint32), (np.arange(len(words)) * 64 - ones).astype(np.uint32))
-
-    def _low(self, i: np.ndarray) -> np.ndarray:
-        if not self.bits:
-            return np.zeros(len(i), np.int64)
-        bit = i * self.bits
-        byte = bit >> 3
-        out = np.zeros(len(i), np.uint64)
-        for k in range((self.bits + 7) // 8 + 1):
-            out |= self.low[byte + k].astype(np.uint64) << np.uint64(8 * k)
-        return ((out >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
-
-    def get(self, i: np.ndarray) -> np.ndarray:
-        return (_select(self.words, self.ones, i, np.uint64(0)) - i << self.bits) | self._low(i)
+        return EliasFano(np.array([n, bits, len(low), len(words)]), low, words, ones.astype(np.uint32), (np.arange(len(words)) * 64 - ones).astype(np.uint32))
 
-    def _search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place of the first element that is at least x, whether it has the high bits of x).
+    @staticmethod
+    def joined(parts: list[EliasFano]) -> list[list[np.ndarray]]:
+        """Pieces of the arrays of a sequence whose segments are those of all parts."""
+        n, zeros = (np.cumsum([0, *x]).astype(np.uint32) for x in ([p.n for p in parts], [int(p.gaps.sum()) for p in parts]))
+        return [[p.head for p in parts], [p.low for p in parts], [p.words for p in parts], [p.ones + k for p, k in zip(parts, n)], [p.zeros + k for p, k in zip(parts, zeros)]]
+
+    def _low(self, i: np.ndarray, segment: np.ndarray) -> np.ndarray:
+        bit = i * self.bits[segment] + self.low_bit[segment]
+        return (self.low64[bit >> 3] >> (bit & 7).astype(np.uint64)).astype(np.int64) & self.mask[segment]
+
+    def _value(self, at: np.ndarray, i: np.ndarray, segment: np.ndarray) -> np.ndarray:
+        """Value of the i-th number, whose bit of the high ones stands at ``at``."""
+        return (at - i - self.zero[segment] << self.bits[segment]) | self._low(i, segment)
+
+    def get(self, i: np.ndarray, segment: np.ndarray | None = None) -> np.ndarray:
+        return self._value(_select(self.words, self.ones, i, np.uint64(0)), i, np.zeros(len(i), np.int64) if segment is None else segment)
+
+    def get_two(self, i: np.ndarray, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values of the i-th number and the next, which is of the same segment."""
+        at = _select(self.words, self.ones, i, np.uint64(0))
+        gap = _trailing_ones(self.words, at + 1, _FLIP)
+        then = at + 1 + gap
+        far = np.flatnonzero(gap == 64)
+        if len(far):
+            then[far] = _select(self.words, self.ones, i[far] + 1, np.uint64(0))
+        return self._value(at, i, segment), self._value(then, i + 1, segment)
+
+    def _search(self, x: np.ndarray, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the segment's first element that is at least x, whether it has the high bits of x).
 
         The elements with these high bits are a range between two zeros, where the low bits are searched by halves.
+        A segment's last bit is a zero, so the first range of the next one stands between two zeros, too.
         """
-        high, last = x >> self.bits, (len(self.words) << 6) - self.n - 1
-        i, end = np.full(len(x), self.n), np.full(len(x), self.n)
-        inside = np.flatnonzero(high <= last)
-        flip = np.uint64(0xFFFFFFFFFFFFFFFF)
-        end[inside] = _select(self.words, self.zeros, high[inside], flip) - high[inside]
-        i[inside[high[inside] == 0]] = 0
-        later = inside[high[inside] > 0]
-        if len(later):
-            i[later] = _select(self.words, self.zeros, high[later] - 1, flip) + 1 - high[later]
-        low, till, open_ = x & (1 << self.bits) - 1, end.copy(), np.flatnonzero(i < end)
+        high, i = x >> self.bits[segment], self.end[segment]
+        end, inside = i.copy(), np.flatnonzero(high < self.gaps[segment])
+        zero = high[inside] + self.zero[segment[inside]]
+        at = np.where(zero > 0, _select(self.words, self.zeros, np.maximum(zero - 1, 0), _FLIP) + 1, 0)
+        run = _trailing_ones(self.words, at, np.uint64(0))
+        i[inside] = at - zero
+        end[inside] = at - zero + run
+        far = np.flatnonzero(run == 64)
+        if len(far):
+            end[inside[far]] = _select(self.words, self.zeros, zero[far], _FLIP) - zero[far]
+        open_ = np.flatnonzero(i < end)
+        own, first, till = segment[open_], i[open_], end[open_]
+        low = x[open_] & self.mask[own]
         while len(open_):
-            middle = i[open_] + till[open_] >> 1
-            less = self._low(middle) < low[open_]
-            i[open_[less]] = middle[less] + 1
-            till[open_[~less]] = middle[~less]
-            open_ = open_[i[open_] < till[open_]]
+            middle = first + till >> 1
+            less = self._low(middle, own) < low
+            first, till = np.where(less, middle + 1, first), np.where(less, till, middle)
+            going = np.flatnonzero(first < till)
+            if len(going) < len(open_):
+                i[open_] = first
+                open_, own, first, till, low = (c[going] for c in (open_, own, first, till, low))
         return i, i < end
 
-    def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, value) of the first element that is at least x; place n and value -1 if there is none."""
-        i, _ = self._search(x)
+    def successor(self, x: np.ndarray, segment: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(place, value) of the segment's first element that is at least x; its end and value -1 if there is none."""
+        segment = np.zeros(len(x), np.int64) if segment is None else segment
+        i, _ = self._search(x, segment)
         value = np.full(len(x), -1, np.int64)
-        there = np.flatnonzero(i < self.n)
+        there = np.flatnonzero(i < self.end[segment])
         if len(there):
-            value[there] = self.get(i[there])
+            value[there] = self.get(i[there], segment[there])
         return i, value
 
-    def find(self, x: np.ndarray) -> np.ndarray:
-        """Place of the first element equal to x, -1 if there is none: its successor, which is x."""
-        i, near = self._search(x)
+    def find(self, x: np.ndarray, segment: np.ndarray | None = None) -> np.ndarray:
+        """Place of the segment's first element equal to x, -1 if there is none: its successor, which is x."""
+        segment = np.zeros(len(x), np.int64) if segment is None else segment
+        i, near = self._search(x, segment)
         at = np.flatnonzero(near)
         i[~near] = -1
-        i[at[self._low(i[at]) != x[at] & (1 << self.bits) - 1]] = -1
+        own = segment[at]
+        i[at[self._low(i[at], own) != x[at] & self.mask[own]]] = -1
         return i
 
     def arrays(self) -> list[np.ndarray]:
-        return [np.array([self.n, self.bits], np.int64), self.low, self.words, self.ones, self.zeros]
+        return [self.head, self.low, self.words, self.ones, self.zeros]
 
     @staticmethod
     def from_arrays(parts: list[np.ndarray]) -> EliasFano:
-        return EliasFano(int(parts[0][0]), int(parts[0][1]), *parts[1:])
+        return EliasFano(*parts)
+
+
+def file_blocks(arrays: list[list[np.ndarray]]) -> Iterator[bytes]:
+    """One file: a line of JSON with each array's type and length, then the arrays, each of pieces, at multiples of 8 bytes."""
+    head = json.dumps([[str(a[0].dtype), sum(map(len, a))] for a in arrays]).encode()
+    yield head + b" " * (-(len(head) + 1) % 8) + b"\n"
+    for a in arrays:
+        yield from (x.tobytes() for x in a)
+        yield b"\0" * (-sum(x.nbytes for x in a) % 8)
 
 
 def pack(arrays: list[np.ndarray]) -> bytes:
-    """One file: a line of JSON with each array's type and length, then the arrays at multiples of 8 bytes."""
-    head = json.dumps([[str(a.dtype), len(a)] for a in arrays]).encode()
-    head += b" " * (-(len(head) + 1) % 8) + b"\n"
-    return head + b"".join(a.tobytes() + b"\0" * (-a.nbytes % 8) for a in arrays)
+    return b"".join(file_blocks([[a] for a in arrays]))
 
 
 def unpack(data: np.ndarray) -> list[np.ndarray]:
@@ -367,13 +426,19 @@ def smoothed(context: np.ndarray, n: np.ndarray, d: list[float], low: np.ndarray
     return (n - less) / total[run] + gamma[run] * low, gamma, cuts
 
 
-def encode_pairs(pair: np.ndarray, n: np.ndarray, d: list[float], root: Root) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(arrays of a part of pairs, p, rank among the siblings)."""
-    p, gamma, cuts = smoothed(pair >> TOKEN_BITS, n, d, root.p[pair & _MASK])
-    rank = np.arange(len(pair)) - np.repeat(cuts[:-1], np.diff(cuts)) + 1
-    first = pair[cuts[:-1]] >> TOKEN_BITS if len(pair) else pair
-    value = _siblings(root.place[pair & _MASK], pair >> TOKEN_BITS)
-    return [*EliasFano.encode(first).arrays(), *EliasFano.encode(cuts).arrays(), *EliasFano.encode(value).arrays(), quantise(gamma), quantise(p)], p, rank
+Encoded = tuple[EliasFano, EliasFano, EliasFano, np.ndarray, np.ndarray]
+
+
+def encode_level(context: np.ndarray, rank: np.ndarray, p: np.ndarray, gamma: np.ndarray, cuts: np.ndarray) -> Encoded:
+    """Owners, starts of their children, the children's ranks, codes of weights and of probabilities: of one part."""
+    owners = context[cuts[:-1]] if len(context) else context
+    return *map(EliasFano.encode, (owners, cuts, _siblings(rank, context))), quantise(gamma), quantise(p)
+
+
+def join_parts(parts: list[Encoded]) -> list[list[np.ndarray]]:
+    """Pieces of the arrays of a group of parts, which are its segments: what ``Level`` takes."""
+    *sequences, weight, code = map(list, zip(*parts, strict=True))
+    return [*(a for x in sequences for a in EliasFano.joined(x)), weight, code]
 
 
 def build_trie(docs: DataFrame, text_col: str = "text", part_tokens: int = PART_TOKENS) -> dict | None:
@@ -389,78 +454,88 @@ def build_trie(docs: DataFrame, text_col: str = "text", part_tokens: int = PART_
     stats = count_levels(docs, text_col, vocabulary, parts, folder)
     d = {k: [0.0, *discounts(*v[:4])] for k, v in stats.items()}
 
+    group = max(1, min(GROUP_PARTS, -(-n // (3 * spark.sparkContext.defaultParallelism))))
+
+    def encode_part(root: Root, part: int) -> tuple[Encoded, Encoded]:
+        """The pairs and triples of a part; those pairs that its triples end in may be of other parts."""
+        key, count = _read(folder, 3, part)
+        b, pair = key >> 2 * TOKEN_BITS, key >> 2 * TOKEN_BITS << TOKEN_BITS | key & _MASK
+        low, rank = np.zeros(len(key)), np.zeros(len(key), np.int64)
+        of = parts.of_symbol(b)
+        for other in sorted({part, *np.unique(of).tolist()}):
+            have, times = _read(folder, 2, other)
+            p, gamma, cuts = smoothed(have >> TOKEN_BITS, times, d[2], root.p[have & _MASK])
+            if other == part:
+                pairs = encode_level(have >> TOKEN_BITS, root.place[have & _MASK], p, gamma, cuts)
+            own = np.flatnonzero(of == other)
+            at = np.searchsorted(have, pair[own])
+            place = np.arange(len(have)) - np.repeat(cuts[:-1], np.diff(cuts)) + 1
+            low[own], rank[own] = p[at], place[at]
+        return pairs, encode_level(key >> TOKEN_BITS, rank, *smoothed(key >> TOKEN_BITS, count, d[3], low))
+
     @tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         root = resident("lm", folder + "/root", lambda: Root(folder, symbols, d[1]), 2)
         for batch in batches:
-            for part in batch.column("id").to_pylist():
-                key, n = _read(folder, 3, part)
-                b, pair = key >> 2 * TOKEN_BITS, key >> 2 * TOKEN_BITS << TOKEN_BITS | key & _MASK
-                low, rank = np.zeros(len(key)), np.zeros(len(key), np.int64)
-                of = parts.of_symbol(b)
-                for other in sorted({part, *np.unique(of).tolist()}):
-                    have, count = _read(folder, 2, other)
-                    arrays, p, place = encode_pairs(have, count, d[2], root)
-                    if other == part:
-                        put_file(f"{folder}/{part}.pairs", pack(arrays))
-                    own = np.flatnonzero(of == other)
-                    at = np.searchsorted(have, pair[own])
-                    low[own], rank[own] = p[at], place[at]
-                p, gamma, cuts = smoothed(key >> TOKEN_BITS, n, d[3], low)
-                context = key[cuts[:-1]] >> TOKEN_BITS if len(key) else key
-                arrays = [*EliasFano.encode(context).arrays(), *EliasFano.encode(cuts).arrays(), *EliasFano.encode(_siblings(rank, key >> TOKEN_BITS)).arrays(), quantise(gamma), quantise(p)]
-                put_file(f"{folder}/{part}.triples", pack(arrays))
+            for first in batch.column("id").to_pylist():
+                pairs, triples = zip(*(encode_part(root, part) for part in range(first, min(n, first + group))), strict=True)
+                put_file(f"{folder}/{first // group}.pairs", file_blocks(join_parts(pairs)))
+                del pairs
+                put_file(f"{folder}/{first // group}.triples", file_blocks(join_parts(triples)))
         yield pa.RecordBatch.from_arrays([pa.array([0])], ["done"])
 
-    spark.range(0, n, 1, n).mapInArrow(encode, "done long").count()
+    spark.range(0, n, group, -(-n // group)).mapInArrow(encode, "done long").count()
     root = Root(folder, symbols, d[1])
     put_file(f"{folder}/root", pack([root.symbols.astype(np.int32), quantise(root.p[root.symbols])]))
     delete_dir(*[f"{folder}/counts{k}" for k in (1, 2, 3)])
-    return {"folder": folder, "parts": n, "hot": parts.hot.tolist(), "pieces": parts.pieces.tolist(), "gamma": float(root.gamma), "symbols": symbols, "vocabulary": vocabulary}
+    return {"folder": folder, "parts": n, "group": group, "hot": parts.hot.tolist(), "pieces": parts.pieces.tolist(), "gamma": float(root.gamma), "symbols": symbols, "vocabulary": vocabulary}
 
 
 class Level:
-    """Sibling ranges below sorted owners: pairs below symbols, triples below contexts."""
+    """Sibling ranges below sorted owners, in the segments of a group: pairs below symbols, triples below contexts."""
 
     def __init__(self, uri: str):
         parts = unpack(map_file(uri))
         self.owners, self.starts, self.ids = (EliasFano.from_arrays(parts[5 * k : 5 * k + 5]) for k in range(3))
         self.weight, self.code = parts[15], parts[16]
 
-    def range_of(self, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def range_of(self, owner: np.ndarray, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(weight code, first child, end, value before the first child's) of each owner; no weight and no children if it has none."""
-        i = self.owners.find(owner)
+        i = self.owners.find(owner, segment)
         own = np.flatnonzero(i >= 0)
         weight, lo, hi, before = np.full(len(owner), NONE, np.int64), *(np.zeros(len(owner), np.int64) for _ in range(3))
         if len(own):
-            weight[own], lo[own], hi[own] = self.weight[i[own]], self.starts.get(i[own]), self.starts.get(i[own] + 1)
-            inner = np.flatnonzero(lo)
-            before[inner] = self.ids.get(lo[inner] - 1)
+            i, segment = i[own], segment[own]
+            weight[own] = self.weight[i]
+            first, end = self.starts.get_two(i + segment, segment)  # each segment has one start more than owners
+            lo[own], hi[own] = first + self.ids.first[segment], end + self.ids.first[segment]
+            inner = np.flatnonzero(first)
+            before[own[inner]] = self.ids.get(lo[own[inner]] - 1, segment[inner])
         return weight, lo, hi, before
 
-    def child(self, lo: np.ndarray, hi: np.ndarray, before: np.ndarray, stored: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def child(self, segment: np.ndarray, lo: np.ndarray, hi: np.ndarray, before: np.ndarray, stored: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank among the siblings, code) of the child with the stored rank; rank 0 if there is none. Successor search."""
         rank, code = np.zeros(len(lo), np.int64), np.full(len(lo), NONE, np.int64)
         at = np.flatnonzero((hi > lo) & (stored > 0))
         if len(at):
-            i = self.ids.find(before[at] + stored[at])
+            i = self.ids.find(before[at] + stored[at], segment[at])
             ok = (i >= lo[at]) & (i < hi[at])
             at, i = at[ok], i[ok]
             rank[at], code[at] = i - lo[at] + 1, self.code[i]
         return rank, code
 
-    def look_up(self, owner: np.ndarray, stored: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def look_up(self, owner: np.ndarray, segment: np.ndarray, stored: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(rank, code, weight code of the owner) of children; equal owners stand together."""
         cuts, run = _runs(owner)
-        weight, *siblings = self.range_of(owner[cuts[:-1]])
-        return *self.child(*(c[run] for c in siblings), stored), weight[run]
+        weight, *siblings = self.range_of(owner[cuts[:-1]], segment[cuts[:-1]])
+        return *self.child(segment, *(c[run] for c in siblings), stored), weight[run]
 
 
 class Trie:
-    """The memory-mapped parts below a folder; where the folder can't be mapped, at most ``held`` of them in memory."""
+    """The memory-mapped groups of parts below a folder; where the folder can't be mapped, at most ``held`` of them in memory."""
 
-    def __init__(self, folder: str, parts: int, hot: list[int], pieces: list[int], gamma: float, symbols: int, held: int = 64):
-        self.folder, self.parts, self.gamma, self.symbols, self.held = folder, Parts(parts, hot, pieces), gamma, symbols, held
+    def __init__(self, folder: str, parts: int, group: int, hot: list[int], pieces: list[int], gamma: float, symbols: int, held: int = 8):
+        self.folder, self.parts, self.group, self.gamma, self.symbols, self.held = folder, Parts(parts, hot, pieces), group, gamma, symbols, held
         known, code = unpack(map_file(f"{folder}/root"))
         self.place = np.zeros(1 << TOKEN_BITS, np.int32)
         self.place[known] = np.arange(1, len(known) + 1)
@@ -477,49 +552,71 @@ class Trie:
             self.levels[name] = level
         return level
 
-    def _each(self, part: np.ndarray, kind: str) -> Iterator[tuple[Level, np.ndarray]]:
-        by = np.argsort(part, kind="stable")
-        cuts, _ = _runs(part[by])
+    def _each(self, part: np.ndarray, kind: str) -> Iterator[tuple[Level, np.ndarray, np.ndarray]]:
+        """(group, which grams are of it, their segments), up to ``LOOKED_UP`` at once."""
+        by = np.argsort(part.astype(np.uint16) if self.parts.n <= 1 << 16 else part, kind="stable")
+        group, segment = np.divmod(part[by], self.group)
+        cuts, _ = _runs(group)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            yield self._level(f"{part[by[a]]}.{kind}"), by[a:b]
+            level = self._level(f"{group[a]}.{kind}")
+            for k in range(a, b, LOOKED_UP):
+                yield level, by[k : min(b, k + LOOKED_UP)], segment[k : min(b, k + LOOKED_UP)]
 
     def log2(self, key: np.ndarray) -> np.ndarray:
         """log2 of the probability of each gram (b, a, c): that of c after a and b."""
         pair, inverse = np.unique(key >> 2 * TOKEN_BITS << TOKEN_BITS | key & _MASK, return_inverse=True)
         b, c = pair >> TOKEN_BITS, pair & _MASK
         rank, low = np.zeros(len(pair), np.int64), self.base[c].astype(np.float64)
-        for level, own in self._each(self.parts.of_symbol(b), "pairs"):
-            rank[own], code, weight = level.look_up(b[own], self.place[c[own]].astype(np.int64))
+        for level, own, segment in self._each(self.parts.of_symbol(b), "pairs"):
+            rank[own], code, weight = level.look_up(b[own], segment, self.place[c[own]].astype(np.int64))
             low[own] = np.where(code != NONE, -STEP * code, low[own] - np.where(weight != NONE, STEP * weight, 0))
         rank, out, context = rank[inverse], low[inverse], key >> TOKEN_BITS
-        for level, own in self._each(self.parts.of_context(key >> 2 * TOKEN_BITS, context & _MASK), "triples"):
-            _, code, weight = level.look_up(context[own], rank[own])
+        for level, own, segment in self._each(self.parts.of_context(key >> 2 * TOKEN_BITS, context & _MASK), "triples"):
+            _, code, weight = level.look_up(context[own], segment, rank[own])
             out[own] = np.where(code != NONE, -STEP * code, out[own] - np.where(weight != NONE, STEP * weight, 0))
         return out
 
 
-def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, bits_per_byte, perplexity, n_bytes) of every row under the trie."""
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+def _settle(trie: Trie, held: list[tuple[int, int, np.ndarray, np.ndarray]], bits: np.ndarray) -> None:
+    """Look up each gram of the texts held once, and sum up by text."""
+    if held:
+        key, rows = np.concatenate([key for *_, key in held]), [x[:3] for x in held]
+        held.clear()
+        key, inverse = np.unique(key, return_inverse=True)
+        total, done = np.r_[0.0, np.cumsum(trie.log2(key)[inverse])], 0
+        for a, b, at in rows:
+            bits[a:b] = total[done + at[:-1]] - total[done + at[1:]]
+            done += at[-1]
+
+
+def scorer(model: dict | None):
+    """The function of record batches (doc_id, text) that scores every row."""
 
     @tidy
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = resident("lm", model["folder"], lambda: Trie(**{k: v for k, v in model.items() if k != "vocabulary"}), 2) if model else None
         for batch in batches:
-            n, bits = np.zeros(len(batch), np.int64), np.zeros(len(batch))
-            for a, b, data, offsets in text_chunks(batch.column("text"), 3 << 20):
+            n, bits, held = np.zeros(len(batch), np.int64), np.zeros(len(batch)), []
+            for a, b, data, offsets in text_chunks(batch.column("text")):
                 n[a:b] = np.diff(offsets)
                 if trie and len(data):
                     tokens, at = Tokens.of(model["vocabulary"]).split(data, offsets)
-                    key, inverse = np.unique(token_grams(tokens, at), return_inverse=True)
-                    total = np.r_[0.0, np.cumsum(trie.log2(key)[inverse])]
-                    bits[a:b] = total[at[:-1]] - total[at[1:]]
+                    held.append((a, b, at, token_grams(tokens, at)))
+                    if sum(len(key) for *_, key in held) > SCORED_GRAMS:
+                        _settle(trie, held, bits)
+            _settle(trie, held, bits)
             empty = n == 0
             bits = bits / np.maximum(n, 1)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits, mask=empty), pa.array(np.exp2(bits), mask=empty), pa.array(n)], ["doc_id", "bits_per_byte", "perplexity", "n_bytes"])
 
+    return score
+
+
+def score_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, bits_per_byte, perplexity, n_bytes) of every row under the trie."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(score, f"doc_id {kind}, bits_per_byte double, perplexity double, n_bytes long")
+    return rows.mapInArrow(scorer(model), f"doc_id {kind}, bits_per_byte double, perplexity double, n_bytes long")
 
 
 def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_tokens: int = PART_TOKENS) -> DataFrame:

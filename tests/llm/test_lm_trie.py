@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from revlake.llm.kneser_ney import GramCache, discounts
-from revlake.llm.lm_trie import EliasFano, lm_score, pack, unpack
+from revlake.llm.lm_trie import EliasFano, file_blocks, lm_score, pack, unpack
 
 
 def brute_force(texts, order, train=None):
@@ -67,6 +67,25 @@ def test_elias_fano_of_clusters():
     assert (e.find(x) == np.where(np.isin(x, v), np.searchsorted(v, x), -1)).all()
 
 
+def test_segments_of_elias_fano():
+    """Sequences of all kinds joined: each look-up names its segment, and places count through all."""
+    rng = np.random.default_rng(6)
+    vs = [np.sort(rng.integers(0, top, n)) for n, top in ((0, 5), (300, 301), (5000, 10**7), (0, 1), (1, 1), (700, 3), (3, 10**12))]
+    vs.append(np.unique(np.r_[rng.integers(0, 1 << 42, 300), (7 << 30) + rng.integers(0, 1 << 16, 20_000)]))
+    e = EliasFano.from_arrays(unpack(np.frombuffer(b"".join(file_blocks(EliasFano.joined([EliasFano.encode(v) for v in vs]))), np.uint8)))
+    first = np.cumsum([0, *map(len, vs)])
+    for k in (*range(len(vs)), *range(len(vs))[::-1]):
+        v, own = vs[k], lambda x, k=k: np.full(len(x), k)
+        assert (e.get(first[k] + np.arange(len(v)), own(v)) == v).all()
+        x = np.r_[v, v + 1, rng.integers(0, 1 << 42, 500), 0, 1 << 45]
+        i, value = e.successor(x, own(x))
+        want = np.searchsorted(v, x)
+        assert (i == first[k] + want).all() and (value == np.r_[v, -1][want]).all()
+        assert (e.find(x, own(x)) == np.where(np.isin(x, v), first[k] + want, -1)).all()
+        if len(v) > 1:
+            assert [c.tolist() for c in e.get_two(first[k] + np.arange(len(v) - 1), own(v[1:]))] == [v[:-1].tolist(), v[1:].tolist()]
+
+
 def test_cache_is_exact_when_it_overflows():
     cache = GramCache(lambda g: (g % 97).astype(np.float32), bits=6)
     rng = np.random.default_rng(2)

@@ -3,10 +3,11 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from revlake.llm.kneser_ney import discounts
-from revlake.llm.lm_trie import STEP, build_trie, lm_score
+from revlake.llm.lm_trie import STEP, Level, Trie, build_trie, lm_score, score_documents, scorer, token_grams
 from revlake.llm.queries import op1_lm_score
 from revlake.llm.tokens import Tokens, spans
 
@@ -90,3 +91,36 @@ def test_query_sees_more_than_one_word(spark, tmp_path):
     assert np.mean(bits) < 7  # two words of 3 bits each, and a certain third
     model = build_trie(spark.read.parquet(str(tmp_path / "documents.parquet")))
     assert model["symbols"] == 256 + 16
+
+
+def test_look_ups_do_not_grow_with_the_parts(spark, monkeypatch):
+    """Hundreds of parts, hot symbols among them, are searched in a few calls, and score as one part does."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.3, 60) % 200) for _ in range(120)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    calls = []
+    look_up = Level.look_up
+    monkeypatch.setattr(Level, "look_up", lambda self, *a: calls.append(1) or look_up(self, *a))
+    got = []
+    for part_tokens in (2_000_000, 12):
+        model = build_trie(df, part_tokens=part_tokens)
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        tokens, at = Tokens.of(model["vocabulary"]).split(data, np.r_[0, np.cumsum([len(t) for t in texts])])
+        calls.clear()
+        got.append(Trie(**{k: v for k, v in model.items() if k != "vocabulary"}).log2(np.unique(token_grams(tokens, at))))
+    assert model["parts"] > 400 and model["hot"] and len(calls) < model["parts"] / 4
+    assert np.array_equal(*got)
+
+
+def test_scores_over_several_look_ups(spark, monkeypatch):
+    """Texts of one batch that are looked up apart score as those looked up together."""
+    df = spark.createDataFrame(list(enumerate([*TEXTS, None] * 3)), "doc_id int, text string")
+    model = build_trie(df)
+    together = sorted(score_documents(df, model).collect())
+    monkeypatch.setattr("revlake.llm.common.text_chunks.__defaults__", (8,))
+    monkeypatch.setattr("revlake.llm.lm_trie.SCORED_GRAMS", 5)
+    monkeypatch.setattr("revlake.llm.lm_trie.LOOKED_UP", 3)
+    data = [r.text or "" for r in df.sort("doc_id").collect()]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(data))), pa.array(data)], ["doc_id", "text"])
+    apart = pa.Table.from_batches(list(scorer(model)(iter([batch])))).to_pylist()
+    assert [(r["doc_id"], r["bits_per_byte"], r["n_bytes"]) for r in apart] == [(r.doc_id, r.bits_per_byte, r.n_bytes) for r in together]
