@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import delete_dir, map_file, put_file, resident, shared_dir, text_chunks, tidy
+from .common import delete_dir, map_file, put_file, release, resident, shared_dir, text_chunks, tidy
 from .kneser_ney import discounts
 from .tokens import TOKEN_BITS, Tokens, token_vocabulary
 from .words import mix
@@ -39,9 +39,9 @@ NONE = 65535
 #: Tokens of the corpus for each part, and distinct grams that a task holds before it hands them on.
 PART_TOKENS, HELD_GRAMS = 2_000_000, 2_000_000
 #: Grams of texts that are scored together.
-SCORED_GRAMS = 1_000_000
+SCORED_GRAMS = 700_000
 #: Parts of one file at most, and grams that are looked up at once: enough to outweigh a call, few enough for the CPU's cache.
-GROUP_PARTS, LOOKED_UP = 16, 1 << 15
+GROUP_PARTS, LOOKED_UP = 8, 1 << 15
 #: Files of counts of single symbols.
 SLICES = 16
 _MASK = (1 << TOKEN_BITS) - 1
@@ -587,6 +587,8 @@ def _settle(trie: Trie, held: list[tuple[int, int, np.ndarray, np.ndarray]], bit
         for a, b, at in rows:
             bits[a:b] = total[done + at[:-1]] - total[done + at[1:]]
             done += at[-1]
+        del key, inverse, total
+        release()
 
 
 def scorer(model: dict | None):
